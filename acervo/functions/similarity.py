@@ -67,7 +67,7 @@ def _partial(a: str, b: str, floor: float = 0.0) -> float:
     if a in b:
         return 100.0
     lcs = _lcs_against(a)
-    marks = sorted({*range(0, len(b) - n, max(n // 2, 1)), len(b) - n})
+    marks = sorted({*range(0, len(b) - n, max(3 * n // 4, 1)), len(b) - n})
     values = [lcs(b[at : at + n]) for at in marks]
     # the score to beat: the best so far, or the largest one below the floor
     best = max(max(values), math.ceil(floor * n / 100.0) - 1)
@@ -91,13 +91,16 @@ def _partial(a: str, b: str, floor: float = 0.0) -> float:
     return score if score >= floor else 0.0
 
 
-def _token_sort(a: str, b: str, floor: float) -> float:
-    return _ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())), floor)
+def _token_sort(a: list[str], b: list[str], floor: float) -> float:
+    lengths = [sum(map(len, words)) + len(words) - 1 for words in (a, b)]
+    if 200.0 * min(lengths) / sum(lengths) < floor:
+        return 0.0
+    return _ratio(" ".join(sorted(a)), " ".join(sorted(b)), floor)
 
 
-def _token_set(a: str, b: str, floor: float) -> float:
+def _token_set(a: list[str], b: list[str], floor: float) -> float:
     """Best ratio among the shared tokens and the two token sets, shared tokens first."""
-    left, right = set(a.split()), set(b.split())
+    left, right = set(a), set(b)
     common = " ".join(sorted(left & right))
     with_left = " ".join(filter(None, [common, " ".join(sorted(left - right))]))
     with_right = " ".join(filter(None, [common, " ".join(sorted(right - left))]))
@@ -113,11 +116,14 @@ def title_score(a: str, b: str, floor: int = 0) -> int:
     With a ``floor`` the score is exact from the floor on, and some smaller
     number below it; parts that cannot reach the floor are not computed.
     """
-    if not a or not b:
+    words_a, words_b = a.split(), b.split()
+    if not words_a or not words_b:
         return 0
     need = max(floor - 0.5, 0.0)
     best = max(
-        _ratio(a, b, need), 0.95 * _token_sort(a, b, need / 0.95), 0.95 * _token_set(a, b, need / 0.95)
+        _ratio(a, b, need),
+        0.95 * _token_sort(words_a, words_b, need / 0.95),
+        0.95 * _token_set(words_a, words_b, need / 0.95),
     )
     if max(len(a), len(b)) >= 1.5 * min(len(a), len(b)) and best < 90.0:
         best = max(best, 0.9 * _partial(a, b, max(need, best) / 0.9))

@@ -33,10 +33,13 @@ _FROM, _TO = "".join(_ACCENTS), "".join(_ACCENTS.values())
 
 def to_ascii_lower(value: Column) -> Column:
     """Lower case with Latin accents removed; letters of other scripts stay."""
-    folded = F.translate(F.lower(value), _FROM, _TO)
+    lower = F.lower(value)
+    folded = F.translate(lower, _FROM, _TO)
     for pair, replacement in LETTER_PAIRS.items():
         folded = F.replace(folded, F.lit(pair), F.lit(replacement))
-    return F.regexp_replace(folded, "[̀-ͯ]", "")
+    folded = F.regexp_replace(folded, "[\u0300-\u036f]", "")
+    # as many bytes as letters: plain ASCII, nothing to fold
+    return F.when(F.octet_length(lower) == F.char_length(lower), lower).otherwise(folded)
 
 
 def strip_text(value: Column) -> Column:

@@ -1,17 +1,18 @@
 """Exact top-k title retrieval by shared tokens.
 
 Score of a pair is the sum of ``ln(1 + N/df)`` over the tokens both titles
-share. Joining on every token would pair each query with every title that has
+share. Matching on every token would pair each query with every title that has
 a common word. Instead:
 
-1. each query probes with its rarest tokens only, and the pairs found are
-   scored in full; the k-th best score is a floor for that query;
-2. a query's commonest tokens whose weights together stay below its floor can
-   never lift an unseen title into the top k, so they are left out; any
-   remaining token is probed too.
+1. Each query is matched on its rarest tokens, and the k best titles so found
+   are scored in full. The least of these k scores is a floor: k titles reach it.
+2. A query's commonest tokens whose weights together stay below the floor can
+   never lift a title into the top k by themselves, so only the others are
+   matched; a pair that cannot reach the floor even with all of the left-out tokens goes.
+3. The pairs that stay are completed with the left-out tokens and ranked.
 
-The result equals scoring all pairs. Probe joins are salted, so the postings of
-a frequent token spread over many tasks.
+The result equals scoring all pairs. Matches are salted, so the postings of
+a frequent token spread over many tasks, and summed per pair on the map side.
 """
 
 from __future__ import annotations
@@ -26,74 +27,84 @@ from acervo.session import materialise
 
 WEIGHT = "decimal(18,6)"
 SALTS = 16
+PAIR = ["q_id", "t_id"]
 
 
-def token_weights(queries: DataFrame, titles: DataFrame, title_id: str, title: str) -> DataFrame:
-    """``(token, df, weight)`` for the tokens that occur in both sides."""
-    vocabulary = queries.select(F.explode("q_tokens").alias("token")).distinct()
-    total = titles.agg(F.count("*")).scalar()
-    postings = titles.select(title_id, F.explode(tokens(F.col(title))).alias("token"))
-    return (
-        postings.join(vocabulary, "token", "left_semi")
-        .groupBy("token")
-        .agg(F.count("*").alias("df"))
-        .withColumn("weight", F.round(F.ln(1 + total / F.col("df")), 6).cast(WEIGHT))
-    )
+def _total(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy(*PAIR).agg(F.sum("weight").cast(WEIGHT).alias("score"))
 
 
-def _probe(probes: DataFrame, postings: DataFrame) -> DataFrame:
-    """Distinct (query, title) pairs that share a probe token."""
-    salted = probes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+def _matched(terms: DataFrame, postings: DataFrame) -> DataFrame:
+    """Pairs that share any of the terms, scored over them."""
+    salted = terms.select("q_id", "token", "weight", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     spread = postings.withColumn("salt", F.pmod(F.xxhash64("t_id"), F.lit(SALTS)).cast("int"))
-    return spread.join(salted, ["token", "salt"]).select("q_id", "t_id").distinct()
+    return _total(spread.join(salted, ["token", "salt"]))
+
+
+def _scored_over(pairs: DataFrame, terms: DataFrame, postings: DataFrame) -> DataFrame:
+    """Score of the given pairs over the given terms; pairs that share none are absent."""
+    asked = pairs.select(*PAIR).join(terms.select("q_id", "token", "weight"), "q_id")
+    return _total(asked.join(postings, ["t_id", "token"]))
+
 
+def _ranked(scores: DataFrame, k: int) -> DataFrame:
+    return top_per_key(scores, ["q_id"], [F.desc("score"), F.asc("t_id")], k, "rank")
 
-def _score(pairs: DataFrame, queries: DataFrame, titles: DataFrame) -> DataFrame:
-    """Full score of each pair over the tokens both sides have."""
-    zero = F.lit(0).cast(WEIGHT)
-    shared = F.filter("q_weights", lambda w: F.array_contains(F.col("t_tokens"), w["token"]))
-    score = F.aggregate(shared, zero, lambda s, w: (s + w["weight"]).cast(WEIGHT))
-    return pairs.join(titles, "t_id").join(queries, "q_id").select("q_id", "t_id", score.alias("score"))
+
+def query_terms(asked: DataFrame, postings: DataFrame, total) -> DataFrame:
+    """Tokens of each query with their weight; ``rarer_df`` counts the postings of
+    the query's rarer tokens, ``reach`` is what this and all commoner tokens can add."""
+    weights = postings.groupBy("token").agg(F.count("*").alias("df"))
+    weights = weights.withColumn("weight", F.round(F.ln(1 + total / F.col("df")), 6).cast(WEIGHT))
+    rare_first = W.partitionBy("q_id").orderBy("df", "token")  # one title's tokens
+    return (
+        asked.join(weights, "token")
+        .withColumn("rarer_df", F.coalesce(F.sum("df").over(rare_first.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("reach", F.sum("weight").over(rare_first.rowsBetween(0, W.unboundedFollowing)))
+    )
 
 
 def top_candidates(
     queries: DataFrame, query_id: str, query_text: str, titles: DataFrame, title_id: str, title: str, k: int = 20
 ) -> DataFrame:
     """``(q_id, t_id, score, rank)``: the k best titles per query, ties by title id."""
-    asked = queries.select(F.col(query_id).alias("q_id"), tokens(F.col(query_text)).alias("q_tokens"))
-    weights = materialise(token_weights(asked, titles, title_id, title), "token-weights")
-    known = titles.select(F.col(title_id).alias("t_id"), tokens(F.col(title)).alias("t_tokens"))
-    postings = known.select("t_id", F.explode("t_tokens").alias("token"))
-
-    terms = asked.select("q_id", F.explode("q_tokens").alias("token")).join(weights, "token")
-    rare_first = W.partitionBy("q_id").orderBy("df", "token")
-    # titles reachable by the rarer tokens before this one, and the most that
-    # this token and all commoner ones can add
-    terms = materialise(
-        terms.withColumns(
-            {
-                "rarer_df": F.coalesce(F.sum("df").over(rare_first.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
-                "reach": F.sum("weight").over(rare_first.rowsBetween(0, W.unboundedFollowing)),
-            }
+    asked = queries.select(F.col(query_id).alias("q_id"), F.explode(tokens(F.col(query_text))).alias("token"))
+    spread = titles.select(F.col(title_id).alias("t_id"), F.explode(tokens(F.col(title))).alias("token"))
+    # titles are tokenised once, and only tokens that some query has are kept
+    postings = materialise(spread.join(asked.select("token").distinct(), "token", "left_semi"), "postings")
+    total = titles.agg(F.count("*")).scalar()
+    terms = materialise(query_terms(asked, postings, total), "query-terms")
+
+    opening = _matched(terms.where(F.col("rarer_df") < k), postings)
+    leaders = materialise(_ranked(opening, k), "leading-candidates")
+    floors = (
+        _scored_over(leaders, terms, postings)
+        .groupBy("q_id")
+        .agg(F.min("score").alias("floor"), F.count("*").alias("n"))
+        .where(F.col("n") == k)
+        .drop("n")
+    )
+    # rows: terms of the queries, a `floor` of null means that every term is needed
+    judged = materialise(
+        terms.join(floors, "q_id", "left").withColumn(
+            "needed", F.col("floor").isNull() | (F.col("reach") >= F.col("floor"))
         ),
-        "query-terms",
+        "judged-terms",
+    )
+    left_out = judged.where(~F.col("needed"))
+    limits = judged.groupBy("q_id").agg(
+        F.max("floor").alias("floor"),
+        F.coalesce(F.sum(F.when(~F.col("needed"), F.col("weight"))), F.lit(0)).alias("left_out"),
     )
-    # a query's own tokens gathered back into one row
-    scored_queries = terms.groupBy("q_id").agg(F.collect_list(F.struct("token", "weight")).alias("q_weights"))
-
-    first = F.col("rarer_df") < k
-    found = _probe(terms.where(first).select("q_id", "token"), postings)
-    leading = materialise(
-        top_per_key(_score(found, scored_queries, known), ["q_id"], [F.desc("score"), F.asc("t_id")], k, "rank"),
-        "leading-candidates",
+    hopeful = materialise(
+        _matched(judged.where("needed"), postings)
+        .join(limits, "q_id")
+        .where(F.col("floor").isNull() | (F.col("score") + F.col("left_out") >= F.col("floor")))
+        .select(*PAIR, "score"),
+        "hopeful-pairs",
     )
-    floor = leading.where(F.col("rank") == k).select("q_id", F.col("score").alias("floor"))
-    more_terms = (
-        terms.where(~first)
-        .join(floor, "q_id", "left")
-        .where(F.col("floor").isNull() | (F.col("reach") >= F.col("floor")))
-        .select("q_id", "token")
+    rest = _scored_over(hopeful, left_out, postings).withColumnRenamed("score", "more")
+    whole = hopeful.join(rest, PAIR, "left").select(
+        *PAIR, (F.col("score") + F.coalesce("more", F.lit(0).cast(WEIGHT))).cast(WEIGHT).alias("score")
     )
-    more = _probe(more_terms, postings).join(leading.select("q_id", "t_id"), ["q_id", "t_id"], "left_anti")
-    union = leading.drop("rank").unionByName(_score(more, scored_queries, known))
-    return top_per_key(union, ["q_id"], [F.desc("score"), F.asc("t_id")], k, "rank")
+    return _ranked(whole, k)

@@ -124,8 +124,10 @@ def similar_pairs(
     pairs = candidates.join(
         asked.select(F.col("product_key").alias("q_id"), F.col("title").alias("q_title"), "author"), "q_id"
     ).join(search.select(F.col("id").alias("t_id"), F.col("title").alias("t_title"), "authors"), "t_id")
-    # candidates of a hot title arrive together: spread them before scoring in Python
-    scored = pairs.repartition("q_id", "t_id").select(
+    # scoring costs far more than its bytes suggest: a fixed number of partitions
+    # keeps adaptive execution from gathering the pairs in a few tasks
+    tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = pairs.repartition(tasks, "q_id", "t_id").select(
         F.col("q_id").alias("product_key"),
         F.col("t_id").alias("id"),
         "rank",
