@@ -14,6 +14,7 @@ from acervo.catalogue.registry import query, table
 from acervo.functions.doi import page_dois
 from acervo.functions.predicates import in_country
 from acervo.functions.similarity import accepted
+from acervo.functions.text import strip_markup
 from acervo.operators.dedup import distinct_nested
 from acervo.operators.joins import referenced
 from acervo.operators.retrieval import top_candidates
@@ -281,13 +282,17 @@ def candidate_topk(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fuzzy_title_match(spark: SparkSession, d: str) -> DataFrame:
-    """Benchmark items against documents; the source of a document is its author."""
-    documents = table(spark, d, "documents")
-    products = table(spark, d, "benchmark").select(
-        F.col("item_id").alias("product_key"), F.col("text").alias("title"), F.col("item_id").alias("person_id")
+    """Page headings against page titles; the site of a page is its author."""
+    pages = table(spark, d, "pages")
+    site = F.regexp_extract("url", r"^https?://(?:www\.|m\.)?([^/]+)", 1)
+    heading = strip_markup(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1))
+    products = pages.select(F.col("page_id").alias("product_key"), heading.alias("title"), F.col("page_id").alias("person_id"))
+    profiles = pages.select(F.col("page_id").alias("person_id"), site.alias("name"))
+    search = pages.select(
+        F.col("page_id").alias("id"),
+        strip_markup(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)).alias("title"),
+        F.array(F.upper(site)).alias("authors"),
     )
-    profiles = documents.select(F.col("doc_id").alias("person_id"), F.col("source").alias("name"))
-    search = documents.select(F.col("doc_id").alias("id"), F.col("text").alias("title"), F.array("source").alias("authors"))
     return first_accepted(similar_pairs(products, profiles, search))
 
 

@@ -231,17 +231,16 @@ def latest_matching_query(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    SELECT DISTINCT source AS file_path FROM documents
-    EXCEPT (SELECT source FROM documents JOIN labels USING (doc_id) WHERE toxic = 1
-            UNION SELECT source FROM documents WHERE n_chars > 20000)
+    SELECT DISTINCT 'part_' || o_custkey AS file_path FROM orders
+    EXCEPT (SELECT 'part_' || o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1997-01-01'
+            UNION SELECT 'part_' || o_custkey FROM orders WHERE o_totalprice > 450000)
 """)
 def checkpoint_pending(spark: SparkSession, d: str) -> DataFrame:
-    """Sources as files: all of them less the set union of two earlier runs."""
-    documents = table(spark, d, "documents").withColumnRenamed("source", "file_path")
-    toxic = table(spark, d, "labels").where("toxic = 1")
-    first = documents.join(toxic, "doc_id", "left_semi").select("file_path")
-    second = documents.where("n_chars > 20000").select("file_path")
-    files = documents.select("file_path").distinct()
+    """Customers as files: all of them less the set union of two earlier runs."""
+    orders = table(spark, d, "orders").withColumn("file_path", F.concat(F.lit("part_"), c("o_custkey")))
+    first = orders.where("o_orderstatus = 'F' and o_orderdate < timestamp_ntz '1997-01-01'").select("file_path")
+    second = orders.where("o_totalprice > 450000").select("file_path")
+    files = orders.select("file_path").distinct()
     return pending(files, first.unionByName(second).distinct(), ["file_path"])
 
 

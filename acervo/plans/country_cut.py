@@ -120,10 +120,17 @@ def similar_pairs(
     """
     with_author = first_match_lookup(products, profiles.select("person_id", F.col("name").alias("author")), "person_id", ["author"], [F.col("author")])
     asked = with_author.where(searchable(F.col("title"), F.col("author")))
-    candidates = top_candidates(asked, "product_key", "title", search, "id", "title", k)
-    pairs = candidates.join(
-        asked.select(F.col("product_key").alias("q_id"), F.col("title").alias("q_title"), "author"), "q_id"
-    ).join(search.select(F.col("id").alias("t_id"), F.col("title").alias("t_title"), "authors"), "t_id")
+    candidates = materialise(top_candidates(asked, "product_key", "title", search, "id", "title", k), "candidates")
+    # each title is folded once, not once per pair, and only if it is a candidate
+    queries = asked.select(
+        F.col("product_key").alias("q_id"),
+        fold_text(F.col("title")).alias("q_title"),
+        fold_text(F.col("author")).alias("author"),
+    )
+    found = referenced(search.withColumnRenamed("id", "t_id"), "t_id", candidates.select("t_id").distinct()).select(
+        "t_id", fold_text(F.col("title")).alias("t_title"), F.transform("authors", fold_text).alias("authors")
+    )
+    pairs = candidates.join(queries, "q_id").join(found, "t_id")
     # scoring costs far more than its bytes suggest: a fixed number of partitions
     # keeps adaptive execution from gathering the pairs in a few tasks
     tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -131,12 +138,8 @@ def similar_pairs(
         F.col("q_id").alias("product_key"),
         F.col("t_id").alias("id"),
         "rank",
-        title_similarity(
-            fold_text(F.col("q_title")), fold_text(F.col("t_title")), TITLE_WITH_AUTHOR
-        ).alias("title_score"),
-        author_similarity(
-            fold_text(F.col("author")), F.transform("authors", fold_text)
-        ).alias("author_score"),
+        title_similarity(F.col("q_title"), F.col("t_title"), TITLE_WITH_AUTHOR).alias("title_score"),
+        author_similarity(F.col("author"), F.col("authors")).alias("author_score"),
     )
     return scored.where(accepted(F.col("title_score"), F.col("author_score")))
 

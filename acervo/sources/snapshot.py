@@ -74,20 +74,21 @@ def reject_reason(raw: Column, key: str = "id") -> Column:
 
 
 def parse_lines(lines: DataFrame, key: str = "id", flag: str | None = None) -> DataFrame:
-    """Non-blank lines with key, ``raw`` VARIANT, ``reason`` (null when good) and
-    ``flagged`` (true for rows a filter drops without counting them as errors)."""
+    """Non-blank lines with key, ``raw`` VARIANT, ``reason`` and the ``line`` itself
+    (both null when good), and ``flagged`` (true for rows a filter drops without counting them as errors)."""
     text = strip_text(F.col("value"))
     parsed = lines.withColumn("line", text).where(F.col("line") != "").withColumn("raw", F.try_parse_json("line"))
     flagged = F.lit(False)
     if flag:
         exact = F.try_variant_get("raw", f"$.{flag}", "variant")
         flagged = (F.schema_of_variant(exact) == "BOOLEAN") & ~not_flagged(F.try_variant_get("raw", f"$.{flag}", "boolean"))
+    reason = reject_reason(F.col("raw"), key)
     return parsed.select(
         F.try_variant_get("raw", f"$.{key}", "string").alias(key),
         "raw",
         *[c for c in lines.columns if c != "value"],
-        "line",
-        reject_reason(F.col("raw"), key).alias("reason"),
+        F.when(reason.isNotNull(), F.col("line")).alias("line"),
+        reason.alias("reason"),
         F.coalesce(flagged, F.lit(False)).alias("flagged"),
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acervo.session import materialise
 from acervo.sinks.documents import upsert_documents
 from acervo.sources.paths import has_files
 from acervo.sources.snapshot import entity_flag, entity_path, parse_lines, split_parsed
@@ -35,7 +36,8 @@ def load_snapshot(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("line_no", F.monotonically_increasing_id())
-        parsed = parse_lines(numbered, "id", entity_flag(entity))
+        # parsed once; gzip files are read by one task each, the parsed rows by many
+        parsed = materialise(parse_lines(numbered, "id", entity_flag(entity)), "parsed-lines")
         good, bad = split_parsed(parsed)
         by_batch = {"partitionOverwriteMode": "dynamic"}
         tag = F.lit(batch_id).alias("batch_id")
