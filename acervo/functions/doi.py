@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The DOI shapes of the captured sources (at least three digits
-# after "10."), and the stored prefix.
-DOI_PATTERN = r"10\.\d{3,}/\S+"
+# The DOI shape in the captured pages (at least three digits after
+# "10."), and the stored prefix.
 HTML_DOI_PATTERN = r"""(?i)10\.\d{3,}/[^\s"'<]+"""
 DOI_PREFIX = "https://doi.org/"
 
+# A DOI ends before trailing sentence punctuation; a closing parenthesis belongs
+# to it only when it also opens one.
+_DOI = (
+    r"""10\.\d{3,}/(?=\S*\()\S*[^\s.,;:"'>\]}]"""
+    r"""|10\.\d{3,}/[^\s(]*[^\s(.,;:"'>\]})]"""
+)
+
 
 def normalise_doi(value: Column) -> Column:
     """Stored form ``https://doi.org/10.x/y`` in lower case; null when there is no DOI.
 
-    Scheme, host and ``doi:`` prefixes fall away because the first DOI in the
-    text is taken. Trailing sentence punctuation is not part of a DOI; a closing
-    parenthesis is kept only when the DOI also opens one.
+    Scheme, host and ``doi:`` prefixes fall away because the first DOI in the text is taken.
     """
-    found = F.regexp_extract(F.lower(value), DOI_PATTERN, 0)
-    found = F.when(found.contains("("), F.regexp_replace(found, r"""[.,;:"'>\]}]+$""", "")).otherwise(
-        F.regexp_replace(found, r"""[.,;:"'>\]})]+$""", "")
-    )
-    return F.when(found.rlike(r"^10\.\d{3,}/\S"), F.concat(F.lit(DOI_PREFIX), found))
+    first = F.get(F.regexp_extract_all(F.lower(value), F.lit(_DOI), F.lit(0)), F.lit(0))
+    return F.concat(F.lit(DOI_PREFIX), first)
 
 
 def doi_candidates(html: Column) -> Column:
