@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from acervo.operators.merge import apply_diff, diff, diff_summary
 from acervo.session import materialise
-from acervo.sinks.catalog import clean_surplus
+from acervo.sinks.catalog import clean_surplus, overwrite_partitions
 from acervo.sinks.checkpoints import save_value
 from acervo.sources.ranking import KEY, read_ranking
 
@@ -35,14 +35,11 @@ def load_year(spark: SparkSession, path: str, table: str, checkpoints: str, year
     result = {r["action"]: r["n"] for r in diff_summary(actions).collect()}
     if result.get("insert") or result.get("update"):
         if spark.catalog.tableExists(table):
-            # the year's old files are read by `state`, so it is written elsewhere first
-            fresh = materialise(state, "ranking-year")
-            columns = spark.table(table).columns
-            for name in [c for c in fresh.columns if c not in columns]:
-                spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{name}` {fresh.schema[name].dataType.simpleString()})")
-            columns = spark.table(table).columns
-            aligned = [F.col(f"`{c}`") if c in fresh.columns else F.lit(None).alias(c) for c in columns]
-            fresh.select(*aligned).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
+            known = spark.table(table).columns
+            for name in [n for n in state.columns if n not in known]:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS (`{name}` {state.schema[name].dataType.simpleString()})")
+            absent = {n: F.lit(None) for n in spark.table(table).columns if n not in state.columns}
+            overwrite_partitions(state.withColumns(absent), table)
         else:
             state.write.partitionBy("year").saveAsTable(table)
         result["check"] = clean_surplus(spark, table, year, KEY, sorted(spark.table(table).columns), expected)

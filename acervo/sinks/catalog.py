@@ -53,6 +53,21 @@ def build_then_swap(df: DataFrame, table: str, partition_by: Sequence[str] = ())
     spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
 
 
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace exactly the partitions that ``df`` has rows for; ``df`` may read the table.
+
+    ``insertInto`` takes the mode from the session only, so it is set for this call.
+    """
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*[f"`{name}`" for name in spark.table(table).columns]).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def _current(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
     return spark.table(table) if spark.catalog.tableExists(table) else like.limit(0)
 
@@ -82,12 +97,11 @@ def replace_partitions(source: DataFrame, table: str, group: str, groups: DataFr
     if not spark.catalog.tableExists(table):
         incoming.write.partitionBy(group).saveAsTable(table)
         return
-    columns = spark.table(table).columns
     # group names number as many as partitions, which the catalog holds anyway
     empty = groups.select(group).distinct().join(incoming.select(group), group, "left_anti")
     for (value,) in empty.toLocalIterator():
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({group} = '{str(value).replace(chr(39), chr(92) + chr(39))}')")
-    incoming.select(*columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
+    overwrite_partitions(incoming, table)
 
 
 def load_by_content(documents: DataFrame, table: str, key: str = "id", order: str = "position") -> str:
@@ -174,7 +188,5 @@ def clean_surplus(spark: SparkSession, table: str, year: int, key: str, order: S
     actual = part.count()
     if actual <= expected:
         return "match" if actual == expected else "fewer"
-    kept = first_per_key(part, [key], [F.col(c) for c in order])
-    columns = spark.table(table).columns
-    kept.select(*columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
+    overwrite_partitions(first_per_key(part, [key], [F.col(f"`{c}`") for c in order]), table)
     return "clean"

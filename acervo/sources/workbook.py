@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.operators.headers import unique_headers
+from acervo.session import materialise
 from acervo.sources.paths import exists
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -156,7 +157,8 @@ def read_workbooks(
         .load(path)
         .select("path", "content")
     )
-    cells = files.mapInPandas(_read_books(sheet, typed or sheet is not None, typed), _OUT)
+    # each workbook is opened once; header, rows and rejects then come from the written cells
+    cells = materialise(files.mapInPandas(_read_books(sheet, typed, typed), _OUT), "workbook-cells")
     rejects = cells.where("reason is not null").select("file_path", "reason")
     whole = cells.where("reason is null").join(rejects.select("file_path"), "file_path", "left_anti")
     header_cells = F.col("cells")
