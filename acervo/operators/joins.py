@@ -2,7 +2,9 @@
 
 No side is broadcast by hint: adaptive execution measures each side and
 broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``; beyond that
-the join is a shuffled one, with skewed partitions split.
+the join is a shuffled one, with skewed partitions of the left side split. Key
+sets on the right are made distinct first, on the map side, so that a key with many
+rows there is one row before it moves.
 """
 
 from __future__ import annotations
@@ -18,7 +20,20 @@ from acervo.operators.dedup import first_per_key
 def ids_by_nested_key(rows: DataFrame, id_col: str, array: Column, keys: DataFrame, key: str) -> DataFrame:
     """Distinct ids of rows with any array value in ``keys``. Only (id, value) pairs move."""
     pairs = rows.select(id_col, F.explode(F.array_distinct(array)).alias(key)).where(F.col(key).isNotNull())
-    return pairs.join(keys.select(key), key, "left_semi").select(id_col).distinct()
+    return pairs.join(keys.select(key).distinct(), key, "left_semi").select(id_col).distinct()
+
+
+def spread_join(rows: DataFrame, unique: DataFrame, on: str, salts: int = 16) -> DataFrame:
+    """Inner join of ``rows`` with a table that is unique on the key, for when the next
+    step groups by that key again and Spark could not split a hot one.
+
+    The rows of a key are spread by input partition, so that equal copies separate
+    and a retried task sends each row to the same place; the narrow side is
+    repeated once per salt.
+    """
+    salted = rows.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    repeated = unique.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [on, "__salt"]).drop("__salt")
 
 
 def first_match_lookup(
@@ -31,16 +46,16 @@ def first_match_lookup(
 
 def referenced(entities: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Entities whose key occurs in ``ids``."""
-    return entities.join(ids.select(key), key, "left_semi")
+    return entities.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def loaded(probes: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return probes.join(stored.select(*keys), list(keys), "left_semi")
+    return probes.join(stored.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def pending(work: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Work that is not done: new files, changed sources, unseen triples."""
-    return work.join(done.select(*keys), list(keys), "left_anti")
+    return work.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def registry_lookup(rows: DataFrame, registry: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:

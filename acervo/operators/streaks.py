@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def streak_end(log: DataFrame, idx: str, hit: str, n: int, start: int) -> DataFrame:
     """One row: the index at which the n-th miss in a row happens.
 
-    Ids are cut in buckets of width n. Two hits of one bucket are never n+1
+    Ids are cut in buckets of width n, named by their first id. Two hits of one bucket are never n+1
     apart, so only the last hit of a bucket and the first hit of the next
     bucket can frame the streak: two aggregates and an equi-join, no window.
     """
@@ -17,10 +17,10 @@ def streak_end(log: DataFrame, idx: str, hit: str, n: int, start: int) -> DataFr
     origin = log.sparkSession.range(1).select(F.lit(start - 1).cast("bigint").alias("at"))
     buckets = (
         hits.unionByName(origin)
-        .groupBy(F.floor(F.col("at") / n).alias("bucket"))
+        .groupBy((F.col("at") - F.pmod("at", F.lit(n))).alias("bucket"))
         .agg(F.min("at").alias("first_hit"), F.max("at").alias("last_hit"))
     )
-    following = buckets.select((F.col("bucket") - 1).alias("bucket"), F.col("first_hit").alias("next_hit"))
+    following = buckets.select((F.col("bucket") - n).alias("bucket"), F.col("first_hit").alias("next_hit"))
     gap = F.col("next_hit") - F.col("last_hit")
     return (
         buckets.join(following, "bucket", "left")

@@ -23,7 +23,7 @@ from acervo.functions.predicates import (
 from acervo.functions.similarity import TITLE_WITH_AUTHOR, accepted, author_similarity, title_similarity
 from acervo.functions.text import fold_text
 from acervo.operators.dedup import distinct_nested, first_per_key
-from acervo.operators.joins import first_match_lookup, ids_by_nested_key, referenced
+from acervo.operators.joins import first_match_lookup, ids_by_nested_key, referenced, spread_join
 from acervo.operators.retrieval import top_candidates
 from acervo.session import materialise
 from acervo.sinks.catalog import build_then_swap, copy_auxiliary, truncate_and_load
@@ -41,7 +41,7 @@ def country_route(works: DataFrame, country: str) -> DataFrame:
 def source_route(works: DataFrame, sources: DataFrame, country: str) -> DataFrame:
     """Works with any location in a source of the country."""
     of_country = sources.where((F.col("country_code") == country) & has_text(F.col("id")))
-    keys = of_country.select(F.col("id").alias("source_id")).distinct()
+    keys = of_country.select(F.col("id").alias("source_id"))
     location_ids = F.col("locations.source.id")
     return _route(ids_by_nested_key(works, "id", location_ids, keys, "source_id"), "source")
 
@@ -98,8 +98,9 @@ def doi_route(works: DataFrame, dois: DataFrame, present: DataFrame | None = Non
     """One work per wanted DOI, the smallest id, skipping DOIs of works already ``present``."""
     if present is not None:
         dois = dois.join(present.select("doi").where("doi is not null").distinct(), "doi", "left_anti")
-    hits = works.select("id", "doi").where("doi is not null").join(dois, "doi", "left_semi")
-    return _route(hits.groupBy("doi").agg(F.min("id").alias("id")), "doi")
+    # one row per DOI before the join: a DOI that many works share stays cheap
+    first = works.where("doi is not null").groupBy("doi").agg(F.min("id").alias("id"))
+    return _route(first.join(dois, "doi", "left_semi"), "doi")
 
 
 def bibliographic_products(products: DataFrame) -> DataFrame:
@@ -127,7 +128,7 @@ def similar_pairs(
         fold_text(F.col("title")).alias("q_title"),
         fold_text(F.col("author")).alias("author"),
     )
-    found = referenced(search.withColumnRenamed("id", "t_id"), "t_id", candidates.select("t_id").distinct()).select(
+    found = referenced(search.withColumnRenamed("id", "t_id"), "t_id", candidates).select(
         "t_id", fold_text(F.col("title")).alias("t_title"), F.transform("authors", fold_text).alias("authors")
     )
     pairs = candidates.join(queries, "q_id").join(found, "t_id")
@@ -162,7 +163,7 @@ def routes_by_work(routes: list[DataFrame]) -> DataFrame:
 
 def cut(works: DataFrame, routes: list[DataFrame], order: Sequence[Column] = ()) -> DataFrame:
     """Distinct works of any route, with the routes."""
-    return unique_works(works.join(routes_by_work(routes), "id"), order)
+    return unique_works(spread_join(works, routes_by_work(routes), "id"), order)
 
 
 def unique_works(works: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
