@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import html
 import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from acervo.functions.entities import decode_entities
 
 # Letters whose ASCII form has no Unicode decomposition.
 SINGLE_LETTERS = {"ø": "o", "đ": "d", "ð": "d", "ł": "l", "ı": "i", "ħ": "h", "ŧ": "t"}
@@ -57,16 +56,6 @@ def tokens(value: Column, min_length: int = 3) -> Column:
     return F.array_distinct(F.filter(words, lambda w: F.length(w) >= min_length))
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
-
-def decode_entities(value: Column) -> Column:
-    """HTML entities to characters. Only texts with an ampersand cross to Python."""
-    return F.coalesce(_unescape(F.when(value.contains("&"), value)), value)
-
-
 def strip_markup(value: Column) -> Column:
     """Plain text of a title or page: comments, scripts, styles and MathML
     annotations dropped, tags removed, entities decoded, blanks collapsed."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
@@ -31,6 +32,17 @@ AUXILIARY = (
 )
 
 
+def row_count(spark: SparkSession, table: str, estimate: bool = False) -> int:
+    """Exact number of rows, or the one of the last table statistics when an
+    estimate is enough and statistics exist."""
+    if estimate:
+        facts = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'").first()
+        found = re.search(r"(\d+) rows", facts["data_type"]) if facts else None
+        if found:
+            return int(found.group(1))
+    return spark.table(table).count()
+
+
 def truncate_and_load(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").saveAsTable(table)
 

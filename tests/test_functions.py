@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from acervo.functions import doi, ids, names, nested, predicates, similarity, text
+from acervo.functions import doi, entities, ids, names, nested, predicates, similarity, text
 
 c = F.col
 
@@ -64,6 +64,23 @@ def test_tokens(spark):
     assert one(spark, "La salud, de la SALUD-pública en 2024", text.tokens(c("v"))) == ["salud", "publica", "2024"]
 
 
+def test_entities_equal_the_standard_decoder(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    rng = random.Random(3)
+    names = list(html5)
+    numbers = [0, 1, 9, 10, 11, 13, 31, 38, 65, 127, 128, 129, 150, 159, 160, 233, 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0x1F600, 0x1FFFF, 0x10FFFF, 0x110000, 10**12]
+    atoms = ["&", "&&", "&#", "&#;", "&#x;", "& ", "&;", "x", "é ", "&bogus;", "&ampfoo", "&notit;", "&amp;lt;", "&#38;lt;", "&#000065;", "&" + "z" * 40 + ";", "&lt", "\n"]
+    atoms += [f"&#{n};" for n in numbers] + [f"&#x{n:X}" for n in numbers] + [f"&#X{n:x};" for n in numbers]
+    texts = ["".join(rng.choice(atoms) for _ in range(rng.randint(1, 6))) for _ in range(400)]
+    texts += [f"a&{n}b" for n in names] + atoms + ["", "plain"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    wrong = [(r[0], r[1], html.unescape(r[0])) for r in df.select("v", entities.decode_entities(c("v"))).collect() if r[1] != html.unescape(r[0])]
+    assert not wrong, wrong[:10]
+
+
 def test_strip_markup(spark):
     title = "The <b>mass</b> <math><mi>m</mi><annotation>m</annotation></math> &lt; 3 &amp;amp; <!-- x --><script>1<2</script>&eacute;"
     assert one(spark, title, text.strip_markup(c("v"))) == "The mass m < 3 &amp; é"

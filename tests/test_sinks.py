@@ -116,6 +116,14 @@ def test_copy_backup_archive_export_reset(spark, namespace, tmp_path):
     spark.sql(f"DROP DATABASE {archived} CASCADE")
 
 
+def test_row_count(spark, namespace):
+    table = f"{namespace}.t"
+    spark.range(5).write.saveAsTable(table)
+    assert catalog.row_count(spark, table) == catalog.row_count(spark, table, estimate=True) == 5
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+    assert catalog.row_count(spark, table, estimate=True) == 5
+
+
 def test_clean_surplus(spark, namespace):
     table = f"{namespace}.r"
     data = [(1, "a", 2023), (1, "b", 2023), (2, "c", 2023), (1, "d", 2022), (1, "e", 2022)]
