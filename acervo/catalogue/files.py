@@ -88,7 +88,6 @@ def incremental_stream(spark: SparkSession, d: str) -> DataFrame:
         checkpoint=f"{base}/checkpoint",
         rejects=f"{base}/rejects",
         metrics=f"{base}/metrics",
-        files_per_batch=1000,
     )
     raw = c("raw")
     return stored_documents(spark, f"{base}/loaded").select(

@@ -10,8 +10,6 @@ from acervo.sinks.documents import upsert_documents
 from acervo.sources.paths import has_files
 from acervo.sources.snapshot import entity_flag, entity_path, parse_lines, split_parsed
 
-FILES_PER_BATCH = 1000
-
 
 def load_snapshot(
     spark: SparkSession,
@@ -21,7 +19,7 @@ def load_snapshot(
     checkpoint: str,
     rejects: str,
     metrics: str,
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int | None = None,
     buckets: int = 64,
 ) -> None:
     """Load the files that are not loaded yet, then stop.
@@ -29,6 +27,9 @@ def load_snapshot(
     The stream's checkpoint keeps the set of loaded files and advances only
     after a batch is written. A batch that runs twice writes the same rows: the upsert is
     keyed, and rejects and metrics are partitions named after the batch.
+
+    By default all pending files make one batch, so that each touched bucket of the
+    target is rewritten once per run; ``files_per_batch`` trades that for smaller steps.
     """
     path = entity_path(base, entity)
     if not has_files(spark, path, ".gz"):
@@ -58,12 +59,11 @@ def load_snapshot(
             .parquet(metrics)
         )
 
+    reader = spark.readStream.format("text").schema("value string, updated_date date").option("pathGlobFilter", "*.gz")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = (
-        spark.readStream.format("text")
-        .schema("value string, updated_date date")
-        .option("pathGlobFilter", "*.gz")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .load(path)
+        reader.load(path)
         .select("value", "updated_date", F.col("_metadata.file_path").alias("file_path"))
     )
     query = (
