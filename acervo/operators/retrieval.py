@@ -11,6 +11,10 @@ a common word. Instead:
    matched; a pair that cannot reach the floor even with all of the left-out tokens goes.
 3. The pairs that stay are completed with the left-out tokens and ranked.
 
+Texts with the same tokens score alike, so equal titles, and equal queries, are
+matched as one set and told apart at the end: thousands of titles "Editorial"
+cost as much as one.
+
 The result equals scoring all pairs. Matches are salted, so the postings of
 a frequent token spread over many tasks, and summed per pair on the map side.
 """
@@ -30,6 +34,12 @@ SALTS = 16
 PAIR = ["q_id", "t_id"]
 
 
+def _tokenised(df: DataFrame, key: str, text: str, alias: str) -> DataFrame:
+    """Sorted distinct tokens of each text, and a digest that names the set."""
+    words = df.select(F.col(key).alias(alias), F.array_sort(tokens(F.col(text))).alias("words"))
+    return words.withColumn("digest", F.sha2(F.array_join("words", " "), 256))
+
+
 def _total(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(*PAIR).agg(F.sum("weight").cast(WEIGHT).alias("score"))
 
@@ -52,30 +62,53 @@ def _ranked(scores: DataFrame, k: int) -> DataFrame:
 
 
 def query_terms(asked: DataFrame, postings: DataFrame, total) -> DataFrame:
-    """Tokens of each query with their weight; ``rarer_df`` counts the postings of
+    """Tokens of each query with their weight; ``rarer_sets`` counts the postings of
     the query's rarer tokens, ``reach`` is what this and all commoner tokens can add."""
-    weights = postings.groupBy("token").agg(F.count("*").alias("df"))
+    weights = postings.groupBy("token").agg(F.sum("copies").alias("df"), F.count("*").alias("sets"))
     weights = weights.withColumn("weight", F.round(F.ln(1 + total / F.col("df")), 6).cast(WEIGHT))
     rare_first = W.partitionBy("q_id").orderBy("df", "token")  # one title's tokens
     return (
         asked.join(weights, "token")
-        .withColumn("rarer_df", F.coalesce(F.sum("df").over(rare_first.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("rarer_sets", F.coalesce(F.sum("sets").over(rare_first.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("reach", F.sum("weight").over(rare_first.rowsBetween(0, W.unboundedFollowing)))
     )
 
 
+def _members(best: DataFrame, words: DataFrame, k: int) -> DataFrame:
+    """The titles of the best sets: per set the k smallest ids, the only ones that can rank.
+
+    A set is named by its smallest title id, so k sets cover the k best titles.
+    """
+    named = words.select(F.col("title_id").alias("t_id"), "digest")
+    chosen = named.join(best.select("t_id").distinct(), "t_id")
+    copies = words.select("title_id", "digest").join(chosen, "digest")
+    first = top_per_key(copies, ["t_id"], [F.asc("title_id")], k).select("t_id", "title_id")
+    return best.join(first, "t_id").select("q_id", F.col("title_id").alias("t_id"), "score")
+
+
 def top_candidates(
     queries: DataFrame, query_id: str, query_text: str, titles: DataFrame, title_id: str, title: str, k: int = 20
 ) -> DataFrame:
     """``(q_id, t_id, score, rank)``: the k best titles per query, ties by title id."""
-    asked = queries.select(F.col(query_id).alias("q_id"), F.explode(tokens(F.col(query_text))).alias("token"))
-    spread = titles.select(F.col(title_id).alias("t_id"), F.explode(tokens(F.col(title))).alias("token"))
-    # titles are tokenised once, and only tokens that some query has are kept
-    postings = materialise(spread.join(asked.select("token").distinct(), "token", "left_semi"), "postings")
+    named = _tokenised(queries, query_id, query_text, "query_id")
+    asked = named.groupBy(F.col("digest").alias("q_id")).agg(F.any_value("words").alias("words"))
+    asked = asked.select("q_id", F.explode("words").alias("token"))
+    # titles are tokenised once
+    words = materialise(_tokenised(titles, title_id, title, "title_id"), "title-tokens")
+    sets = words.groupBy("digest").agg(
+        F.min("title_id").alias("t_id"), F.count("*").alias("copies"), F.any_value("words").alias("words")
+    )
+    # only tokens that some query has are kept
+    postings = materialise(
+        sets.select("t_id", "copies", F.explode("words").alias("token")).join(
+            asked.select("token").distinct(), "token", "left_semi"
+        ),
+        "postings",
+    )
     total = titles.agg(F.count("*")).scalar()
     terms = materialise(query_terms(asked, postings, total), "query-terms")
 
-    opening = _matched(terms.where(F.col("rarer_df") < k), postings)
+    opening = _matched(terms.where(F.col("rarer_sets") < k), postings)
     leaders = materialise(_ranked(opening, k), "leading-candidates")
     floors = (
         _scored_over(leaders, terms, postings)
@@ -107,4 +140,6 @@ def top_candidates(
     whole = hopeful.join(rest, PAIR, "left").select(
         *PAIR, (F.col("score") + F.coalesce("more", F.lit(0).cast(WEIGHT))).cast(WEIGHT).alias("score")
     )
-    return _ranked(whole, k)
+    best = materialise(_ranked(whole, k).drop("rank"), "best-sets")
+    ranked = _ranked(_members(best, words, k), k).withColumnRenamed("q_id", "digest")
+    return ranked.join(named.select("digest", F.col("query_id").alias("q_id")), "digest").select(*PAIR, "score", "rank")

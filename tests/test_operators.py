@@ -227,9 +227,11 @@ def test_top_candidates_equal_all_pairs(spark, seed):
     words = [f"word{i}" for i in range(40)]
     pick = lambda n: " ".join(words[min(int(rng.paretovariate(0.7)) - 1, 39)] for _ in range(n))
     titles = {i: pick(rng.randint(1, 8)) for i in range(150)}
+    titles |= {i: "word1 word3 word9" for i in range(150, 230, 2)} | {i: "Word9, word3 - WORD1!" for i in range(151, 230, 2)}
     asked = {i: pick(rng.randint(1, 6)) for i in range(25)}
     asked[25] = "word0 word0"
     asked[26] = "unknown token"
+    asked |= {27: "word9 word1 word2", 28: "word2 word9 word1", 29: "word9 word1 word2"}
     t_df = spark.createDataFrame(list(titles.items()), "id int, title string")
     q_df = spark.createDataFrame(list(asked.items()), "qid int, text string")
     got = retrieval.top_candidates(q_df, "qid", "text", t_df, "id", "title", 5)
