@@ -166,9 +166,15 @@ def cut(works: DataFrame, routes: list[DataFrame], order: Sequence[Column] = ())
     return unique_works(spread_join(works, routes_by_work(routes), "id"), order)
 
 
+def _content_hash(df: DataFrame) -> Column:
+    """Hash over all columns; maps and VARIANT values count by their JSON text."""
+    parts = [F.to_json(name) if "map<" in kind or "variant" in kind else F.col(name) for name, kind in df.dtypes]
+    return F.xxhash64(*parts)
+
+
 def unique_works(works: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     """First work per id; by default in the order of a hash over the whole document."""
-    return first_per_key(works, ["id"], list(order) or [F.xxhash64(*works.columns)])
+    return first_per_key(works, ["id"], list(order) or [_content_hash(works)])
 
 
 def closure(authors: DataFrame, works: DataFrame) -> DataFrame:

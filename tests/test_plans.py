@@ -93,6 +93,14 @@ def test_country_cut_end_to_end(spark, works, namespace):
     spark.sql(f"DROP DATABASE {out} CASCADE")
 
 
+def test_unique_works_of_any_schema(spark):
+    df = spark.createDataFrame([("a", '{"x": 1}'), ("a", '{"x": 2}'), ("b", None)], "id string, t string")
+    works = df.select("id", F.parse_json("t").alias("raw"), F.create_map("id", "t").alias("m"))
+    first = rows(country_cut.unique_works(works).select("id", F.to_json("raw")))
+    assert [r[0] for r in first] == ["a", "b"]
+    assert rows(country_cut.unique_works(works.repartition(3)).select("id", F.to_json("raw"))) == first
+
+
 def test_all_doi_sources(spark):
     field = "array<struct<element:string,qualifier:string,text:string>>"
     inputs = country_cut.DoiInputs(
