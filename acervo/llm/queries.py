@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.catalogue.registry import table
-from acervo.llm import line_dedup, mixing, quality_rules, simhash
+from acervo.llm import html_extract, line_dedup, mixing, packing, quality_rules, simhash, topk_index, url_filter
 from acervo.llm import sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +34,30 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+def op4_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))
+
+
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages")).drop("purity")
+
+
+def op10_topk_index(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_index.top_k(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
+    "op3_packing": op3_packing,
+    "op4_html_extract": op4_html_extract,
+    "op5_url_filter": op5_url_filter,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
+    "op10_topk_index": op10_topk_index,
 }
-SQL: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op2_line_dedup": oracle.LINES}
+SQL: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op2_line_dedup": oracle.LINES, "op5_url_filter": oracle.URLS, "op10_topk_index": oracle.TOP}

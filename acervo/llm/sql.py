@@ -65,3 +65,74 @@ SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT)
        CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, md5(k.body) AS text_md5
 FROM documents d LEFT JOIN kept k ON k.doc_id IS NOT DISTINCT FROM d.doc_id AND k.text = d.text
 """
+
+URLS = r"""
+WITH RECURSIVE parts AS (
+    SELECT page_id, translate(CASE WHEN pos > 0 THEN regexp_extract(rest, '^([^/?#]*)', 1) ELSE '' END, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           CASE WHEN pos > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+    FROM (SELECT page_id, coalesce(strpos(url, '://'), 0) AS pos, substr(url, strpos(url, '://') + 3) AS rest FROM pages)
+),
+ruled AS (
+    SELECT page_id, host, path, CASE
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule,
+        list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''),
+            lambda s: CASE WHEN regexp_matches(s, '^[0-9]+$') OR (regexp_matches(s, '[0-9]') AND length(s) >= 8) THEN '*' ELSE s END) AS segments
+    FROM parts
+),
+judged AS (
+    SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS verdict,
+           array_to_string(segments, '/') AS route FROM ruled
+),
+routes AS (
+    SELECT host, route, any_value(segments) AS segments, count(*) AS n, count(verdict) AS lab, count(*) FILTER (WHERE verdict = 'block') AS bad
+    FROM judged GROUP BY host, route
+),
+steps AS (
+    SELECT host, route, n, lab, bad, i AS depth, segments[i] AS child, array_to_string(segments[1:i - 1], '/') AS parent
+    FROM (SELECT *, unnest(range(1, len(segments) + 1)) AS i FROM routes)
+),
+nodes AS (SELECT host, parent, depth, child, sum(n) AS n, sum(lab) AS lab, sum(bad) AS bad FROM steps GROUP BY ALL),
+above AS (SELECT host, parent, depth, count(*) AS children, sum(n) AS all_n, sum(lab) AS all_lab, sum(bad) AS all_bad FROM nodes GROUP BY ALL),
+named AS (
+    SELECT host, parent, depth, child, lab, bad, CASE
+        WHEN (children > 8 AND n < 0.02::DOUBLE * all_n) OR lab = 0
+          OR abs(bad - lab * (all_bad / all_lab::DOUBLE)) <= 1.96::DOUBLE * sqrt(lab * (all_bad / all_lab::DOUBLE) * (1 - all_bad / all_lab::DOUBLE))
+        THEN '*' ELSE child END AS name
+    FROM nodes JOIN above USING (host, parent, depth)
+),
+pooled AS (SELECT host, parent, depth, name, sum(lab) AS lab, sum(bad) AS bad FROM named GROUP BY ALL),
+levels AS (
+    SELECT s.host, s.route, s.depth, n.name, p.lab, p.bad FROM steps s JOIN named n USING (host, parent, depth, child)
+    JOIN pooled p ON p.host = n.host AND p.parent = n.parent AND p.depth = n.depth AND p.name = n.name
+),
+walk(host, route, depth, template, purity) AS (
+    SELECT r.host, r.route, 0, r.host, (h.bad + 2 * w.p) / (h.lab + 2)
+    FROM routes r JOIN (SELECT host, sum(lab)::DOUBLE AS lab, sum(bad)::DOUBLE AS bad FROM routes GROUP BY host) h USING (host),
+         (SELECT (sum(bad) + 1)::DOUBLE / (sum(lab) + 2)::DOUBLE AS p FROM routes) w
+    UNION ALL
+    SELECT w.host, w.route, w.depth + 1, w.template || '/' || l.name, (l.bad::DOUBLE + 2 * w.purity) / (l.lab::DOUBLE + 2)
+    FROM walk w JOIN levels l ON l.host = w.host AND l.route = w.route AND l.depth = w.depth + 1
+),
+ends AS (SELECT host, route, arg_max(template, depth) AS template, arg_max(purity, depth) AS purity FROM walk GROUP BY host, route)
+SELECT j.page_id, j.host, j.path, j.rule, coalesce(j.verdict, CASE WHEN e.purity >= 0.6 THEN 'block' ELSE 'allow' END) AS verdict, e.template
+FROM judged j JOIN ends e ON e.host = j.host AND e.route = j.route
+"""
+
+TOP = r"""
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+parts AS (SELECT vec_id, generate_subscripts(v, 1) AS i, unnest(v) AS x FROM whole),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM parts q JOIN parts c ON q.i = c.i AND q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id GROUP BY q.vec_id, c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 10
+"""
