@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.catalogue.registry import table
-from acervo.llm import html_extract, line_dedup, mixing, packing, quality_rules, simhash, topk_index, url_filter
+from acervo.llm import html_extract, line_dedup, mixing, packing, quality_rules, recurrent_lm, simhash, token_codec, topk_index, url_filter
 from acervo.llm import sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
+def op6_token_codec(spark: SparkSession, folder: str) -> DataFrame:
+    return token_codec.round_trip(table(spark, folder, "documents")).drop("ids_bytes")
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
@@ -46,6 +50,10 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages")).drop("purity")
 
 
+def op9_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return recurrent_lm.score(table(spark, folder, "documents"))
+
+
 def op10_topk_index(spark: SparkSession, folder: str) -> DataFrame:
     return topk_index.top_k(table(spark, folder, "embeddings"))
 
@@ -56,8 +64,10 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_html_extract": op4_html_extract,
     "op5_url_filter": op5_url_filter,
+    "op6_token_codec": op6_token_codec,
     "op7_quality_rules": op7_quality_rules,
     "op8_simhash": op8_simhash,
+    "op9_recurrent_lm": op9_recurrent_lm,
     "op10_topk_index": op10_topk_index,
 }
 SQL: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op2_line_dedup": oracle.LINES, "op5_url_filter": oracle.URLS, "op10_topk_index": oracle.TOP}
