@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from acervo.session import materialise
 
@@ -231,6 +232,19 @@ def judge(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFra
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs`` that are kept; of rows that share an id, all go if one is rejected."""
-    gone = judge(docs, labels, rows).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that are kept, as they are: the counts ride along with each row instead of being joined to it."""
+    rules = fit(measure(docs), labels, rows)
+    names = [part.split()[0] for part in COUNTS.split(", ")][1:]
+    hidden = [f"_count_{n}" for n in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = np.array([counts_of(t.as_py() or b"") for t in batch.column("_text").cast(pa.binary())], np.int64).reshape(-1, len(names))
+            columns = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_text"]
+            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(counts[:, k]) for k in range(len(names))]], [*[n for n in batch.schema.names if n != "_text"], *hidden])
+
+    schema = StructType([*docs.schema.fields, *[StructField(n, LongType()) for n in hidden]])
+    counted = docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, schema)
+    # the rules are written in the plain names of the counts, which a column of docs may have too
+    judged = counted.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"), *[F.col(h).alias(n) for h, n in zip(hidden, names, strict=True)])
+    return judged.where(~base_failed() & rejected_by(rules).isNull()).select("_doc.*")

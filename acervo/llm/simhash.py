@@ -7,11 +7,12 @@ from functools import reduce
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from acervo.session import materialise
 
@@ -267,3 +268,97 @@ def near_duplicates(docs: DataFrame, size: int = 4, budget: int = BUDGET) -> Dat
         F.col("fp").alias("_fp"), F.coalesce("component_id", "first").alias("component_id")
     )
     return fps.join(whole, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+
+
+#: Stage on whole documents: fingerprints of distinct word pairs find candidates, sets of five-word shingles decide.
+PAIR_WORDS, PAIR_BUDGET = 2, 8
+SHINGLE, SIMILARITY = 5, 0.8
+
+
+def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of ``size`` words (all words, if fewer; none without words)."""
+    words = text.lower().split()
+    parts = [b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(p, SEED) for p in parts), np.uint64, len(parts))).view(np.int64)
+
+
+def set_id(shingles: np.ndarray) -> int:
+    """A hash of a whole set: texts with equal shingles are one node."""
+    return int(np.int64(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64)))
+
+
+def near_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, node, keeper`` per row: the smallest id of the document's group of near-duplicates.
+
+    Documents link if the Jaccard similarity of their five-word shingles is at least ``similarity``. Candidates come from the trie join
+    of fingerprints of distinct word pairs: the links that connect everything within the budget, and one from each
+    to the first of what they connect. So a cluster of copies is checked by as many links as it has members, not by
+    all its pairs; copies with equal shingles are one node.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t.as_py() or b"" for t in batch.column(1).cast(pa.binary())]
+            fps = np.array([fingerprint(t, PAIR_WORDS, True) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), pa.array([set_id(shingle_set(t)) for t in texts], pa.int64())], ["doc_id", "fp", "node"])
+
+    source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    marked = materialise(source.mapInArrow(run, "doc_id long, fp long, node long"), "near-marked")
+    nodes = materialise(marked.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("first")), "near-nodes")
+    heads = materialise(nodes.groupBy("fp").agg(F.min("node").alias("head")), "near-heads")
+    links = materialise(linked_fingerprints(heads, PAIR_BUDGET), "near-candidates")
+    stars = components(links).where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    by_fp = links.unionByName(stars).distinct()
+    named = heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), heads.select(F.col("fp").alias("b"), F.col("head").alias("y"))
+    across = by_fp.join(named[0], "a").join(named[1], "b").select("x", "y")
+    within = nodes.join(heads, "fp").where("node <> head").select(F.col("node").alias("x"), F.col("head").alias("y"))
+    edges = materialise(across.unionByName(within), "near-edges")
+    ends = edges.select(F.col("x").alias("node")).unionByName(edges.select(F.col("y").alias("node"))).distinct()
+    wanted = ends.join(nodes, "node").select("first", F.lit(1).alias("_wanted"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_set(t.as_py() or b"") for t in batch.column(0).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(map(set_id, found)), pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    texts = source.join(wanted.select("first").distinct(), source["doc_id"].eqNullSafe(F.col("first")), "left_semi").select("text")
+    shingles = materialise(texts.mapInArrow(sets, "node long, shingles array<long>").dropDuplicates(["node"]), "near-sets")
+    left, right = shingles.select(F.col("node").alias("x"), F.col("shingles").alias("p")), shingles.select(F.col("node").alias("y"), F.col("shingles").alias("q"))
+    both = edges.join(left, "x").join(right, "y")
+    shared = F.size(F.array_intersect("p", "q"))
+    alike = both.where(shared >= similarity * (F.size("p") + F.size("q") - shared)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    roots = components(alike)
+    joined = nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
+    keepers = joined.groupBy("root").agg(F.min("first").alias("keeper"))
+    whole = joined.select("node", "root").join(keepers, "root").select(F.col("node").alias("_node"), "keeper")
+    return marked.join(whole, F.col("node") == F.col("_node")).select("doc_id", "node", "keeper")
+
+
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """One document of each group of near-duplicates of ``docs``: that of the smallest id.
+
+    Texts without words are alike; so are a null and an empty text. A group without ids keeps one row. Rows that share an
+    id stay or go by their own text, and of rows equal in id and text one stays. All columns are carried through.
+    """
+    groups = materialise(near_groups(docs, similarity), "near-groups")
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select(F.col("doc_id").alias("_gone"), F.col("node").alias("_node"))
+    repeated = materialise(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_twice")), "near-repeated")
+    key = docs["doc_id"].cast("long")
+    if repeated.isEmpty():
+        return docs.join(gone.select("_gone").distinct(), key == F.col("_gone"), "left_anti")
+    # ids that several rows share: their rows are compared by text
+    single = docs.join(repeated, key.eqNullSafe(F.col("_twice")), "left_anti")
+    single = single.join(gone.select("_gone").distinct(), single["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [set_id(shingle_set(t.as_py() or b"")) for t in batch.column("_text").cast(pa.binary())]
+            rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_text"]
+            yield pa.RecordBatch.from_arrays([*[c for _, c in rest], pa.array(nodes, pa.int64())], [*[n for n, _ in rest], "_of"])
+
+    shared = docs.join(repeated, key.eqNullSafe(F.col("_twice")), "left_semi").withColumn("_text", F.col("text").cast("string"))
+    marked = shared.mapInArrow(run, StructType([*docs.schema.fields, StructField("_of", LongType())]))
+    kept = marked.join(gone.distinct(), marked["doc_id"].cast("long").eqNullSafe(F.col("_gone")) & (F.col("_of") == F.col("_node")), "left_anti")
+    # a group keeps its smallest id, so what is left of an id and a node is one text many times
+    first = kept.withColumn("_nth", F.row_number().over(W.partitionBy("doc_id", "_of").orderBy(F.xxhash64("text")))).where("_nth = 1")
+    return single.unionByName(first.select(*docs.columns))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -25,7 +24,6 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-@lru_cache(maxsize=2)
 def byte_encoder(path: str = BYTE_BPE) -> Callable[[str], list[int]]:
     """Text to the ids that the tokenizers library gives for a byte-level BPE file, without special tokens added.
 
