@@ -50,9 +50,9 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     kept_columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     found = repeated_windows(docs, window).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("starts").alias("_starts"))
-    met = docs.join(found, (F.xxhash64(docs["text"]) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id")), "left")
+    met = docs.join(found, (F.xxhash64(docs["text"]) == found["_hash"]) & docs["doc_id"].eqNullSafe(found["_id"]), "left")
     lines = lines_of(docs["text"])
-    starts = F.col("_starts")
+    starts = found["_starts"]
     #: The uncovered lines between one covered window and the next, by (first, number).
     gaps = F.transform(
         F.sequence(F.lit(0), F.size(starts)),

@@ -105,17 +105,12 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     """
     use = mix(docs, weights, most, seed).groupBy("doc_id", "source", "size", "text_hash").agg(F.floor(F.avg("taken")).cast("long").alias("_taken")).where("_taken > 0")
     use = use.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("text_hash").alias("_hash"), "_taken")
-    met = docs.join(
-        use,
-        (F.xxhash64(docs["text"]) == F.col("_hash")) & docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source")),
-    )
-    some = F.col("_taken") % F.col("_size")
-    gives = F.concat(
-        F.array_repeat(F.col("_size"), F.expr("int(_taken DIV _size)")), F.filter(F.array(some), lambda n: n > 0)
-    )
-    met = met.withColumn("_give", F.explode(gives))
-    text = F.when(F.col("_give") == F.col("_size"), docs["text"]).otherwise(first_words(docs["text"], F.col("_give")))
-    return met.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    met = docs.join(use, (F.xxhash64(docs["text"]) == use["_hash"]) & docs["doc_id"].eqNullSafe(use["_id"]) & docs["source"].eqNullSafe(use["_source"]))
+    whole, some = F.floor(use["_taken"] / use["_size"]).cast("int"), use["_taken"] % use["_size"]
+    gives = F.concat(F.array_repeat(use["_size"], whole), F.filter(F.array(some), lambda n: n > 0))
+    used = met.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), use["_size"].alias("size"), F.explode(gives).alias("give"))
+    text = F.when(F.col("give") == F.col("size"), F.col("doc.text")).otherwise(first_words(F.col("doc.text"), F.col("give")))
+    return used.select(*[text.alias(c) if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def first_words(text: Column, n: Column) -> Column:

@@ -157,8 +157,14 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
                     best = (float(gain[k]), Condition(name, above, float(cuts[k])))
         if best[1] is None:
             break
-        rule += (best[1],)
-        hit &= best[1].holds(x)
+        found = best[1]
+        # half way to the next value seen, so that the edge of the sample is not the edge of the rule
+        inside = x[found.feature][hit]
+        beyond = inside[inside > found.cut]
+        if len(beyond):
+            found = Condition(found.feature, found.above, float((found.cut + beyond.min()) / 2))
+        rule += (found,)
+        hit &= found.holds(x)
     return rule
 
 
