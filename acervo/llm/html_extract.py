@@ -25,7 +25,8 @@ TOKEN = re.compile(
     r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|object|textarea|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<[!?][^>]*>",
+    r"|<[!?][^>]*>"
+    r"|<[a-zA-Z/!?][^>]*\Z",
     re.S | re.I,
 )
 BLOCKS = frozenset(

@@ -231,7 +231,7 @@ def train_window(net: Network, memory: Network, x: np.ndarray, y: np.ndarray, h:
 
 def train_on(net: Network, memory: Network, stream: np.ndarray) -> None:
     """Train on a stream of documents, each with its end last: cut into lanes, the state carried from window to window."""
-    lanes = min(LANES, max(1, len(stream) // (2 * BACK)))
+    lanes = min(LANES, max(1, len(stream) // (40 * BACK)))
     each = (len(stream) - 1) // lanes
     if each < 1:
         return
