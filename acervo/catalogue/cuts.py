@@ -261,7 +261,7 @@ def html_regex_extract(spark: SparkSession, d: str) -> DataFrame:
 # -- similarity ----------------------------------------------------------------
 
 _SQL_TOKENS = r"""list_distinct(list_filter(regexp_split_to_array(
-    replace(replace(strip_accents(lower(text)), 'ß', 'ss'), '.', ''), '[^\p{L}\p{N}]+'), lambda w: length(w) >= 3))"""
+    replace(replace(strip_accents(lower(text)), 'ß', 'ss'), '.', ''), '[^\p{L}\p{N}]+'), lambda w: w <> ''))"""
 
 
 @query(f"""

@@ -50,7 +50,7 @@ def fold_text(value: Column) -> Column:
     return F.replace(strip_text(to_ascii_lower(value)), F.lit("."), F.lit(""))
 
 
-def tokens(value: Column, min_length: int = 3) -> Column:
+def tokens(value: Column, min_length: int = 1) -> Column:
     """Distinct letter/digit runs of the folded text, in order of appearance."""
     words = F.split(fold_text(value), r"[^\p{L}\p{N}]+")
     return F.array_distinct(F.filter(words, lambda w: F.length(w) >= min_length))

@@ -16,10 +16,11 @@ log = logging.getLogger(__name__)
 
 
 def _write(good: DataFrame, source: Source, table: str) -> None:
+    order = [F.expr(o) for o in source.order] or None
     if source.mode == "upsert":
-        catalog.upsert_table(good, table, source.key)
+        catalog.upsert_table(good, table, source.key, order)
     elif source.mode == "replace":
-        catalog.replace_rows_table(good, table, source.key)
+        catalog.replace_rows_table(good, table, source.key, order)
     elif source.mode == "truncate":
         catalog.truncate_and_load(good, table)
     else:

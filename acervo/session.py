@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RUNS: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -26,16 +31,23 @@ def build_session(app: str = "acervo", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only when the setting is absent (unit tests).
+    Where it is not set, a session on one machine (master ``local[...]``) uses a temporary folder; on a cluster
+    executors would each write to their own, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not on_one_machine(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="acervo-checkpoint-")
         spark.sparkContext.setCheckpointDir(current)
     return current
@@ -45,6 +57,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/acervo/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop; one that is not there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialise`` writes inside go when the run ends well; a failed run leaves them to be looked at.
+
+    For runs that write their result. A plan that is returned unread still needs its tables.
+    """
+    outer, mine = _RUNS.get(), []
+    _RUNS.set(mine)
+    try:
+        yield
+        for path in mine:
+            discard(spark, path)
+    finally:
+        _RUNS.set(outer)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -54,5 +88,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if (run := _RUNS.get()) is not None:
+        run.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -8,12 +8,13 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.functions.nested import truthy
 from acervo.operators import merge
 from acervo.operators.dedup import first_per_key
+from acervo.operators.quality import assert_unique
 from acervo.sources.tables import table_names
 
 log = logging.getLogger(__name__)
@@ -51,18 +52,52 @@ def append_load(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 
 
-def build_then_swap(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-    """Write next to the table, then put it in its place.
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    if not spark.catalog.tableExists(table):
+        return []
+    return [f.name for f in spark.catalog.listColumns(table) if f.isPartition]
+
+
+def rename_table(spark: SparkSession, table: str, name: str) -> None:
+    """Rename; a catalog may leave the partitions of a moved table at the old place, so they are found again."""
+    layout = partition_columns(spark, table)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {name}")
+    if layout:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
-    ``df`` may read ``table``. A leftover of an interrupted run is overwritten; until the
-    swap the old table is whole.
+
+def build_then_swap(df: DataFrame, table: str, partition_by: Sequence[str] | None = None) -> None:
+    """Write next to the table, then put it in its place; the partitioning is the table's own unless named.
+
+    ``df`` may read ``table``. A leftover of an interrupted run is overwritten. The old table is moved aside by a rename and
+    dropped last, so its rows are there until the new one has its name; a run that finds only the old one moves it back.
     """
     spark = df.sparkSession
-    building = f"{table}__building"
+    building, old = f"{table}__building", f"{table}__old"
+    layout = partition_columns(spark, table) if partition_by is None else list(partition_by)
     spark.sql(f"DROP TABLE IF EXISTS {building}")
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(building)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
+    df.write.mode("overwrite").partitionBy(*layout).saveAsTable(building)
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    if spark.catalog.tableExists(table):
+        rename_table(spark, table, old)
+    rename_table(spark, building, table)
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def mend_swap(spark: SparkSession, table: str) -> bool:
+    """After an interrupted swap: put the old table back if the new one has not taken its name yet."""
+    if spark.catalog.tableExists(table) or not spark.catalog.tableExists(f"{table}__old"):
+        return False
+    rename_table(spark, f"{table}__old", table)
+    return True
+
+
+def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None) -> DataFrame:
+    """Source rows with unique keys: the first in ``order``, or without an order the rows as they are if no key repeats."""
+    if order is not None:
+        return first_per_key(source, list(keys), list(order))
+    assert_unique(source, keys)
+    return source
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
@@ -81,39 +116,58 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
 
 
 def _current(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
+    mend_swap(spark, table)
     return spark.table(table) if spark.catalog.tableExists(table) else like.limit(0)
 
 
-def upsert_table(source: DataFrame, table: str, keys: Sequence[str], **rules) -> None:
+def upsert_table(source: DataFrame, table: str, keys: Sequence[str], order: Sequence[Column] | None = None, **rules) -> None:
+    """Field-level upsert. Of source rows of one key the first in ``order`` counts; without an order they are an error."""
+    source = one_per_key(source, keys, order)
     target = _current(source.sparkSession, table, source)
     build_then_swap(merge.upsert(target, source, keys, **rules), table)
 
 
-def replace_rows_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:
+def replace_rows_table(source: DataFrame, table: str, keys: Sequence[str], order: Sequence[Column] | None = None) -> None:
+    source = one_per_key(source, keys, order)
     build_then_swap(merge.replace_rows(_current(source.sparkSession, table, source), source, keys), table)
 
 
-def keep_existing_table(source: DataFrame, table: str, keys: Sequence[str]) -> None:
+def keep_existing_table(source: DataFrame, table: str, keys: Sequence[str], order: Sequence[Column] | None = None) -> None:
     """Only the missing rows are written; the stored files stay as they are."""
+    source = one_per_key(source, keys, order)
     target = _current(source.sparkSession, table, source)
-    append_load(source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns), table)
+    layout = partition_columns(source.sparkSession, table)
+    fresh = source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
+    fresh.write.mode("append").partitionBy(*layout).saveAsTable(table)
+
+
+def partition_spec(group: str, value: object) -> str:
+    """SQL for one partition; a null group lies in the default partition, quotes and backslashes are escaped."""
+    if value is None:
+        return f"PARTITION (`{group}` = NULL)"
+    text = str(value).replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))
+    return f"PARTITION (`{group}` = '{text}')"
 
 
 def replace_partitions(source: DataFrame, table: str, group: str, groups: DataFrame) -> None:
-    """Replace all rows of the named groups in a table partitioned by ``group``.
+    """Replace all rows of the named groups in a table partitioned by ``group``, a null group included.
 
-    Only those partitions are written. A named group without rows is emptied.
+    Only those partitions are written, and a named group without rows is emptied, after the others are in place: in one
+    statement for up to a hundred of them.
     """
     spark = source.sparkSession
-    incoming = source.join(groups.select(group).distinct(), group, "left_semi")
+    named = groups.select(F.col(group).alias("__group")).distinct()
+    incoming = source.join(named, source[group].eqNullSafe(F.col("__group")), "left_semi")
     if not spark.catalog.tableExists(table):
         incoming.write.partitionBy(group).saveAsTable(table)
         return
     # group names number as many as partitions, which the catalog holds anyway
-    empty = groups.select(group).distinct().join(incoming.select(group), group, "left_anti")
-    for (value,) in empty.toLocalIterator():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({group} = '{str(value).replace(chr(39), chr(92) + chr(39))}')")
+    present = incoming.select(F.col(group).alias("__there")).distinct()
+    empty = [value for (value,) in named.join(present, F.col("__group").eqNullSafe(F.col("__there")), "left_anti").toLocalIterator()]
     overwrite_partitions(incoming, table)
+    for at in range(0, len(empty), 100):
+        specs = ", ".join(partition_spec(group, value) for value in empty[at : at + 100])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
 def load_by_content(documents: DataFrame, table: str, key: str = "id", order: str = "position") -> str:

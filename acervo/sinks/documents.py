@@ -1,8 +1,8 @@
-"""Schemaless record table: ``id``, ``raw`` VARIANT and the version it came from.
+"""Schemaless record table: versions of records, each ``id``, ``raw`` VARIANT and where it came from.
 
-The table is a Parquet folder partitioned by a hash bucket of the id. A load
-reads and rewrites only the buckets it touches, by dynamic partition overwrite,
-so an unfinished job leaves the old buckets whole.
+The table is a Parquet folder of immutable deltas, one partition per batch. A load appends the rows it brings and nothing
+else, so what it writes is in proportion to what it brings. What a record is follows from its versions
+alone, whatever order they were loaded in: of each field the value of the latest version that has it.
 """
 
 from __future__ import annotations
@@ -10,20 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acervo.functions.nested import merge_objects
 from acervo.session import materialise
 from acervo.sources.paths import has_files
 
 VERSION = ["updated_date", "file_path", "line_no"]
-STORED_SCHEMA = "id string, raw variant, updated_date date, file_path string, line_no long, bucket int"
+STORED_SCHEMA = "id string, raw variant, updated_date date, file_path string, line_no long, batch_id long"
+COLUMNS = [f.split()[0] for f in STORED_SCHEMA.split(", ")]
 
 
-def stored_documents(spark: SparkSession, path: str) -> DataFrame:
+def stored_versions(spark: SparkSession, path: str) -> DataFrame:
+    """All versions that are stored, with the batch that brought them."""
     if not has_files(spark, path, ".parquet"):
         return spark.createDataFrame([], STORED_SCHEMA)
     return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
+def stored_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One record per id, resolved from its versions: ``id, raw`` and the latest version's columns."""
+    return merged_by_id(stored_versions(spark, path))
+
+
 def merged_by_id(incoming: DataFrame) -> DataFrame:
     """One record per id: of each field the value of the latest version that has it.
 
@@ -47,57 +53,61 @@ def merged_by_id(incoming: DataFrame) -> DataFrame:
     return single.unionByName(whole.select("id", "raw", *[F.col("version")[v].alias(v) for v in VERSION]))
 
 
-def upsert_documents(spark: SparkSession, path: str, incoming: DataFrame, buckets: int = 64) -> DataFrame:
-    """Field-level upsert of ``incoming`` (id, raw and the version columns).
-
-    Fields are laid over each other in the order (updated_date, file_path, line_no),
-    within a load and between loads, so a re-run gives the same table. Returns
-    counters per file.
-    """
-    batch = materialise(
-        merged_by_id(incoming).withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")),
-        "document-batch",
-    )
-    # at most `buckets` small integers
-    touched = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
-    stored = stored_documents(spark, path).where(F.col("bucket").isin(touched))
-    old = stored.select("id", "bucket", F.col("raw").alias("old_raw"), F.struct(*VERSION).alias("old_version"))
-    new = batch.select("id", "bucket", F.col("raw").alias("new_raw"), F.struct(*VERSION).alias("new_version"))
-    joined = old.join(new, ["id", "bucket"], "full_outer")
-    newer = F.col("old_version").isNull() | (F.col("new_version") >= F.col("old_version"))
-    merged = F.when(newer, merge_objects(F.col("old_raw"), F.col("new_raw"))).otherwise(
-        merge_objects(F.col("new_raw"), F.col("old_raw"))
-    )
-    version = F.when(newer & F.col("new_version").isNotNull(), F.col("new_version")).otherwise(F.col("old_version"))
-    result = materialise(
-        joined.select(
-            "id",
-            merged.alias("raw"),
-            *[version[c].alias(c) for c in VERSION],
-            "bucket",
-            F.col("new_version.file_path").alias("from_file"),
-            F.when(F.col("new_raw").isNull(), "untouched")
-            .when(F.col("old_raw").isNull(), "upserted")
-            .when(F.to_json(F.col("old_raw")) == F.to_json(merged), "matched")
-            .otherwise("modified")
-            .alias("outcome"),
-        ),
-        "document-merge",
-    )
+def _append(versions: DataFrame, path: str) -> None:
     (
-        result.select(*[f.split()[0] for f in STORED_SCHEMA.split(", ")])
-        .hint("rebalance", "bucket")
+        versions.select(*COLUMNS)
+        .hint("rebalance")
         .write.option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
-        .partitionBy("bucket")
+        .partitionBy("batch_id")
         .parquet(path)
     )
+
+
+def upsert_documents(spark: SparkSession, path: str, incoming: DataFrame, batch_id: int | None = None) -> DataFrame:
+    """Field-level upsert of ``incoming`` (id, raw and the version columns) as one batch.
+
+    Fields are laid over each other in the order (updated_date, file_path, line_no), within a load and between loads.
+    A batch that runs again replaces its own partition. The counters per file that are returned compare
+    each record before the batch with the record after it, by the batches stored before; so they come out the same
+    when it runs again. Without a number the batch comes after all others.
+    """
+    stored = stored_versions(spark, path)
+    if batch_id is None:
+        batch_id = stored.agg(F.coalesce(F.max("batch_id") + 1, F.lit(0))).first()[0]
+    batch = materialise(incoming.select("id", "raw", *VERSION).withColumn("batch_id", F.lit(batch_id).cast("long")), "document-batch")
+    ids = batch.select("id").distinct()
+    # read before the batch is written, and only of the ids it touches
+    earlier = materialise(stored.where(F.col("batch_id") < batch_id).join(ids, "id", "left_semi").select("id", "raw", *VERSION), "document-earlier")
+    _append(batch, path)
+    now = merged_by_id(earlier.unionByName(batch.select("id", "raw", *VERSION))).select("id", F.col("raw").alias("now"))
+    before = merged_by_id(earlier).select("id", F.col("raw").alias("before"))
+    source = batch.groupBy("id").agg(F.max(F.struct(*VERSION)).alias("version")).select("id", F.col("version.file_path").alias("file_path"))
+    compared = source.join(now, "id").join(before, "id", "left")
+    outcome = (
+        F.when(F.col("before").isNull(), "upserted").when(F.to_json("before") == F.to_json("now"), "matched").otherwise("modified")
+    )
     return (
-        result.where("outcome != 'untouched'")
-        .groupBy(F.col("from_file").alias("file_path"))
+        compared.withColumn("outcome", outcome)
+        .groupBy("file_path")
         .agg(
             F.count_if(F.col("outcome") == "upserted").alias("upserted"),
             F.count_if(F.col("outcome") != "upserted").alias("matched"),
             F.count_if(F.col("outcome") == "modified").alias("modified"),
         )
     )
+
+
+def compact_documents(spark: SparkSession, path: str, target: str) -> None:
+    """Write the table to ``target`` without what later versions hide: of every version the fields that still count.
+
+    Versions keep their place in the order, so a late delivery to the compacted table gives the same records.
+    """
+    version = F.struct(*VERSION)
+    fields = stored_versions(spark, path).select(
+        "id", version.alias("version"), F.explode(F.try_variant_get("raw", "$", "map<string,variant>")).alias("field", "value")
+    )
+    kept = fields.groupBy("id", "field").agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
+    # as many entries as the record has fields
+    whole = kept.groupBy("id", "version").agg(F.to_variant_object(F.map_from_entries(F.collect_list(F.struct("field", "value")))).alias("raw"))
+    _append(whole.select("id", "raw", *[F.col("version")[v].alias(v) for v in VERSION], F.lit(0).cast("long").alias("batch_id")), target)

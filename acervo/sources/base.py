@@ -12,12 +12,16 @@ MODES = ("upsert", "replace", "truncate", "append")
 
 @dataclass(frozen=True)
 class Source:
-    """``read(spark)`` gives (good rows, rejects); nothing runs until a sink writes."""
+    """``read(spark)`` gives (good rows, rejects); nothing runs until a sink writes.
+
+    ``order`` says which of several rows of one key counts: the first. Without it a repeated key is an error of the source.
+    """
 
     name: str
     key: tuple[str, ...]
     mode: str
     read: Callable[[SparkSession], tuple[DataFrame, DataFrame]]
+    order: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.mode not in MODES:

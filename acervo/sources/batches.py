@@ -30,10 +30,18 @@ def _unwrap(value: object) -> Iterator[dict]:
         yield from (item for item in value if isinstance(item, dict))
 
 
+def _no_constant(name: str) -> None:
+    raise ValueError(f"{name} is no JSON")
+
+
+def _strict(text: str) -> object:
+    return json.loads(text, parse_constant=_no_constant)
+
+
 def _loads(text: str) -> object:
     """Parsed JSON, or None: a line that is JSON null is no record either."""
     try:
-        return json.loads(text)
+        return _strict(text)
     except ValueError:
         return None
 
@@ -50,7 +58,7 @@ def records_of(text: str) -> Iterator[tuple[dict | None, str | None]]:
     first = _loads(lines[0]) if lines else None
     if not isinstance(first, dict):
         try:
-            yield from ((r, None) for r in _unwrap(json.loads(text)))
+            yield from ((r, None) for r in _unwrap(_strict(text)))
         except ValueError:
             yield None, "bad_json"
         return
@@ -64,7 +72,7 @@ def records_of(text: str) -> Iterator[tuple[dict | None, str | None]]:
         lost = 0
         for n, line in enumerate(lines):
             try:
-                item = json.loads(line)
+                item = _strict(line)
             except ValueError:
                 lost = len(lines) - n
                 break
@@ -78,7 +86,7 @@ def _parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, text in zip(batch["file_path"], batch["value"], strict=True):
             rows = (
-                (path, n, None if record is None else json.dumps(record, ensure_ascii=False), reason)
+                (path, n, None if record is None else json.dumps(record), reason)
                 for n, (record, reason) in enumerate(records_of(text))
             )
             while chunk := list(islice(rows, _BATCH)):
@@ -93,7 +101,9 @@ def read_json_batches(spark: SparkSession, path: str, dump_type: str) -> tuple[D
         .text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file_path"), "value")
     )
-    parsed = files.mapInPandas(_parse_files, _OUT)
-    good = parsed.where("reason is null").select("file_path", "position", F.parse_json("record").alias("raw"))
+    # escapes stay escapes, so one odd value is a reject of its own and does not stop the load
+    parsed = files.mapInPandas(_parse_files, _OUT).withColumn("raw", F.try_parse_json("record"))
+    parsed = parsed.withColumn("reason", F.when(F.col("reason").isNull() & F.col("raw").isNull(), "bad_record").otherwise(F.col("reason")))
+    good = parsed.where("reason is null").select("file_path", "position", "raw")
     rejects = parsed.where("reason is not null").groupBy("file_path", "reason").agg(F.count("*").alias("lines"))
     return good, rejects

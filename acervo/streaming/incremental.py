@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acervo.session import materialise
+from acervo.session import discard, materialise, scratch_run
 from acervo.sinks.documents import upsert_documents
 from acervo.sources.paths import has_files
 from acervo.sources.snapshot import entity_flag, entity_path, parse_lines, split_parsed
 
+#: Files of one batch.
+FILES_PER_BATCH = 1000
+
 
 def load_snapshot(
     spark: SparkSession,
@@ -19,30 +22,32 @@ def load_snapshot(
     checkpoint: str,
     rejects: str,
     metrics: str,
-    files_per_batch: int | None = None,
-    buckets: int = 64,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Load the files that are not loaded yet, then stop.
 
     The stream's checkpoint keeps the set of loaded files and advances only
-    after a batch is written. A batch that runs twice writes the same rows: the upsert is
-    keyed, and rejects and metrics are partitions named after the batch.
+    after a batch is written. A batch that runs twice gives the same records, rejects and metrics: all
+    three are partitions named after the batch, and its counters compare with the batches before it.
 
-    By default all pending files make one batch, so that each touched bucket of the
-    target is rewritten once per run; ``files_per_batch`` trades that for smaller steps.
+    ``files_per_batch`` bounds the unit of a retry; a batch only adds to the target, so more batches cost no rewriting.
     """
     path = entity_path(base, entity)
     if not has_files(spark, path, ".gz"):
         return
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        with scratch_run(spark):
+            write(batch, batch_id)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("line_no", F.monotonically_increasing_id())
         # parsed once; gzip files are read by one task each, the parsed rows by many
         parsed = materialise(parse_lines(numbered, "id", entity_flag(entity)), "parsed-lines")
         good, bad = split_parsed(parsed)
         by_batch = {"partitionOverwriteMode": "dynamic"}
         tag = F.lit(batch_id).alias("batch_id")
-        written = upsert_documents(spark, target, good, buckets)
+        written = upsert_documents(spark, target, good, batch_id)
         bad.select("*", tag).write.options(**by_batch).mode("overwrite").partitionBy("batch_id").parquet(rejects)
         counts = parsed.groupBy("file_path").agg(
             F.count_if(F.col("reason").isNull() & ~F.col("flagged")).alias("records"),
@@ -60,8 +65,7 @@ def load_snapshot(
         )
 
     reader = spark.readStream.format("text").schema("value string, updated_date date").option("pathGlobFilter", "*.gz")
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = (
         reader.load(path)
         .select("value", "updated_date", F.col("_metadata.file_path").alias("file_path"))
@@ -75,6 +79,15 @@ def load_snapshot(
     query.awaitTermination()
 
 
+def reset_snapshot(spark: SparkSession, target: str, checkpoint: str, rejects: str, metrics: str) -> None:
+    """Forget a load: its records, the set of loaded files, rejects and metrics. The next load reads every file again.
+
+    The checkpoint goes first: if the reset breaks off, files are loaded once more and not skipped.
+    """
+    for path in (checkpoint, target, rejects, metrics):
+        discard(spark, path)
+
+
 def load_totals(metrics: DataFrame) -> DataFrame:
     """Counters per entity and in total (entity null)."""
     counters = ["records", "skipped", "errors", "upserted", "matched", "modified"]

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import functools
+import itertools
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -10,12 +13,12 @@ from pyspark.sql import functions as F
 
 from acervo.plans.organisations import load_organisations
 from acervo.plans.runner import run_sources
-from acervo.session import materialise, shared_folder
+from acervo.session import materialise, on_one_machine, scratch_run, shared_folder
 from acervo.sinks import catalog, checkpoints
-from acervo.sinks.documents import stored_documents, upsert_documents
+from acervo.sinks.documents import compact_documents, stored_documents, upsert_documents
 from acervo.sources.base import Source
 from acervo.sources.tables import table_names
-from acervo.streaming.incremental import load_snapshot, load_totals
+from acervo.streaming.incremental import load_snapshot, load_totals, reset_snapshot
 
 c = F.col
 RUN = datetime(2026, 1, 27, 14, 41, 5)
@@ -36,6 +39,33 @@ def test_materialise_uses_the_shared_folder(spark):
     assert df.count() == 5
 
 
+def test_scratch_goes_when_a_run_ends_well(spark):
+    with scratch_run(spark):
+        kept = materialise(spark.range(5), "inner").inputFiles()
+        assert all(Path(f.removeprefix("file://")).exists() for f in kept)
+    assert not any(Path(f.removeprefix("file://")).exists() for f in kept)
+    with pytest.raises(ValueError), scratch_run(spark):
+        left = materialise(spark.range(5), "failed").inputFiles()
+        raise ValueError
+    assert all(Path(f.removeprefix("file://")).exists() for f in left)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    assert on_one_machine("local") and on_one_machine("local[4]") and on_one_machine("local[*]")
+    assert not on_one_machine("local-cluster[3,2,1024]") and not on_one_machine("yarn") and not on_one_machine("spark://h:7077")
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared_folder(Fake)
+
+
 def test_truncate_append_swap(spark, namespace):
     table = f"{namespace}.t"
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
@@ -164,7 +194,7 @@ def test_upsert_documents(spark, tmp_path):
         df = spark.createDataFrame([(json.dumps(d), i) for i, d in enumerate(documents)], "t string, line_no long")
         raw = df.select(F.parse_json("t").alias("raw"), "line_no").withColumn("id", F.try_variant_get("raw", "$.id", "string"))
         raw = raw.withColumns({"updated_date": F.lit(day).cast("date"), "file_path": F.lit(f"{day}.gz")})
-        counters = upsert_documents(spark, str(path), raw, buckets=4)
+        counters = upsert_documents(spark, str(path), raw)
         return rows(counters, "file_path", "upserted", "matched", "modified")
 
     assert load("2024-01-02", {"id": "a", "x": 1, "y": 1}, {"id": "b"}, {"id": "a", "x": 2}) == [("2024-01-02.gz", 2, 0, 0)]
@@ -177,13 +207,82 @@ def test_upsert_documents(spark, tmp_path):
     assert documents_of(spark, path) == {**before, "a": {**before["a"], "old": 1}}
 
 
+def versions(spark, day, document):
+    df = spark.createDataFrame([(json.dumps({"id": "a", **document}), 0)], "t string, line_no long")
+    raw = df.select(F.parse_json("t").alias("raw"), "line_no").withColumn("id", F.lit("a"))
+    return raw.withColumns({"updated_date": F.lit(day).cast("date"), "file_path": F.lit(f"{day}.gz")})
+
+
+def test_every_load_order_gives_the_same_record(spark, tmp_path):
+    all_ = [versions(spark, "2024-01-01", {"a": 1, "b": 1}), versions(spark, "2024-01-02", {"b": 2}), versions(spark, "2024-01-03", {"a": 3})]
+    for n, order in enumerate(itertools.permutations(range(3))):
+        for cut in ((3,), (1, 2), (2, 1), (1, 1, 1)):
+            path, at = f"{tmp_path}/{n}-{len(cut)}-{cut[0]}", 0
+            for size in cut:
+                some = [all_[i] for i in order[at : at + size]]
+                upsert_documents(spark, path, functools.reduce(lambda x, y: x.unionByName(y), some))
+                at += size
+            assert documents_of(spark, path) == {"a": {"id": "a", "a": 3, "b": 2}}
+    compact_documents(spark, path, f"{path}-compact")
+    upsert_documents(spark, f"{path}-compact", versions(spark, "2024-01-02", {"a": 9, "c": 5}))
+    assert documents_of(spark, f"{path}-compact") == {"a": {"id": "a", "a": 3, "b": 2, "c": 5}}
+
+
+def test_a_small_delta_writes_little_and_a_repeated_batch_counts_the_same(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    base = spark.range(3000).select(F.col("id").cast("string").alias("id"), F.parse_json(F.concat(F.lit('{"v":"'), F.md5(F.col("id").cast("string")), F.lit('"}'))).alias("raw"))
+    base = base.withColumns({"updated_date": F.lit("2024-01-01").cast("date"), "file_path": F.lit("base"), "line_no": F.lit(0).cast("long")})
+    upsert_documents(spark, path, base, batch_id=0)
+    files = lambda: {f: f.stat().st_size for f in Path(path).rglob("*.parquet")}
+    before = files()
+    delta = base.where("id < '11'").withColumns({"updated_date": F.lit("2024-01-02").cast("date"), "file_path": F.lit("delta")})
+    count = lambda: rows(upsert_documents(spark, path, delta, batch_id=1), "file_path", "upserted", "matched", "modified")
+    first = count()
+    assert count() == first and first[0][1] == 0 and first[0][2] == delta.count()
+    assert all(files()[f] == size for f, size in before.items())
+    assert sum(size for f, size in files().items() if f not in before) < 0.25 * sum(before.values())
+
+
+def test_writers_keep_the_layout_and_one_row_per_key(spark, namespace):
+    table = f"{namespace}.t"
+    one = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, v string, g string")
+    one.write.partitionBy("g").saveAsTable(table)
+    again = spark.createDataFrame([(2, "old", "y"), (2, "new", "y"), (9, "n", "z")], "id int, v string, g string")
+    for write in (catalog.upsert_table, catalog.replace_rows_table, catalog.keep_existing_table):
+        with pytest.raises(ValueError, match="not unique"):
+            write(again, table, ["id"])
+    state = lambda: rows(spark.table(table), "id", "v", "g")
+    want = [(1, "a", "x"), (2, "new", "y"), (9, "n", "z")]
+    assert twice(lambda: catalog.upsert_table(again, table, ["id"], [c("v")]), state) == want
+    assert twice(lambda: catalog.replace_rows_table(again, table, ["id"], [c("v")]), state) == want
+    assert twice(lambda: catalog.keep_existing_table(again, table, ["id"], [c("v")]), state) == want
+    assert catalog.partition_columns(spark, table) == ["g"]
+
+
+def test_an_interrupted_swap_is_mended(spark, namespace):
+    table = f"{namespace}.t"
+    spark.range(3).write.saveAsTable(f"{table}__old")
+    catalog.upsert_table(spark.range(2, 5), table, ["id"])
+    assert rows(spark.table(table)) == [(0,), (1,), (2,), (3,), (4,)] and table_names(spark, namespace) == ["t"]
+
+
+def test_replace_partitions_with_odd_groups(spark, namespace):
+    table = f"{namespace}.t"
+    names = ["plain", "o'clock", "back\\slash", None, "stays"]
+    spark.createDataFrame([(n, 1) for n in names], "g string, v int").select("v", "g").write.partitionBy("g").saveAsTable(table)
+    groups = spark.createDataFrame([(n,) for n in names if n != "stays"], "g string")
+    replace = lambda new: catalog.replace_partitions(spark.createDataFrame(new, "v int, g string"), table, "g", groups)
+    replace([(2, "plain"), (3, None), (7, "stays")])
+    assert rows(spark.table(table), "g", "v") == sorted([("plain", 2), (None, 3), ("stays", 1)], key=repr)
+    replace([(2, "plain")])
+    assert rows(spark.table(table), "g", "v") == [("plain", 2), ("stays", 1)]
+
+
 def test_snapshot_stream(spark, tmp_path):
     base, out = tmp_path / "base", tmp_path / "out"
 
     def run():
-        load_snapshot(
-            spark, str(base), "works", f"{out}/t", f"{out}/c", f"{out}/r", f"{out}/m", files_per_batch=1, buckets=4
-        )
+        load_snapshot(spark, str(base), "works", f"{out}/t", f"{out}/c", f"{out}/r", f"{out}/m", files_per_batch=1)
 
     run()  # no directory yet: nothing to do
     assert not out.exists()
@@ -202,6 +301,11 @@ def test_snapshot_stream(spark, tmp_path):
     run()
     assert totals()[None]["files_processed"] == 3 and totals()["works"]["records"] == 24
     assert len(documents_of(spark, f"{out}/t")) == 23
+    # a reset forgets everything, and the files load again
+    reset_snapshot(spark, f"{out}/t", f"{out}/c", f"{out}/r", f"{out}/m")
+    assert documents_of(spark, f"{out}/t") == {}
+    run()
+    assert totals()[None]["files_processed"] == 3 and len(documents_of(spark, f"{out}/t")) == 23
 
 
 def test_runner_isolates_a_failing_source(spark, namespace):

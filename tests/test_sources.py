@@ -142,6 +142,37 @@ def test_workbook_dois(spark, tmp_path):
     assert workbook.workbook_dois(spark, str(tmp_path / "none.xlsx")).count() == 0
 
 
+def test_wrapped_list_longer_than_a_variant(spark, tmp_path):
+    body = "x" * 1000
+    with gzip.open(tmp_path / "big.json.gz", "wt", compresslevel=1) as out:
+        out.write('{"meta": {"items": 3}, "items": [')
+        out.write(", ".join(json.dumps({"id": i, "body": body}) for i in range(140_000)))
+        out.write("], \"more\": NULL}".replace("NULL", "null"))
+    good, rejects = wrapped.read_wrapped(spark, str(tmp_path / "big.json.gz"))
+    assert good.count() == 140_000 and rejects.count() == 0
+    assert good.select(F.countDistinct(F.try_variant_get("raw", "$.id", "int"))).first()[0] == 140_000
+
+
+def test_damaged_wrapped_files(spark, tmp_path):
+    texts = ["[1, 2", "[1] 2", '{"items": [1,]}', '{"a": 1', "3", "[NaN]", '{1: 2}']
+    for n, text in enumerate(texts):
+        (tmp_path / f"{n}.json").write_text(text)
+    good, rejects = wrapped.read_wrapped(spark, str(tmp_path))
+    assert good.count() == 0 and rows(rejects, "reason") == [("bad_json",)] * len(texts)
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd" / "a.json").write_text(' [ {"id": 1} , "two", [3], null, -4.5e3 ] ')
+    good, rejects = wrapped.read_wrapped(spark, str(tmp_path / "odd"))
+    assert [r[0] for r in good.orderBy("position").select(F.to_json("raw")).collect()] == ['{"id":1}', '"two"', "[3]", "null", "-4500"] and rejects.count() == 0
+
+
+def test_one_odd_value_does_not_stop_a_batch_load(spark, tmp_path):
+    (tmp_path / "journal_batch_1.json").write_text('{"id": 1}\n{"id": 2}\n{"id": NaN}\n')
+    (tmp_path / "journal_batch_2.json").write_text('[{"id": "\\ud800"}, {"id": 4}]')
+    good, rejects = batches.read_json_batches(spark, str(tmp_path), "journal")
+    ids = {r[0] for r in good.select(F.try_variant_get("raw", "$.id", "int")).collect()}
+    assert {1, 2, 4} <= ids and rejects.count() >= 1
+
+
 def test_wrapped_files(spark, tmp_path):
     documents = [{"id": "https://ror.org/1"}, {"id": "https://ror.org/2"}]
 
