@@ -9,6 +9,7 @@ from acervo.catalogue.registry import query, table
 from acervo.functions.names import semester
 from acervo.session import scratch_path
 from acervo.sinks.documents import stored_documents
+from acervo.sinks.periods import write_periods
 from acervo.streaming.incremental import load_snapshot
 
 c = F.col
@@ -28,20 +29,9 @@ def period_rewrite(spark: SparkSession, d: str) -> DataFrame:
         "o_orderkey", "o_totalprice", "o_orderstatus", F.year(day).alias("year"), semester(day).alias("semester")
     )
 
-    def write(rows: DataFrame) -> None:
-        # rebalancing gathers a period's rows but splits a large one over several files
-        (
-            rows.drop("o_orderstatus")
-            .hint("rebalance", "year", "semester")
-            .write.option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .partitionBy("year", "semester")
-            .parquet(path)
-        )
-
-    write(orders)
+    write_periods(orders.drop("o_orderstatus"), path)
     backfill = orders.where("year = 1997 and semester = 1 and o_orderstatus = 'F'")
-    write(backfill.withColumn("o_totalprice", c("o_totalprice") * 2))
+    write_periods(backfill.withColumn("o_totalprice", c("o_totalprice") * 2).drop("o_orderstatus"), path)
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "year", "semester")
 
 

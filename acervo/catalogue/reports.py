@@ -80,19 +80,20 @@ def source_null_rules(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
     SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id)
-    WHERE (toxic IS NULL OR toxic = 0) AND lang IN ('en', 'de') AND (source = 'src1' OR n_chars >= 300)
+    WHERE (toxic IS NULL OR toxic = 0) AND lang IN ('en', 'de')
+      AND (source = 'src1' OR length(string_split(text, chr(10))[1]) >= 30) AND (source = 'src1' OR quality IS NOT NULL)
 """)
 def row_filters(spark: SparkSession, d: str) -> DataFrame:
-    """Flag, product type, searchable title and all-null rules together."""
+    """Flag, product type, searchable title (a document's first line) and all-null rules together."""
     kind = F.when(c("lang") == "en", "Libros").when(c("lang") == "de", "Notas científica").otherwise("Otros")
-    labels = table(spark, d, "labels").select("doc_id", (c("toxic") == 1).alias("is_xpac"))
+    labels = table(spark, d, "labels").select("doc_id", "quality", (c("toxic") == 1).alias("is_xpac"))
     author = F.when(c("source") == "src1", c("source"))
-    title = F.when(c("n_chars") >= 300, F.lit("a title of thirty letters here")).otherwise("a short title")
+    title = F.get(F.split("text", "\n"), F.lit(0))
     return (
         table(spark, d, "documents")
         .join(labels, "doc_id", "left")
         .where(not_flagged(c("is_xpac")) & bibliographic(kind) & searchable(title, author))
-        .where(any_value(author, c("lang"), F.lit(None)))
+        .where(any_value(author, c("quality"), F.lit(None)))
         .select("doc_id")
     )
 

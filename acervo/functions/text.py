@@ -12,6 +12,18 @@ from acervo.functions.entities import decode_entities
 # Letters whose ASCII form has no Unicode decomposition.
 SINGLE_LETTERS = {"ø": "o", "đ": "d", "ð": "d", "ł": "l", "ı": "i", "ħ": "h", "ŧ": "t"}
 LETTER_PAIRS = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th"}
+# Greek and Cyrillic letters and their Latin spelling.
+GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m",
+    "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+    "ά": "a", "έ": "e", "ή": "e", "ί": "i", "ό": "o", "ύ": "u", "ώ": "o", "ϊ": "i", "ϋ": "u", "ΐ": "i", "ΰ": "u",
+}
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l", "м": "m",
+    "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch",
+    "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "iu", "я": "ia", "є": "ie", "і": "i", "ї": "i", "ґ": "g", "ў": "u", "ђ": "dj", "ј": "j",
+    "љ": "lj", "њ": "nj", "ћ": "c", "џ": "dz",
+}
 
 
 def _accented_letters() -> dict[str, str]:
@@ -30,9 +42,20 @@ _ACCENTS = _accented_letters()
 _FROM, _TO = "".join(_ACCENTS), "".join(_ACCENTS.values())
 
 
+def latin_spelling(lower: Column) -> Column:
+    """Greek and Cyrillic lower-case letters in Latin ones; a text without any is passed by."""
+    letters = GREEK | CYRILLIC
+    spelled = lower
+    for letter in (k for k, v in letters.items() if len(v) > 1):
+        spelled = F.replace(spelled, F.lit(letter), F.lit(letters[letter]))
+    single = {k: v for k, v in letters.items() if len(v) == 1}
+    spelled = F.translate(spelled, "".join(single) + "".join(k for k, v in letters.items() if not v), "".join(single.values()))
+    return F.when(lower.rlike("[\u0370-\u03ff\u0400-\u04ff]"), spelled).otherwise(lower)
+
+
 def to_ascii_lower(value: Column) -> Column:
-    """Lower case with Latin accents removed; letters of other scripts stay."""
-    lower = F.lower(value)
+    """Lower case with Latin accents removed, Greek and Cyrillic spelled in Latin letters; other scripts stay."""
+    lower = latin_spelling(F.lower(value))
     folded = F.translate(lower, _FROM, _TO)
     for pair, replacement in LETTER_PAIRS.items():
         folded = F.replace(folded, F.lit(pair), F.lit(replacement))

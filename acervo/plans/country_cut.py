@@ -98,9 +98,9 @@ def doi_route(works: DataFrame, dois: DataFrame, present: DataFrame | None = Non
     """One work per wanted DOI, the smallest id, skipping DOIs of works already ``present``."""
     if present is not None:
         dois = dois.join(present.select("doi").where("doi is not null").distinct(), "doi", "left_anti")
-    # one row per DOI before the join: a DOI that many works share stays cheap
-    first = works.where("doi is not null").groupBy("doi").agg(F.min("id").alias("id"))
-    return _route(first.join(dois, "doi", "left_semi"), "doi")
+    # only works with a wanted DOI reach the aggregate, whose first step runs before the shuffle
+    wanted = works.select("id", "doi").join(dois, "doi", "left_semi")
+    return _route(wanted.groupBy("doi").agg(F.min("id").alias("id")), "doi")
 
 
 def bibliographic_products(products: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ log = logging.getLogger(__name__)
 
 
 def _write(good: DataFrame, source: Source, table: str) -> None:
-    order = [F.expr(o) for o in source.order] or None
+    order = [F.expr(o.removesuffix(" desc")).desc() if o.endswith(" desc") else F.expr(o) for o in source.order] or None
     if source.mode == "upsert":
         catalog.upsert_table(good, table, source.key, order)
     elif source.mode == "replace":

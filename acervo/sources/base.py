@@ -14,7 +14,7 @@ MODES = ("upsert", "replace", "truncate", "append")
 class Source:
     """``read(spark)`` gives (good rows, rejects); nothing runs until a sink writes.
 
-    ``order`` says which of several rows of one key counts: the first. Without it a repeated key is an error of the source.
+    ``order`` says which of several rows of one key counts: the first by these expressions, each with `` desc`` behind it if need be. Without it a repeated key is an error of the source.
     """
 
     name: str
