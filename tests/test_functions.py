@@ -61,7 +61,15 @@ def test_fold_text(spark, raw, wanted):
 
 
 def test_tokens(spark):
-    assert one(spark, "La salud, de la SALUD-pública en 2024", text.tokens(c("v"))) == ["salud", "publica", "2024"]
+    assert one(spark, "La salud, de la SALUD-pública en 2024", text.tokens(c("v"))) == ["la", "salud", "de", "publica", "en", "2024"]
+    assert one(spark, "AI in 5G", text.tokens(c("v"))) == ["ai", "in", "5g"]
+    assert one(spark, "物理", text.tokens(c("v"))) == ["物理"]
+
+
+def test_greek_and_cyrillic_are_spelled_in_latin(spark):
+    assert one(spark, "Щука и Ёж", text.fold_text(c("v"))) == "shchuka i ezh"
+    assert one(spark, "Ψυχή ΘΕΟΣ", text.fold_text(c("v"))) == "psukhe theos"
+    assert one(spark, "Año 物理", text.fold_text(c("v"))) == "ano 物理"
 
 
 def test_entities_equal_the_standard_decoder(spark):
