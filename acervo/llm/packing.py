@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acervo.llm.tokens import BYTE_BPE, byte_encoder
+from acervo.llm.arrow import slices
+from acervo.llm.tokens import BYTE_BPE, byte_encoder, kept_by_worker
 from acervo.session import materialise
 
 LENGTH = 2048
@@ -31,8 +32,8 @@ def pieces_of(docs: DataFrame, length: int = LENGTH, tokenizer: str = BYTE_BPE,
     """``PIECES`` (and ``ids``): every document cut into whole sequences and one rest. A null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = byte_encoder(tokenizer)
-        for batch in batches:
+        encode = kept_by_worker(("bytes", tokenizer), lambda: byte_encoder(tokenizer))
+        for batch in slices(batches):
             rows: list[tuple] = []
             ids_of: list[np.ndarray] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

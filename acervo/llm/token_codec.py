@@ -12,24 +12,23 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acervo.llm.tokens import WORD_BPE, WordEncoder
+from acervo.llm.tokens import WORD_BPE, WordEncoder, kept_by_worker
 from acervo.session import scratch_path
 
 MAGIC = b"ACTK1\n"
 END = 2
-#: Tokens of a block, and blocks of a segment.
-BLOCK, SEGMENT = 8192, 1024
+#: Tokens of a block, and blocks coded side by side; a segment closes after the document that fills so many.
+BLOCK, SEGMENT = 4096, 2048
 #: Bits of the totals of the choice between predictions, and of the order-0 table.
 CHOICE, ORDER0 = 12, 20
 #: Slots of the id predictions of one block, by order.
-SLOT_BITS1, SLOT_BITS2 = 11, 12
+SLOT_BITS1, SLOT_BITS2 = 10, 11
 SLOTS1, SLOTS2 = 1 << SLOT_BITS1, 1 << SLOT_BITS2
 #: Confidence of a prediction goes up to this; a weight moves by this power of two of what it was off.
 SURE, SPEED = 15, 5
@@ -110,18 +109,6 @@ def encode_blocks(blocks: list[np.ndarray], kinds: np.ndarray, shares: np.ndarra
     digits = np.zeros((lanes, steps * 3 + 8), np.int32)  # a token takes 32 bits at most
     used = np.ones(lanes, np.int64)  # the first digit can only take a carry
 
-    def renew() -> None:
-        while len(short := np.flatnonzero(span < RANGE_LEAST)):
-            now, at = low[short], used[short]
-            digits[short, at] = now >> U(32)
-            used[short] = at + 1
-            low[short] = (now << DIGIT) & LOW_MASK
-            span[short] <<= DIGIT
-
-    def carry(lane: np.ndarray) -> None:
-        digits[lane, used[lane] - 1] += 1
-        low[lane] &= LOW_MASK
-
     for t in range(steps):
         n = int(np.searchsorted(-length, -t, "left")) if t >= shortest else lanes
         x = ids[t, :n]
@@ -133,19 +120,22 @@ def encode_blocks(blocks: list[np.ndarray], kinds: np.ndarray, shares: np.ndarra
         part = span[:n] >> U(CHOICE)
         low[:n] += part * start.astype(U)
         span[:n] = part * (end - start).astype(U)
-        if len(over := np.flatnonzero(low > LOW_MASK)):
-            carry(over)
-        renew()
+        # a choice leaves 2**20 of a lane's span at least, so order 0 can follow before digits go out
         missed = np.flatnonzero(~(hit2 | hit1))
         if len(missed):
             k = place[t, missed]
             part = span[missed] >> U(ORDER0)
-            now = low[missed] + part * starts[k]
-            low[missed] = now
+            low[missed] += part * starts[k]
             span[missed] = part * widths[k]
-            if len(over := missed[now > LOW_MASK]):
-                carry(over)
-            renew()
+        if len(over := np.flatnonzero(low > LOW_MASK)):
+            digits[over, used[over] - 1] += 1
+            low[over] &= LOW_MASK
+        while len(short := np.flatnonzero(span < RANGE_LEAST)):
+            now, at = low[short], used[short]
+            digits[short, at] = now >> U(32)
+            used[short] = at + 1
+            low[short] = (now << DIGIT) & LOW_MASK
+            span[short] <<= DIGIT
         model.learn(n, x, hit2, hit1)
     for _ in range(3):
         digits[np.arange(lanes), used] = low >> U(32)
@@ -176,13 +166,6 @@ def decode_blocks(coded: list[bytes], length: list[int], kinds: np.ndarray, shar
     span = np.full(lanes, 1 << 48, U)
     ids = np.zeros((steps, lanes), np.uint32)
 
-    def renew() -> None:
-        while len(short := np.flatnonzero(span < RANGE_LEAST)):
-            at = used[short]
-            value[short] = value[short] << DIGIT | digits[short, np.minimum(at, widest - 1)]
-            used[short] = at + 1
-            span[short] <<= DIGIT
-
     for t in range(steps):
         n = int(np.searchsorted(-sizes, -t, "left")) if t >= shortest else lanes
         p2, p1, share2, share1 = model.predict(n)
@@ -194,7 +177,6 @@ def decode_blocks(coded: list[bytes], length: list[int], kinds: np.ndarray, shar
         end = np.where(first, share2, np.where(second, both, FULL))
         value[:n] -= part * start.astype(U)
         span[:n] = part * (end - start).astype(U)
-        renew()
         x = np.where(first, p2, p1)
         missed = np.flatnonzero(~second)
         if len(missed):
@@ -203,17 +185,21 @@ def decode_blocks(coded: list[bytes], length: list[int], kinds: np.ndarray, shar
             x[missed] = kinds[k]
             value[missed] -= part * starts[k]
             span[missed] = part * widths[k]
-            renew()
+        while len(short := np.flatnonzero(span < RANGE_LEAST)):
+            at = used[short]
+            value[short] = value[short] << DIGIT | digits[short, np.minimum(at, widest - 1)]
+            used[short] = at + 1
+            span[short] <<= DIGIT
         ids[t, :n] = x
         model.learn(n, x, first, p1 == x)
     return [np.ascontiguousarray(ids[: sizes[i], i]) for i in range(lanes)]
 
 
 def write_segment(ids: np.ndarray, index: np.ndarray) -> bytes:
-    """``ids`` as one segment; ``index`` (row, has an id, doc_id, ids here, whole) has a row for each document in it."""
+    """``ids`` as one segment; ``index`` (row, has an id, doc_id, number of ids) has a row for each document in it."""
     kinds, shares = order0_table(ids)
     blocks = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]
-    coded = encode_blocks(blocks, kinds, shares)
+    coded = [c for at in range(0, len(blocks), SEGMENT) for c in encode_blocks(blocks[at : at + SEGMENT], kinds, shares)]
     table = zlib.compress(np.concatenate([np.diff(kinds, prepend=0), shares]).astype("<u4").tobytes())
     docs = zlib.compress(np.ascontiguousarray(np.diff(index, axis=0, prepend=0).T).astype("<i8").tobytes())
     out = [MAGIC, struct.pack("<IIIII", len(blocks), len(kinds), len(table), len(index), len(docs)), table, docs]
@@ -243,7 +229,7 @@ def read_segment(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         length.append(n)
         sums.append(crc)
         at += size
-    blocks = decode_blocks(coded, length, kinds, shares)
+    blocks = [b for at in range(0, n_blocks, SEGMENT) for b in decode_blocks(coded[at : at + SEGMENT], length[at : at + SEGMENT], kinds, shares)]
     for b, crc in zip(blocks, sums, strict=True):
         if zlib.crc32(b.astype("<u4").tobytes()) != crc:
             raise ValueError("a block does not match its checksum")
@@ -262,10 +248,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = WORD_BPE, end: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encoder = WordEncoder(tokenizer)
+        encoder = kept_by_worker(("words", tokenizer), lambda: WordEncoder(tokenizer))
         most = BLOCK * SEGMENT
         held: list[np.ndarray] = []
-        index: list[tuple[int, int, int, int, int]] = []
+        index: list[tuple[int, int, int, int]] = []
         size, first, segment, row = 0, 0, 0, 0
 
         def close() -> pa.RecordBatch:
@@ -284,14 +270,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = WORD_BPE, end: int
                 some = [t or b"" for t in texts[lo : lo + 256].to_pylist()]
                 for doc_id, ids in zip(batch.column(0)[lo : lo + 256].to_pylist(), encoder.encode_all(some), strict=True):
                     ids = np.append(ids, np.uint32(end))
-                    at = 0
-                    while at < len(ids):
-                        n = min(most - size, len(ids) - at)
-                        held.append(ids[at : at + n])
-                        index.append((row, doc_id is not None, doc_id or 0, n, n == len(ids)))
-                        size, at = size + n, at + n
-                        if size == most:
-                            yield close()
+                    held.append(ids)
+                    index.append((row, doc_id is not None, doc_id or 0, len(ids)))
+                    size += len(ids)
+                    if size >= most:
+                        yield close()
                     row += 1
         if size:
             yield close()
@@ -318,26 +301,17 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                 pieces = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(index), part, np.int32)), pa.array(index[:, 0]), pa.array(index[:, 2], mask=index[:, 1] == 0),
-                        pa.array(first + starts), pa.array(index[:, 3]), pa.array(index[:, 4] == 1), pa.array(list(map(zlib.crc32, pieces)), pa.int64()), pa.array(pieces, pa.binary()),
+                        pa.array(np.full(len(index), part, np.int32)), pa.array(index[:, 2], mask=index[:, 1] == 0), pa.array(first + starts),
+                        pa.array(index[:, 3]), pa.array(list(map(zlib.crc32, pieces)), pa.int64()), pa.array(pieces, pa.binary()),
                     ],
-                    ["part", "row", "doc_id", "at", "n_tokens", "whole", "crc", "piece"],
+                    ["part", "doc_id", "at", "n_tokens", "crc", "piece"],
                 )
 
-    pieces = segments.mapInArrow(run, "part int, row long, doc_id long, at long, n_tokens long, whole boolean, crc long, piece binary")
-
-    def joined(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("at")
-        ids = b"".join(part["piece"])
-        return part.head(1).assign(n_tokens=len(ids) // 4, crc=zlib.crc32(ids), piece=[ids])
-
-    # a document lies in more than one segment only where segments meet
-    whole = pieces.where("whole").drop("whole")
-    mended = pieces.where("not whole").drop("whole").groupBy("part", "row").applyInPandas(joined, whole.schema)
+    pieces = segments.mapInArrow(run, "part int, doc_id long, at long, n_tokens long, crc long, piece binary")
     sums = segments.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = sums.select(F.col("part").alias("_part"), before.alias("_before"))
-    met = whole.unionByName(mended).join(offsets, F.col("part") == F.col("_part"))
+    met = pieces.join(offsets, F.col("part") == F.col("_part"))
     return met.select("doc_id", (F.col("at") + F.col("_before")).alias("start"), "n_tokens", F.col("crc").alias("ids_crc32"), F.col("piece").alias("ids_bytes"))
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import sys
+from array import array
 from collections.abc import Callable
+from types import ModuleType
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +17,7 @@ from tokenizers import Tokenizer
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Words whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -47,6 +50,25 @@ def byte_encoder(path: str = BYTE_BPE) -> Callable[[str], list[int]]:
     return encode
 
 
+def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a worker process: functions come to it by value with each task, modules stay."""
+    store = sys.modules.setdefault("acervo_worker_store", ModuleType("acervo_worker_store")).__dict__.setdefault("made", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
+class Remembered(dict):
+    """Answers of a function, made when first asked for."""
+
+    def __init__(self, make: Callable[[bytes], bytes]) -> None:
+        self.make = make
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self.make(word)
+        return found
+
+
 class WordEncoder:
     """Ids of a BPE with word ends that drops white space and looks at nothing beyond it: each distinct word is encoded once.
 
@@ -57,8 +79,9 @@ class WordEncoder:
 
     WORD_END = b"\xff"
     PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-    #: Code points below this, and none that compose with others.
-    LATIN = 0x250
+    #: Letters before this one are plain Latin; none of them composes with another.
+    BEYOND = "\u0250"
+    MARKS = ".,;:!?#$%&*"
 
     def __init__(self, path: str = WORD_BPE) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -73,22 +96,28 @@ class WordEncoder:
                 body = token.removesuffix(suffix)
                 ranks[bytes(letters[c] for c in body) + (self.WORD_END if body != token else b"")] = i
         self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens=special)._encode_single_piece
-        self.known: dict[bytes, bytes] = {}
-
-    def ids_of(self, word: str) -> list[int]:
-        if max(map(ord, word)) >= self.LATIN or "<|" in word:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        ids: list[int] = []
-        for piece in self.PIECES.findall(word.lower()):
+        self.known = Remembered(self.ids_of)
+
+    def ids_of(self, word: bytes) -> bytes:
+        """The ids of one word, as bytes of unsigned 32-bit integers."""
+        lower = word.lower()
+        if lower.isalpha():  # ASCII letters only
+            return array("I", self.merge(lower + self.WORD_END)).tobytes()
+        text = word.decode()
+        if b"<|" in word or not word.isascii() and max(text) >= self.BEYOND:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        text = text.lower()
+        letters = text.rstrip(self.MARKS)
+        if letters.isalpha():  # the letters of every script and the marks after them
+            marks = text[len(letters) :].encode()
+            ids = self.merge(letters.encode() + self.WORD_END)
+            return array("I", ids + self.merge(marks + self.WORD_END) if marks else ids).tobytes()
+        ids = []
+        for piece in self.PIECES.findall(text):
             ids += self.merge(piece.encode() + self.WORD_END)
-        return ids
+        return array("I", ids).tobytes()
 
     def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
-        words = [t.split() for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        for w in {w for ws in words for w in ws}:
-            if w not in known:
-                known[w] = np.array(self.ids_of(w.decode()), np.uint32).tobytes()
-        return [np.frombuffer(b"".join([known[w] for w in ws]), np.uint32) for ws in words]
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, t.split())), np.uint32) for t in texts]
