@@ -5,7 +5,8 @@ share. Matching on every token would pair each query with every title that has
 a common word. Instead:
 
 1. Each query is matched on its rarest tokens, and the k best titles so found
-   are scored in full. The least of these k scores is a floor: k titles reach it.
+   are scored in full. The least of these k scores is a floor: k titles reach it. A second round
+   reads further into the rare tokens, finds better leaders, and raises the floor.
 2. A query's commonest tokens whose weights together stay below the floor can
    never lift a title into the top k by themselves, so only the others are
    matched; a pair that cannot reach the floor even with all of the left-out tokens goes.
@@ -21,6 +22,8 @@ a frequent token spread over many tasks, and summed per pair on the map side.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,6 +34,8 @@ from acervo.session import materialise
 
 WEIGHT = "decimal(18,6)"
 SALTS = 16
+#: Postings a query's leaders are found in, in multiples of k: one round for each.
+LEAD = (1, 64)
 PAIR = ["q_id", "t_id"]
 
 
@@ -108,15 +113,14 @@ def top_candidates(
     total = titles.agg(F.count("*")).scalar()
     terms = materialise(query_terms(asked, postings, total), "query-terms")
 
-    opening = _matched(terms.where(F.col("rarer_sets") < k), postings)
-    leaders = materialise(_ranked(opening, k), "leading-candidates")
-    floors = (
-        _scored_over(leaders, terms, postings)
-        .groupBy("q_id")
-        .agg(F.min("score").alias("floor"), F.count("*").alias("n"))
-        .where(F.col("n") == k)
-        .drop("n")
-    )
+    # each round reads more of a query's rare terms and so finds better leaders; the best k-th score of all rounds counts
+    rounds = []
+    for reach in LEAD:
+        opening = _matched(terms.where(F.col("rarer_sets") < reach * k), postings)
+        leaders = materialise(_ranked(opening, k), "leading-candidates")
+        kth = _scored_over(leaders, terms, postings).groupBy("q_id").agg(F.min("score").alias("floor"), F.count("*").alias("n"))
+        rounds.append(materialise(kth.where(F.col("n") == k).drop("n"), "floors"))
+    floors = reduce(DataFrame.unionByName, rounds).groupBy("q_id").agg(F.max("floor").alias("floor"))
     # rows: terms of the queries, a `floor` of null means that every term is needed
     judged = materialise(
         terms.join(floors, "q_id", "left").withColumn(

@@ -135,13 +135,17 @@ def similar_pairs(
     # scoring costs far more than its bytes suggest: a fixed number of partitions
     # keeps adaptive execution from gathering the pairs in a few tasks
     tasks = int(products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = pairs.repartition(tasks, "q_id", "t_id").select(
+    titled = pairs.repartition(tasks, "q_id", "t_id").select(
         F.col("q_id").alias("product_key"),
         F.col("t_id").alias("id"),
         "rank",
+        "author",
+        "authors",
         title_similarity(F.col("q_title"), F.col("t_title"), TITLE_WITH_AUTHOR).alias("title_score"),
-        author_similarity(F.col("author"), F.col("authors")).alias("author_score"),
     )
+    # below this no author can help, so names are compared for the few pairs that are left
+    near = titled.where(F.col("title_score") >= TITLE_WITH_AUTHOR)
+    scored = near.select("product_key", "id", "rank", "title_score", author_similarity(F.col("author"), F.col("authors")).alias("author_score"))
     return scored.where(accepted(F.col("title_score"), F.col("author_score")))
 
 
