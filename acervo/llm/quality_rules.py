@@ -19,7 +19,7 @@ WINDOW = 8
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
-#: Labelled documents that the rules are learned from, by the order of a hash of their id: the bound of the fit.
+#: Labelled documents that the rules are learned from, about, by a hash of their id: the bound of the fit.
 TRAIN_ROWS = 40_000
 #: A rule of rejection must be right for so many of the documents it covers, and cover so many bad ones.
 PRECISION = 0.99
@@ -211,14 +211,18 @@ def rejected_by(rules: list[Rule]) -> Column:
 
 
 def fit(measured: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[Rule]:
-    """Rules from the labelled documents that pass the base: quality 0 is bad; the first ``rows`` by a hash of the id.
+    """Rules from the labelled documents that pass the base: quality 0 is bad; about ``rows`` of them, by a hash of the id.
 
     Labels that are null, or contradict each other for an id, are left out.
     """
     clear = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_most")).where("quality = _most")
+    share = min(1.0, rows / max(1, clear.count()))
+    # a share by hash: no task sends the driver more than its part of the sample
+    clear = clear.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     features = [F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()]
-    known = measured.where(~base_failed()).join(clear, "doc_id").select("doc_id", "quality", *features).orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(rows)
-    got = known.toPandas()
+    known = measured.where(~base_failed()).join(clear, "doc_id").select("doc_id", "quality", *features)
+    got = known.toPandas().sort_values(["doc_id", *FEATURES], kind="stable")
+    got = got.iloc[np.argsort(got["doc_id"].to_numpy() * np.int64(0x9E3779B97F4A7C1) & np.int64(0x7FFFFFFF), kind="stable")]
     return learn({k: got[k].to_numpy(float) for k in FEATURES}, got["quality"].to_numpy() == 0)
 
 

@@ -76,6 +76,24 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> list:
+    """The most frequent words, ``most`` or a few less, most frequent first.
+
+    A histogram of the counts in steps of a sixteenth of an octave says from which count on they fit; words in the step that
+    does not fit stay out together. So the driver gets no more rows than it keeps.
+    """
+    level = F.floor(F.log2("c") * 16).cast("int")
+    least, n = None, 0
+    for row in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("level")).collect():
+        n += row["n"]
+        if n > most:
+            break
+        least = row["level"]
+    if least is None:
+        return []
+    return sorted(counts.where(level >= least).collect(), key=lambda r: (-r["c"], r["word"]))
+
+
 class Network:
     """Parameters in one vector, with views by name."""
 
@@ -338,7 +356,7 @@ def score(docs: DataFrame) -> DataFrame:
     n_docs = train.count()
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = sums["n"] + n_docs, sums["v"] + (n_docs > 0)
-    top = counts.orderBy(F.desc("c"), "word").limit(KNOWN).collect()
+    top = most_frequent(counts, KNOWN)
     lexicon = Lexicon([r["word"].encode() for r in top], np.array([r["c"] for r in top], np.int64), n_docs)
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ from acervo.session import scratch_path
 MAGIC = b"ACTK1\n"
 END = 2
 #: Tokens of a block, and blocks coded side by side; a segment closes after the document that fills so many.
-BLOCK, SEGMENT = 4096, 2048
+BLOCK, SEGMENT = 4096, 1024
 #: Bits of the totals of the choice between predictions, and of the order-0 table.
 CHOICE, ORDER0 = 12, 20
 #: Slots of the id predictions of one block, by order.
@@ -103,7 +103,6 @@ def encode_blocks(blocks: list[np.ndarray], kinds: np.ndarray, shares: np.ndarra
     starts = np.cumsum(widths) - widths
     where = np.zeros(int(kinds[-1]) + 1, np.int32)
     where[kinds] = np.arange(len(kinds))
-    place = where[ids]
     model = Model(lanes)
     low, span = np.zeros(lanes, U), np.full(lanes, 1 << 48, U)
     digits = np.zeros((lanes, steps * 3 + 8), np.int32)  # a token takes 32 bits at most
@@ -123,7 +122,7 @@ def encode_blocks(blocks: list[np.ndarray], kinds: np.ndarray, shares: np.ndarra
         # a choice leaves 2**20 of a lane's span at least, so order 0 can follow before digits go out
         missed = np.flatnonzero(~(hit2 | hit1))
         if len(missed):
-            k = place[t, missed]
+            k = where[x[missed]]
             part = span[missed] >> U(ORDER0)
             low[missed] += part * starts[k]
             span[missed] = part * widths[k]
@@ -278,6 +277,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = WORD_BPE, end: int
                     row += 1
         if size:
             yield close()
+        pa.default_memory_pool().release_unused()
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = source.repartitionByRange(F.col("doc_id")).sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"))
