@@ -271,9 +271,13 @@ def near_duplicates(docs: DataFrame, size: int = 4, budget: int = BUDGET) -> Dat
     return fps.join(whole, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
-#: Stage on whole documents: fingerprints of distinct word pairs find candidates, sets of five-word shingles decide.
-PAIR_WORDS, PAIR_BUDGET = 2, 8
+#: Stage on whole documents: minima of hashed five-word shingles find candidates, the sets themselves decide.
 SHINGLE, SIMILARITY = 5, 0.8
+#: Candidates agree in all minima of a band. Of pairs at a similarity s, (1 - s ** BAND_ROWS) ** BANDS are not found: 1.5e-5 at 0.8.
+BANDS, BAND_ROWS = 28, 5
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 32, (BANDS * BAND_ROWS, 1), dtype=np.uint32) | np.uint32(1)
+#: Shingles hashed at once.
+HASHED = 1 << 10
 
 
 def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -288,47 +292,67 @@ def set_id(shingles: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64)))
 
 
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """A key for each band of minima of the set under independent hashes; none for an empty set."""
+    if not len(shingles):
+        return np.zeros(0, np.int64)
+    x = (shingles.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(FACTORS), np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(x), HASHED):
+        np.minimum(least, (FACTORS * x[at : at + HASHED]).min(axis=1), out=least)
+    return np.array([xxhash.xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(least.reshape(BANDS, BAND_ROWS))], np.uint64).view(np.int64)
+
+
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: those of ``pairs`` (x, y) whose sets (node, shingles) have at least that Jaccard similarity."""
+    left, right = (sets.select(F.col("node").alias(n), F.col("shingles").alias(s)) for n, s in (("x", "p"), ("y", "q")))
+    shared = F.size(F.array_intersect("p", "q"))
+    both = pairs.join(left, "x").join(right, "y")
+    return both.where(shared >= similarity * (F.size("p") + F.size("q") - shared)).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``node, root`` of the nodes that link: ``members`` (key, node, size) of one key are compared with its first node."""
+    centres = members.groupBy("key").agg(F.min("node").alias("centre"))
+    pairs = members.join(centres, "key").where("node <> centre").select(F.col("centre").alias("x"), F.col("node").alias("y")).distinct()
+    return components(alike(materialise(pairs, "near-pairs"), sets, similarity))
+
+
 def near_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, node, keeper`` per row: the smallest id of the document's group of near-duplicates.
 
-    Documents link if the Jaccard similarity of their five-word shingles is at least ``similarity``. Candidates come from the trie join
-    of fingerprints of distinct word pairs: the links that connect everything within the budget, and one from each
-    to the first of what they connect. So a cluster of copies is checked by as many links as it has members, not by
-    all its pairs; copies with equal shingles are one node.
+    Documents link if the Jaccard similarity of their five-word shingles is at least ``similarity``. Candidates agree in a band of
+    minima of their hashed shingles; those of one key are compared exactly with its first.
+    Copies with equal shingles are one node.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = [t.as_py() or b"" for t in batch.column(1).cast(pa.binary())]
-            fps = np.array([fingerprint(t, PAIR_WORDS, True) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), pa.array([set_id(shingle_set(t)) for t in texts], pa.int64())], ["doc_id", "fp", "node"])
+            nodes, sizes, keys = [], [], []
+            for text in batch.column(1).cast(pa.binary()):
+                shingles = shingle_set(text.as_py() or b"")
+                nodes.append(set_id(shingles))
+                sizes.append(len(shingles))
+                keys.append(band_keys(shingles))
+            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "keys"])
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    marked = materialise(source.mapInArrow(run, "doc_id long, fp long, node long"), "near-marked")
-    nodes = materialise(marked.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("first")), "near-nodes")
-    heads = materialise(nodes.groupBy("fp").agg(F.min("node").alias("head")), "near-heads")
-    links = materialise(linked_fingerprints(heads, PAIR_BUDGET), "near-candidates")
-    stars = components(links).where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    by_fp = links.unionByName(stars).distinct()
-    named = heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), heads.select(F.col("fp").alias("b"), F.col("head").alias("y"))
-    across = by_fp.join(named[0], "a").join(named[1], "b").select("x", "y")
-    within = nodes.join(heads, "fp").where("node <> head").select(F.col("node").alias("x"), F.col("head").alias("y"))
-    edges = materialise(across.unionByName(within), "near-edges")
-    ends = edges.select(F.col("x").alias("node")).unionByName(edges.select(F.col("y").alias("node"))).distinct()
-    wanted = ends.join(nodes, "node").select("first", F.lit(1).alias("_wanted"))
+    marked = materialise(source.mapInArrow(run, "doc_id long, node long, size int, keys array<long>"), "near-marked")
+    nodes = materialise(marked.groupBy("node").agg(F.min("doc_id").alias("first")), "near-nodes")
+    keyed = materialise(marked.select(F.explode("keys").alias("key"), "node", "size").distinct(), "near-keys")
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    members = materialise(keyed.join(several, "key").select("key", "node", "size"), "near-candidates")
+    wanted = members.select("node").distinct().join(nodes, "node").select("first")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [shingle_set(t.as_py() or b"") for t in batch.column(0).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([pa.array(list(map(set_id, found)), pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    texts = source.join(wanted.select("first").distinct(), source["doc_id"].eqNullSafe(F.col("first")), "left_semi").select("text")
+    texts = source.join(wanted.distinct(), source["doc_id"].eqNullSafe(F.col("first")), "left_semi").select("text")
     shingles = materialise(texts.mapInArrow(sets, "node long, shingles array<long>").dropDuplicates(["node"]), "near-sets")
-    left, right = shingles.select(F.col("node").alias("x"), F.col("shingles").alias("p")), shingles.select(F.col("node").alias("y"), F.col("shingles").alias("q"))
-    both = edges.join(left, "x").join(right, "y")
-    shared = F.size(F.array_intersect("p", "q"))
-    alike = both.where(shared >= similarity * (F.size("p") + F.size("q") - shared)).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    roots = components(alike)
+    roots = verified(members, shingles, similarity)
     joined = nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
     keepers = joined.groupBy("root").agg(F.min("first").alias("keeper"))
     whole = joined.select("node", "root").join(keepers, "root").select(F.col("node").alias("_node"), "keeper")

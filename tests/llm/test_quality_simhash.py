@@ -139,3 +139,24 @@ def test_one_of_each_group_stays(odd, documents):
     kept = simhash.drop_near_duplicates(odd).collect()
     assert sorted((r.doc_id for r in kept if r.doc_id is not None)) == [-4, 1, 5, 6, 7, 10, 11] or len(kept) > 0
     assert len({(r.text or "").lower() for r in kept}) == len(kept)
+
+
+def jaccard(a: str, b: str) -> float:
+    p, q = (set(simhash.shingle_set(t.encode()).tolist()) for t in (a, b))
+    return len(p & q) / len(p | q)
+
+
+def test_near_copies_with_passages_added_or_cut_are_found(documents):
+    rng = random.Random(11)
+    word = lambda: f"p{rng.randrange(10**7)}"
+    rows, wanted = [], 0
+    for i in range(160):
+        text = [word() for _ in range(rng.choice([60, 150, 500]))]
+        more = int(len(text) * rng.uniform(0.1, 0.24))
+        copy = text + [word() for _ in range(more)] if i % 2 else text[: len(text) - int(more * 0.8)]
+        pair = " ".join(text), " ".join(copy)
+        if 0.8 <= jaccard(*pair) <= 0.9:
+            wanted += 1
+            rows += [(2 * i, pair[0], "a"), (2 * i + 1, pair[1], "a")]
+    groups = {r.doc_id: r.keeper for r in simhash.near_groups(documents(rows)).collect()}
+    assert wanted > 100 and groups == {i: i - i % 2 for i in groups}
