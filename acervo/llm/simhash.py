@@ -278,6 +278,8 @@ BANDS, BAND_ROWS = 28, 5
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 32, (BANDS * BAND_ROWS, 1), dtype=np.uint32) | np.uint32(1)
 #: Shingles hashed at once.
 HASHED = 1 << 10
+#: A key's texts are compared with so many times more centres in each round.
+SPREAD = 4
 
 
 def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -311,18 +313,45 @@ def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(shared >= similarity * (F.size("p") + F.size("q") - shared)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """``node, root`` of the nodes that link: ``members`` (key, node, size) of one key are compared with its first node."""
-    centres = members.groupBy("key").agg(F.min("node").alias("centre"))
-    pairs = members.join(centres, "key").where("node <> centre").select(F.col("centre").alias("x"), F.col("node").alias("y")).distinct()
-    return components(alike(materialise(pairs, "near-pairs"), sets, similarity))
+def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
+    """``node, root`` of the nodes that link, or None: ``members`` (key, node, size) of one key are candidates, ``sets`` decide.
+
+    In each round the members of a key are compared with its centres, and those are then done. Only what is not connected by
+    verified links yet is compared; a pair that fails connects nothing, so its members stay to be compared with later centres. A key is done when
+    all that is left of it is connected. The number of centres grows from round to round, from one: copies of a text
+    need as many comparisons as there are copies, and keys of unlike texts as many rounds as the logarithm of their size.
+    """
+    roots = tested = None
+    members, spread = materialise(members.withColumn("root", F.col("node")), "near-members"), 1
+    while not members.isEmpty():
+        centres = members.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(spread)).alias("part")).agg(
+            F.min("node").alias("centre"), F.min_by("size", "node").alias("centre_size"), F.min_by("root", "node").alias("centre_root")
+        )
+        centres = materialise(centres.drop("part"), "near-centres")
+        # sets whose sizes differ more cannot reach the similarity
+        fits = (F.col("root") != F.col("centre_root")) & (F.least("size", "centre_size") >= similarity * F.greatest("size", "centre_size"))
+        pairs = members.join(centres, "key").where(fits).select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y")).distinct()
+        pairs = materialise(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "near-pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = materialise(alike(pairs, sets, similarity), "near-links")
+        if not links.isEmpty():
+            known = links if roots is None else links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            roots = materialise(components(known), "near-roots")
+        done = centres.select("key", F.col("centre").alias("node"))
+        rest = members.join(done, ["key", "node"], "left_anti")
+        if roots is not None:
+            rest = rest.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rest = materialise(rest.select("key", "node", "size", "root"), "near-rest")
+        apart = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        members, spread = materialise(rest.join(apart, "key"), "near-members"), spread * SPREAD
+    return roots
 
 
 def near_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, node, keeper`` per row: the smallest id of the document's group of near-duplicates.
 
     Documents link if the Jaccard similarity of their five-word shingles is at least ``similarity``. Candidates agree in a band of
-    minima of their hashed shingles; those of one key are compared exactly with its first.
+    minima of their hashed shingles; every candidate pair is compared exactly, unless verified links connect it already.
     Copies with equal shingles are one node.
     """
 
@@ -353,7 +382,10 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = source.join(wanted.distinct(), source["doc_id"].eqNullSafe(F.col("first")), "left_semi").select("text")
     shingles = materialise(texts.mapInArrow(sets, "node long, shingles array<long>").dropDuplicates(["node"]), "near-sets")
     roots = verified(members, shingles, similarity)
-    joined = nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
+    if roots is None:
+        joined = nodes.withColumn("root", F.col("node"))
+    else:
+        joined = nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
     keepers = joined.groupBy("root").agg(F.min("first").alias("keeper"))
     whole = joined.select("node", "root").join(keepers, "root").select(F.col("node").alias("_node"), "keeper")
     return marked.join(whole, F.col("node") == F.col("_node")).select("doc_id", "node", "keeper")

@@ -160,3 +160,16 @@ def test_near_copies_with_passages_added_or_cut_are_found(documents):
             rows += [(2 * i, pair[0], "a"), (2 * i + 1, pair[1], "a")]
     groups = {r.doc_id: r.keeper for r in simhash.near_groups(documents(rows)).collect()}
     assert wanted > 100 and groups == {i: i - i % 2 for i in groups}
+
+
+def test_candidates_that_fail_with_the_first_are_compared_with_each_other(spark):
+    rng = random.Random(12)
+    family = [set(range(k * 100, k * 100 + 100)) for k in range(6)]
+    # in one key: pairs at 0.82 whose members are unlike those of all other pairs, and the first node unlike all
+    sets = {0: set(range(5000, 5100))} | {n: family[n % 6] ^ {n % 6 * 100 + n, 10_000 + n} | {20_000 + i for i in range(40)} for n in range(1, 40)}
+    sets |= {n: {rng.randrange(10**6) for _ in range(100)} for n in range(40, 60)}
+    similar = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    members = spark.createDataFrame([(1, n, len(s)) for n, s in sets.items()], "key long, node long, size int")
+    frame = spark.createDataFrame([(n, sorted(s)) for n, s in sets.items()], "node long, shingles array<long>")
+    roots = {r.node: r.root for r in simhash.verified(members, frame, 0.8).collect()}
+    assert [roots.get(n, n) for n in range(60)] == plain_groups([sets[n] for n in range(60)], similar)
