@@ -28,12 +28,10 @@ BACK, LANES, WINDOW = 32, 64, 64
 RATE = 0.1
 #: Documents scored together.
 TOGETHER = 512
-#: Training documents whose gradients are taken, in each round: this share, or all while the corpus has fewer tokens.
-SHARE, ROUND_TOKENS, ROUNDS = 1 / 16, 2_000_000, 2
-#: Passes of a round over a small corpus, at most.
-PASSES = 6
-#: Tokens that a task trains on before it reads on.
-BUFFER = 1 << 20
+#: Rounds over all training documents, and tokens of a round that a task trains on before it reads on.
+ROUNDS, ROUND_TOKENS = 2, 1 << 20
+#: Passes of a round over what a task holds, for a corpus of any size.
+PASSES = 1
 #: Distinct words a task counts before it hands them on.
 HELD_WORDS = 300_000
 #: Parameters of one row when networks are averaged.
@@ -297,14 +295,11 @@ def averaged(rows: DataFrame) -> np.ndarray:
     return np.concatenate([np.frombuffer(r["part"], np.float32) for r in got]) if got else np.zeros(0, np.float32)
 
 
-def fit(train: DataFrame, lexicon: Lexicon, tail_counts: np.ndarray, n_tokens: int) -> np.ndarray:
-    """Rounds of local training in every task, from the same network, and an average of the results."""
+def fit(train: DataFrame, lexicon: Lexicon, tail_counts: np.ndarray) -> np.ndarray:
+    """Rounds of local training in every task on all its documents, from the same network, and an average of the results."""
     own = np.concatenate([[lexicon.end_count], lexicon.counts[: OWN - 1]]).astype(float)
     values = Network.start(own, tail_counts).values
-    share = min(1.0, max(SHARE, ROUND_TOKENS / max(1, n_tokens)))
-    passes = int(min(PASSES, max(1, ROUND_TOKENS / max(1, n_tokens))))
-    for number in range(ROUNDS):
-        picked = train if share == 1 else train.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(number)), F.lit(1_000_000)) < int(share * 1_000_000))
+    for _ in range(ROUNDS):
         now = values
 
         def run(batches: Iterator[pa.RecordBatch], now: np.ndarray = now) -> Iterator[pa.RecordBatch]:
@@ -313,7 +308,7 @@ def fit(train: DataFrame, lexicon: Lexicon, tail_counts: np.ndarray, n_tokens: i
 
             def learn() -> None:
                 stream = np.concatenate([np.array([END], np.int64), *held])
-                for _ in range(passes):
+                for _ in range(PASSES):
                     train_on(net, memory, stream)
 
             for batch in batches:
@@ -321,7 +316,7 @@ def fit(train: DataFrame, lexicon: Lexicon, tail_counts: np.ndarray, n_tokens: i
                     ids = lexicon.look_up(text.as_py() or b"")[0]
                     held.append(ids)
                     size += len(ids)
-                    if size >= BUFFER:
+                    if size >= ROUND_TOKENS:
                         learn()
                         seen, held, size = seen + size, [], 0
             if size:
@@ -333,7 +328,7 @@ def fit(train: DataFrame, lexicon: Lexicon, tail_counts: np.ndarray, n_tokens: i
                     [pa.array(range(len(parts)), pa.int32()), pa.array([seen] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["chunk", "n", "part"]
                 )
 
-        mean = averaged(picked.select("text").mapInArrow(run, "chunk int, n long, part binary"))
+        mean = averaged(train.select("text").mapInArrow(run, "chunk int, n long, part binary"))
         if len(mean):
             values = mean
     return values
@@ -372,7 +367,7 @@ def score(docs: DataFrame) -> DataFrame:
     tail_n, tail_v = np.zeros(TAIL_CLASSES), np.zeros(TAIL_CLASSES)
     for row in counts.mapInArrow(tails, "kind long, n long, v long").groupBy("kind").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         tail_n[row["kind"]], tail_v[row["kind"]] = row["n"], row["v"]
-    values = fit(train, lexicon, tail_n, n)
+    values = fit(train, lexicon, tail_n)
     tail_size = np.log10(tail_n + tail_v + 1)
     size = np.log10(n + v + 1)
 

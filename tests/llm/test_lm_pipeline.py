@@ -102,6 +102,20 @@ def test_model_beats_the_unigram_on_held_out_documents(documents, quick, monkeyp
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.1 * sum(r.n_tokens for r in held)
 
 
+def test_every_training_document_gives_gradients_in_every_round(documents, monkeypatch):
+    monkeypatch.setattr(recurrent_lm, "ROUND_TOKENS", 100)
+    monkeypatch.setattr(recurrent_lm, "PASSES", 1)
+    seen, mean = [], recurrent_lm.averaged
+
+    def averaged(rows):
+        seen.append(rows.where("chunk = 0").agg({"n": "sum"}).first()[0])
+        return mean(rows)
+
+    monkeypatch.setattr(recurrent_lm, "averaged", averaged)
+    got = recurrent_lm.score(documents([(i, "a b c d " * 12, "x") for i in range(120)])).collect()
+    assert seen == [got[0].train_tokens] * recurrent_lm.ROUNDS
+
+
 def test_without_training_documents(documents, quick):
     ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
     got = recurrent_lm.score(documents([(i, "a b", "x") for i in ids])).collect()
