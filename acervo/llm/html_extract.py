@@ -24,7 +24,8 @@ INSIDE, OUTSIDE, TEXT_LIMIT = 4.0, -6.0, 2.0
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|object|textarea|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<title\s*/>"  # as in <svg>, where it has no end tag
+    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|select|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)[^>]*>"
     r"|<[!?][^>]*>"

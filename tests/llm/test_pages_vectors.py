@@ -36,6 +36,18 @@ def test_main_text_of_a_page():
     assert html_extract.main_text("<nav>only</nav>") == html_extract.main_text("") == html_extract.main_text("<p title=\"open") == ""
 
 
+@pytest.mark.parametrize(
+    ("inside", "want"),
+    [
+        ("<svg viewBox='0 0 1 1'/>One", "One"), ("<svg><title/><path d='M0'/></svg>One", "One"), ("<math/>One", "One"), ("<object data='x'>One", "One"),
+        ("One <math><mi>x</mi>=<mn>2</mn></math>", "One x=2"), ("<object data='x'>Fallback</object> one", "Fallback one"), ("<title-card>Card</title-card> one", "Card one"),
+        ("<script>no</script >One", "One"), ("<svg><style>no</style></svg>One", "One"),
+    ],
+)
+def test_only_raw_text_elements_are_skipped(inside, want):
+    assert html_extract.main_text(f"<article><p>{inside}</p><p>Two.</p></article>") == f"{want}\nTwo."
+
+
 def test_extract_odd_pages(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     many = "<article>" + "<p>word &lt;b&gt;</p>" * 5000 + "</article>"
