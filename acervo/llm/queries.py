@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.catalogue.registry import table
-from acervo.llm import html_extract, line_dedup, mixing, packing, quality_rules, recurrent_lm, simhash, token_codec, topk_index, url_filter
+from acervo.llm import html_extract, lexical_search, line_dedup, mixing, packing, quality_rules, recurrent_lm, simhash, token_codec, topk_index, url_filter
 from acervo.llm import sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op10_topk_index(spark: SparkSession, folder: str) -> DataFrame:
     return topk_index.top_k(table(spark, folder, "embeddings"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
@@ -69,5 +73,12 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_recurrent_lm": op9_recurrent_lm,
     "op10_topk_index": op10_topk_index,
+    "op11_lexical_search": op11_lexical_search,
+}
+SQL: dict[str, str] = {
+    "op1_mix_sources": oracle.MIX,
+    "op2_line_dedup": oracle.LINES,
+    "op5_url_filter": oracle.URLS,
+    "op10_topk_index": oracle.TOP,
+    "op11_lexical_search": oracle.SEARCH,
 }
-SQL: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op2_line_dedup": oracle.LINES, "op5_url_filter": oracle.URLS, "op10_topk_index": oracle.TOP}

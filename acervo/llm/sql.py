@@ -136,3 +136,32 @@ scores AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 10
 """
+
+SEARCH = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS d, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents WHERE text IS NOT NULL
+),
+asked AS (
+    SELECT item_id, any_value(i) AS i, term, count(*) AS times FROM (
+        SELECT item_id, i, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT item_id, text, row_number() OVER () AS i FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL))
+    ) GROUP BY item_id, i, term
+),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM words WHERE len(terms) > 0),
+postings AS (
+    SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM words) WHERE term IN (SELECT term FROM asked) GROUP BY d, term
+),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM postings, whole GROUP BY term, n_docs
+),
+scored AS (
+    SELECT a.i, a.item_id, p.d, CAST(sum(a.times * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (75 + (25 * len(t.terms) * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM asked a JOIN weights w USING (term) JOIN postings p USING (term) JOIN words t USING (d), whole GROUP BY a.i, a.item_id, p.d
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+    SELECT s.item_id, t.doc_id, s.score, row_number() OVER (PARTITION BY s.i ORDER BY s.score DESC, t.doc_id NULLS LAST) AS rank
+    FROM scored s JOIN words t USING (d) WHERE s.score > 0
+) WHERE rank <= 20
+"""
