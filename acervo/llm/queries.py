@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.catalogue.registry import table
-from acervo.llm import html_extract, lexical_search, line_dedup, mixing, packing, quality_rules, recurrent_lm, simhash, token_codec, topk_index, url_filter
+from acervo.llm import (
+    html_extract,
+    lexical_search,
+    line_dedup,
+    mixing,
+    packing,
+    periodic_runs,
+    quality_rules,
+    recurrent_lm,
+    secret_scan,
+    simhash,
+    token_codec,
+    topk_index,
+    url_filter,
+)
 from acervo.llm import sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +76,14 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, folder, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.find_runs(table(spark, folder, "documents"), plant=True)
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_dedup": op2_line_dedup,
@@ -74,6 +96,8 @@ QUERIES: dict[str, Query] = {
     "op9_recurrent_lm": op9_recurrent_lm,
     "op10_topk_index": op10_topk_index,
     "op11_lexical_search": op11_lexical_search,
+    "op12_secret_scan": op12_secret_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 SQL: dict[str, str] = {
     "op1_mix_sources": oracle.MIX,
