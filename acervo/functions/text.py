@@ -75,8 +75,10 @@ def fold_text(value: Column) -> Column:
 
 def tokens(value: Column, min_length: int = 1) -> Column:
     """Distinct letter/digit runs of the folded text, in order of appearance."""
-    words = F.split(fold_text(value), r"[^\p{L}\p{N}]+")
-    return F.array_distinct(F.filter(words, lambda w: F.length(w) >= min_length))
+    # white space at the ends is cut off with everything else that is no letter or digit
+    words = F.split(F.replace(to_ascii_lower(value), F.lit("."), F.lit("")), r"[^\p{L}\p{N}]+")
+    found = F.array_distinct(F.array_remove(words, ""))
+    return found if min_length <= 1 else F.filter(found, lambda w: F.length(w) >= min_length)
 
 
 def strip_markup(value: Column) -> Column:
