@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from acervo.catalogue.registry import query, table
 from acervo.functions.doi import page_dois
 from acervo.functions.predicates import in_country
-from acervo.functions.similarity import accepted
-from acervo.functions.text import strip_markup
+from acervo.functions.similarity import accepted, author_similarity, title_similarity
+from acervo.functions.text import fold_text, strip_markup
 from acervo.operators.dedup import distinct_nested
 from acervo.operators.joins import referenced
 from acervo.operators.retrieval import top_candidates
@@ -280,19 +280,139 @@ def candidate_topk(spark: SparkSession, d: str) -> DataFrame:
     return found.select("q_id", "t_id", F.col("score").cast("double").alias("score"), "rank")
 
 
-@query()
-def fuzzy_title_match(spark: SparkSession, d: str) -> DataFrame:
-    """Page headings against page titles; the site of a page is its author."""
-    pages = table(spark, d, "pages")
+def _sql_fold(text: str) -> str:
+    return f"replace(trim(replace(strip_accents(lower({text})), 'ß', 'ss')), '.', '')"
+
+
+def _sql_masks(a: str, b: str) -> str:
+    """For each letter of ``b`` the places in ``a`` where it stands, as bits; up to 120 letters."""
+    here = f"CASE WHEN substr({a}, i::INTEGER + 1, 1) = substr({b}, j::INTEGER + 1, 1) THEN 1::HUGEINT << i::INTEGER ELSE 0::HUGEINT END"
+    return f"list_transform(range(length({b})), lambda j: list_sum(list_transform(range(length({a})), lambda i: {here}))::HUGEINT)"
+
+
+def _sql_lcs(length: str, masks: str) -> str:
+    """Longest common subsequence: bits of a row, one step for each letter of the other text."""
+    full = f"((1::HUGEINT << ({length})::INTEGER) - 1)"
+    step = f"lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full}"
+    return f"(({length}) - bit_count(list_reduce(list_prepend({full}, {masks}), {step})))"
+
+
+def _sql_ratio(a: str, b: str) -> str:
+    lcs = _sql_lcs(f"length({a})", _sql_masks(a, b))
+    return f"(CASE WHEN length({a}) = 0 OR length({b}) = 0 THEN 0 ELSE 200.0::DOUBLE * {lcs} / (length({a}) + length({b})) END)"
+
+
+def _sql_partial(a: str, b: str) -> str:
+    """Best window of ``b``, not the shorter one; ``masks`` are those of its letters in ``a``."""
+    windows = f"list_transform(range(length({b}) - length({a}) + 1), lambda w: {_sql_lcs(f'length({a})', f'masks[w + 1:w + length({a})]')})"
+    return f"(CASE WHEN length({a}) = 0 THEN 0 ELSE 100.0::DOUBLE * list_max({windows}) / length({a}) END)"
+
+
+_SHORT_LONG = "CASE WHEN length(a) > length(b) THEN b ELSE a END AS short, CASE WHEN length(a) > length(b) THEN a ELSE b END AS long"
+
+
+def _sql_title_scores(pairs: str) -> str:
+    """``key, title_score`` for rows (key, a, b) of folded titles."""
+    rest = "array_to_string(list_sort(list_filter(list_distinct({}), lambda w: NOT list_contains({}, w))), ' ')"
+    both = lambda x, y: f"concat_ws(' ', nullif(common, ''), nullif({rest.format(x, y)}, ''))"
+    words = lambda x: f"list_filter(string_split({x}, ' '), lambda w: w <> '')"
+    alone = lambda u: f"190.0::DOUBLE * length(common) / (length(common) + length({u}))"
+    return f"""
+        SELECT key, CASE WHEN len(wa) = 0 OR len(wb) = 0 THEN 0 ELSE round_even(greatest(
+            {_sql_ratio('a', 'b')}, 0.95::DOUBLE * {_sql_ratio('sa', 'sb')}, 0.95::DOUBLE * {_sql_ratio('ua', 'ub')},
+            CASE WHEN common <> '' THEN greatest({alone('ua')}, {alone('ub')}) ELSE 0 END,
+            CASE WHEN length(long) >= 1.5 * length(short) THEN 0.9::DOUBLE * {_sql_partial('short', 'long')} ELSE 0 END), 0) END::INTEGER AS title_score
+        FROM (SELECT *, {_sql_masks('short', 'long')} AS masks, {both('wa', 'wb')} AS ua, {both('wb', 'wa')} AS ub
+              FROM (SELECT *, array_to_string(list_sort(wa), ' ') AS sa, array_to_string(list_sort(wb), ' ') AS sb, {_SHORT_LONG},
+                           array_to_string(list_sort(list_filter(list_distinct(wa), lambda w: list_contains(wb, w))), ' ') AS common
+                    FROM (SELECT *, {words('a')} AS wa, {words('b')} AS wb FROM ({pairs}))))"""
+
+
+def _sql_author_scores(pairs: str) -> str:
+    """``key, author_score`` for rows (key, a, b) of folded names; the best of a key."""
+    return f"""
+        SELECT key, max(CASE WHEN short = '' THEN 0 ELSE round_even({_sql_partial('short', 'long')}, 0) END)::INTEGER AS author_score
+        FROM (SELECT *, {_sql_masks('short', 'long')} AS masks FROM (SELECT key, {_SHORT_LONG} FROM ({pairs}))) GROUP BY key"""
+
+
+def _sql_plain(html: str) -> str:
+    """Text of a heading without tags."""
+    for name, letter in (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&amp;", "'&'")):
+        html = f"replace({html}, '{name}', {letter})"
+    return rf"trim(regexp_replace({html}, '\s+', ' ', 'g'))"
+
+
+_HEADING = "regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)"
+_TITLE = "regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"
+_PAGE_NAMES = rf"""
+    SELECT page_id, {_sql_plain(_HEADING)} AS heading, {_sql_plain(_TITLE)} AS title, regexp_extract(url, '^https?://(?:www\.|m\.)?([^/]+)', 1) AS site FROM pages
+"""
+
+
+def page_names(spark: SparkSession, d: str) -> DataFrame:
+    """``page_id, heading, title, site`` of each page."""
     site = F.regexp_extract("url", r"^https?://(?:www\.|m\.)?([^/]+)", 1)
     heading = strip_markup(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1))
-    products = pages.select(F.col("page_id").alias("product_key"), heading.alias("title"), F.col("page_id").alias("person_id"))
-    profiles = pages.select(F.col("page_id").alias("person_id"), site.alias("name"))
-    search = pages.select(
-        F.col("page_id").alias("id"),
-        strip_markup(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)).alias("title"),
-        F.array(F.upper(site)).alias("authors"),
-    )
+    title = strip_markup(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1))
+    return table(spark, d, "pages").select("page_id", heading.alias("heading"), title.alias("title"), site.alias("site"))
+
+
+@query(_sql_title_scores(f"""
+    SELECT p.page_id || ':next' AS key, {_sql_fold('p.title')} AS a, {_sql_fold('n.title')} AS b FROM ({_PAGE_NAMES}) p JOIN ({_PAGE_NAMES}) n ON n.page_id = p.page_id + 1
+    UNION ALL SELECT page_id || ':site', {_sql_fold('title')}, {_sql_fold("replace(site, '.', ' ')")} FROM ({_PAGE_NAMES})
+"""))
+def title_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Each page's title against that of the next page, and against the words of its site."""
+    site = fold_text(F.replace("site", F.lit("."), F.lit(" ")))
+    pages = page_names(spark, d).select("page_id", fold_text(F.col("title")).alias("title"), site.alias("site"))
+    following = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("title").alias("other"))
+    pairs = pages.join(following, "page_id").select(F.concat("page_id", F.lit(":next")).alias("key"), "title", "other")
+    pairs = pairs.unionByName(pages.select(F.concat("page_id", F.lit(":site")).alias("key"), "title", F.col("site").alias("other")))
+    return pairs.select("key", title_similarity(F.col("title"), F.col("other")).alias("title_score"))
+
+
+@query(_sql_author_scores(f"""
+    SELECT p.page_id AS key, {_sql_fold('p.site')} AS a, {_sql_fold('n.site')} AS b FROM ({_PAGE_NAMES}) p JOIN ({_PAGE_NAMES}) n ON n.page_id IN (p.page_id + 1, p.page_id + 2)
+    UNION ALL SELECT page_id, {_sql_fold('site')}, {_sql_fold('title')} FROM ({_PAGE_NAMES})
+"""))
+def author_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Each page's site against the sites of the next two pages and its own title, as names."""
+    pages = page_names(spark, d).select("page_id", fold_text(F.col("title")).alias("title"), fold_text(F.col("site")).alias("site"))
+    others = [pages.select((F.col("page_id") - n).alias("page_id"), F.col("site").alias("name")) for n in (1, 2)]
+    named = others[0].unionByName(others[1]).unionByName(pages.select("page_id", F.col("title").alias("name")))
+    names = named.groupBy("page_id").agg(F.collect_list("name").alias("names"))
+    return pages.join(names, "page_id").select(F.col("page_id").alias("key"), author_similarity(F.col("site"), F.col("names")).alias("author_score"))
+
+
+def _sql_fields(text: str) -> str:
+    """Tokens of a text, and of the site as those of an author."""
+    of = lambda column: _SQL_TOKENS.replace("lower(text)", f"lower({column})")
+    return f"list_concat({of(text)}, list_transform({of('site')}, lambda w: '@' || w))"
+
+
+@query(f"""
+    WITH named_pages AS ({_PAGE_NAMES}),
+    q AS (SELECT page_id AS q_id, unnest({_sql_fields('heading')}) AS token FROM named_pages),
+    t AS (SELECT page_id AS t_id, unnest({_sql_fields('title')}) AS token FROM named_pages),
+    w AS (SELECT token, CAST(round(ln(1 + (SELECT count(*) FROM pages) / count(*)), 6) AS DECIMAL(18, 6)) AS weight FROM t GROUP BY token),
+    s AS (SELECT q_id, t_id, sum(weight) AS score FROM q JOIN t USING (token) JOIN w USING (token) GROUP BY q_id, t_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, t_id) AS rank FROM s QUALIFY rank <= 20),
+    pairs AS (
+        SELECT q_id || ':' || t_id AS key, q_id, t_id, rank, {_sql_fold('a.heading')} AS a, {_sql_fold('b.title')} AS b, {_sql_fold('a.site')} AS author, {_sql_fold('b.site')} AS name
+        FROM r JOIN named_pages a ON a.page_id = q_id JOIN named_pages b ON b.page_id = t_id),
+    titled AS ({_sql_title_scores('SELECT key, a, b FROM pairs')}),
+    authored AS ({_sql_author_scores('SELECT key, author AS a, name AS b FROM pairs')})
+    SELECT q_id AS product_key, t_id AS id, CAST(rank AS INTEGER) AS rank, title_score, author_score
+    FROM pairs JOIN titled USING (key) JOIN authored USING (key)
+    WHERE title_score >= CASE WHEN author_score >= 65 THEN 90 ELSE 94 END
+    QUALIFY row_number() OVER (PARTITION BY q_id ORDER BY rank) = 1
+""")
+def fuzzy_title_match(spark: SparkSession, d: str) -> DataFrame:
+    """Page headings against page titles; the site of a page is its author."""
+    pages = page_names(spark, d)
+    products = pages.select(F.col("page_id").alias("product_key"), F.col("heading").alias("title"), F.col("page_id").alias("person_id"))
+    profiles = pages.select(F.col("page_id").alias("person_id"), F.col("site").alias("name"))
+    search = pages.select(F.col("page_id").alias("id"), "title", F.array(F.upper("site")).alias("authors"))
     return first_accepted(similar_pairs(products, profiles, search))
 
 

@@ -55,7 +55,7 @@ def field_tokens(text: Column, authors: Column | None = None) -> Column:
     words = F.coalesce(tokens(text), F.array().cast("array<string>"))
     if authors is None:
         return words
-    named = F.array_distinct(F.flatten(F.transform(F.filter(authors, lambda n: n.isNotNull()), tokens)))
+    named = F.array_distinct(F.flatten(F.transform(F.filter(authors, lambda n: n.isNotNull()), lambda n: tokens(n))))
     marked = F.transform(named, lambda w: F.concat(F.lit(AUTHOR), w))
     return F.concat(words, F.coalesce(marked, F.array().cast("array<string>")))
 
@@ -115,7 +115,7 @@ def query_terms(asked: DataFrame, weights: DataFrame, common: DataFrame) -> tupl
     rare_first = W.partitionBy("q_id").orderBy("df", "token")  # one title's tokens
     onwards = rare_first.rowsBetween(0, W.unboundedFollowing)
     terms = terms.select(
-        "q_id", "token", "weight", "band", "bit", rare.alias("rare_weight"),
+        "q_id", "token", "weight", "band", "bit", "sets", rare.alias("rare_weight"),
         F.coalesce(F.sum("sets").over(rare_first.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("rarer_sets"),
         F.sum("weight").over(onwards).alias("reach"),
         F.sum(rare).over(onwards).alias("rare_reach"),
@@ -185,7 +185,9 @@ def top_candidates(
     asked_sets = materialise(asked_sets, "queries")
     terms = materialise(per_token, "query-terms")
 
-    leaders = leading(terms.where(F.col("rarer_sets") < LEAD * k), postings, asked_sets, whole, k).drop("score")
+    # the rarest tokens: as many as k titles need, and more while they stay few
+    opening = (F.col("rarer_sets") < k) | (F.col("rarer_sets") + F.col("sets") <= LEAD * k)
+    leaders = leading(terms.where(opening), postings, asked_sets, whole, k).drop("score")
     kth = _scored(leaders.join(whole, "t_id").join(asked_sets, "q_id"), weights).groupBy("q_id").agg(F.min("score").alias("floor"), F.count("*").alias("n"))
     floors = materialise(kth.where(F.col("n") == k).drop("n"), "floors")
     # a `floor` of null means that every term is needed

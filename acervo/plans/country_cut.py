@@ -121,7 +121,11 @@ def similar_pairs(
     """
     with_author = first_match_lookup(products, profiles.select("person_id", F.col("name").alias("author")), "person_id", ["author"], [F.col("author")])
     asked = with_author.where(searchable(F.col("title"), F.col("author")))
-    candidates = materialise(top_candidates(asked, "product_key", "title", search, "id", "title", k), "candidates")
+    # the index is asked by title and author
+    named = asked.withColumn("asked_names", F.array("author"))
+    candidates = materialise(
+        top_candidates(named, "product_key", "title", search, "id", "title", k, "asked_names", "authors"), "candidates"
+    )
     # each title is folded once, not once per pair, and only if it is a candidate
     queries = asked.select(
         F.col("product_key").alias("q_id"),

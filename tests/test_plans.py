@@ -288,7 +288,7 @@ def test_registered_queries_have_unique_contracts():
 
     assert set(oracle_sql()) <= set(queries())
     own = {name for name in queries() if name != "pipeline" and not name.startswith("op")}
-    assert own - set(oracle_sql()) == {"fuzzy_title_match"}
+    assert own - set(oracle_sql()) == set()
 
 
 def test_entry(spark, testdata):
