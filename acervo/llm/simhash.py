@@ -314,9 +314,11 @@ def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
-    """``node, root`` of the nodes that link, or None: ``members`` (key, node, size) of one key are candidates, ``sets`` decide.
+    """``node, root`` of the nodes that link, or None: ``members`` (key, node, size, degree) of one key are candidates, ``sets`` decide.
 
-    In each round the members of a key are compared with its centres, and those are then done. Only what is not connected by
+    In each round the members of a key are compared with its centres, and those are then done. A centre is the member with most
+    candidates over all keys: the text that a family of copies comes from shares keys with more of them than any copy does, so most keys
+    are done in one round. Only what is not connected by
     verified links yet is compared; a pair that fails connects nothing, so its members stay to be compared with later centres. A key is done when
     all that is left of it is connected. The number of centres grows from round to round, from one: copies of a text
     need as many comparisons as there are copies, and keys of unlike texts as many rounds as the logarithm of their size.
@@ -324,10 +326,10 @@ def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     roots = tested = None
     members, spread = materialise(members.withColumn("root", F.col("node")), "near-members"), 1
     while not members.isEmpty():
-        centres = members.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(spread)).alias("part")).agg(
-            F.min("node").alias("centre"), F.min_by("size", "node").alias("centre_size"), F.min_by("root", "node").alias("centre_root")
-        )
-        centres = materialise(centres.drop("part"), "near-centres")
+        first = F.max(F.struct("degree", (-F.col("node")).alias("order"), "node", "size", "root")).alias("c")
+        centres = members.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(spread)).alias("part")).agg(first)
+        centres = centres.select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.root").alias("centre_root"))
+        centres = materialise(centres, "near-centres")
         # sets whose sizes differ more cannot reach the similarity
         fits = (F.col("root") != F.col("centre_root")) & (F.least("size", "centre_size") >= similarity * F.greatest("size", "centre_size"))
         pairs = members.join(centres, "key").where(fits).select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y")).distinct()
@@ -341,7 +343,7 @@ def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFram
         rest = members.join(done, ["key", "node"], "left_anti")
         if roots is not None:
             rest = rest.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = materialise(rest.select("key", "node", "size", "root"), "near-rest")
+        rest = materialise(rest.select("key", "node", "size", "degree", "root"), "near-rest")
         apart = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
         members, spread = materialise(rest.join(apart, "key"), "near-members"), spread * SPREAD
     return roots
@@ -370,8 +372,10 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     marked = materialise(source.mapInArrow(run, "doc_id long, node long, size int, keys array<long>"), "near-marked")
     nodes = materialise(marked.groupBy("node").agg(F.min("doc_id").alias("first")), "near-nodes")
     keyed = materialise(marked.select(F.explode("keys").alias("key"), "node", "size").distinct(), "near-keys")
-    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = materialise(keyed.join(several, "key").select("key", "node", "size"), "near-candidates")
+    several = keyed.groupBy("key").agg((F.count(F.lit(1)) - 1).alias("others")).where("others > 0")
+    met = materialise(keyed.join(several, "key").select("key", "node", "size", "others"), "near-met")
+    degrees = met.groupBy("node").agg(F.sum("others").alias("degree"))
+    members = materialise(met.drop("others").join(degrees, "node").select("key", "node", "size", "degree"), "near-candidates")
     wanted = members.select("node").distinct().join(nodes, "node").select("first")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,24 +402,24 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     id stay or go by their own text, and of rows equal in id and text one stays. All columns are carried through.
     """
     groups = materialise(near_groups(docs, similarity), "near-groups")
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select(F.col("doc_id").alias("_gone"), F.col("node").alias("_node"))
-    repeated = materialise(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_twice")), "near-repeated")
-    key = docs["doc_id"].cast("long")
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("keeper"))).select(F.col("doc_id").alias("gone"), F.col("node").alias("gone_node"))
+    repeated = materialise(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").select(F.col("doc_id").alias("twice")), "near-repeated")
+    # a row is one value beside the names used here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("words"))
     if repeated.isEmpty():
-        return docs.join(gone.select("_gone").distinct(), key == F.col("_gone"), "left_anti")
+        return rows.join(gone.select("gone").distinct(), F.col("id") == F.col("gone"), "left_anti").select("row.*")
     # ids that several rows share: their rows are compared by text
-    single = docs.join(repeated, key.eqNullSafe(F.col("_twice")), "left_anti")
-    single = single.join(gone.select("_gone").distinct(), single["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    single = rows.join(repeated, rows["id"].eqNullSafe(F.col("twice")), "left_anti")
+    single = single.join(gone.select("gone").distinct(), single["id"] == F.col("gone"), "left_anti")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            nodes = [set_id(shingle_set(t.as_py() or b"")) for t in batch.column("_text").cast(pa.binary())]
-            rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*[c for _, c in rest], pa.array(nodes, pa.int64())], [*[n for n, _ in rest], "_of"])
+            nodes = [set_id(shingle_set(t.as_py() or b"")) for t in batch.column("words").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], [*batch.schema.names, "of"])
 
-    shared = docs.join(repeated, key.eqNullSafe(F.col("_twice")), "left_semi").withColumn("_text", F.col("text").cast("string"))
-    marked = shared.mapInArrow(run, StructType([*docs.schema.fields, StructField("_of", LongType())]))
-    kept = marked.join(gone.distinct(), marked["doc_id"].cast("long").eqNullSafe(F.col("_gone")) & (F.col("_of") == F.col("_node")), "left_anti")
+    shared = rows.join(repeated, rows["id"].eqNullSafe(F.col("twice")), "left_semi")
+    marked = shared.mapInArrow(run, StructType([*shared.schema.fields, StructField("of", LongType())]))
+    kept = marked.join(gone.distinct(), marked["id"].eqNullSafe(F.col("gone")) & (F.col("of") == F.col("gone_node")), "left_anti")
     # a group keeps its smallest id, so what is left of an id and a node is one text many times
-    first = kept.withColumn("_nth", F.row_number().over(W.partitionBy("doc_id", "_of").orderBy(F.xxhash64("text")))).where("_nth = 1")
-    return single.unionByName(first.select(*docs.columns))
+    first = kept.withColumn("nth", F.row_number().over(W.partitionBy("id", "of").orderBy(F.xxhash64("words")))).where("nth = 1")
+    return single.select("row.*").unionByName(first.select("row.*"))

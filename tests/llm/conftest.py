@@ -8,7 +8,8 @@ DOCS = T.StructType(
         T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
         T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
         # names that operators use themselves
-        *[T.StructField(n, T.StringType()) for n in ("size", "fp", "start", "rank", "taken", "n_lines", "kept", "n_words", "hash", "score", "part", "node", "word")],
+        *[T.StructField(n, T.StringType()) for n in ("size", "fp", "start", "rank", "taken", "n_lines", "kept", "n_words", "hash", "score", "part", "node", "word",
+                                                              "row", "id", "words", "of", "gone", "twice", "_text", "_count_n_words", "_of", "_gone", "_node", "_twice", "nth")],
     ]
 )
 
