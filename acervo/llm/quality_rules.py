@@ -215,7 +215,7 @@ def fit(measured: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[
 
     Labels that are null, or contradict each other for an id, are left out.
     """
-    clear = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_most")).where("quality = _most")
+    clear = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
     share = min(1.0, rows / max(1, clear.count()))
     # a share by hash: no task sends the driver more than its part of the sample
     clear = clear.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
@@ -244,18 +244,18 @@ def judge(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFra
 
 def keep_good(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """The rows of ``docs`` that are kept, as they are: the counts ride along with each row instead of being joined to it."""
-    rules = fit(measure(docs), labels, rows)
+    # the rules are learned from labelled documents, so only those are measured for it
+    labelled = docs.select("doc_id", "text").join(labels.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_semi")
+    rules = fit(measure(labelled), labels, rows)
     names = [part.split()[0] for part in COUNTS.split(", ")][1:]
-    hidden = [f"_count_{n}" for n in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            counts = np.array([counts_of(t.as_py() or b"") for t in batch.column("_text").cast(pa.binary())], np.int64).reshape(-1, len(names))
-            columns = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*columns, *[pa.array(counts[:, k]) for k in range(len(names))]], [*[n for n in batch.schema.names if n != "_text"], *hidden])
-
-    schema = StructType([*docs.schema.fields, *[StructField(n, LongType()) for n in hidden]])
-    counted = docs.withColumn("_text", F.col("text").cast("string")).mapInArrow(run, schema)
-    # the rules are written in the plain names of the counts, which a column of docs may have too
-    judged = counted.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_doc"), *[F.col(h).alias(n) for h, n in zip(hidden, names, strict=True)])
-    return judged.where(~base_failed() & rejected_by(rules).isNull()).select("_doc.*")
+            counts = np.array([counts_of(t.as_py() or b"") for t in batch.column("words").cast(pa.binary())], np.int64).reshape(-1, len(names))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *[pa.array(counts[:, k]) for k in range(len(names))]], ["row", *names])
+
+    # a row is one value beside the counts, whatever its columns are called
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("words"))
+    schema = StructType([whole.schema["row"], *[StructField(n, LongType()) for n in names]])
+    judged = whole.mapInArrow(run, schema)
+    return judged.where(~base_failed() & rejected_by(rules).isNull()).select("row.*")
