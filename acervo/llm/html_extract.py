@@ -19,8 +19,11 @@ from acervo.llm.arrow import slices
 TRAIN_PAGES = 1000
 #: Weight of an edge between neighbours in the page, and between blocks of one parent.
 ADJACENT, SIBLING = 0.4, 0.8
-#: What the element a block lies in says, in log-odds of content; the text classifier adds at most TEXT_LIMIT.
-INSIDE, OUTSIDE, TEXT_LIMIT = 4.0, -6.0, 2.0
+#: What the element a block lies in says, in log-odds of content; the text classifier adds at most TEXT_LIMIT. Names are hints, which
+#: text and neighbours together can outweigh; what is no text of the page at all (CERTAIN) stays out.
+INSIDE, OUTSIDE, CERTAIN, TEXT_LIMIT = 3.0, -3.0, -9.0, 2.0
+#: A hint around so much of a page's text is about its layout.
+MOST = 0.6
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -39,7 +42,8 @@ BLOCKS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that end when another of the set starts in the same parent.
 CLOSES = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
-BAD_TAGS = frozenset("nav footer aside header form menu button dialog fieldset head".split())
+BAD_TAGS = frozenset("header form fieldset".split())
+CERTAIN_TAGS = frozenset("nav footer aside menu button dialog head".split())
 GOOD_TAGS = frozenset("article main".split())
 BAD_NAMES = frozenset(
     "ad ads adv advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer discussion feedback "
@@ -48,15 +52,22 @@ BAD_NAMES = frozenset(
 )
 GOOD_NAMES = frozenset("article body content entry main maincontent post story text".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form menu alert dialog".split())
-ATTRIBUTE = re.compile(r"\b(id|class|role|hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+CERTAIN_NAMES = frozenset("comment comments discussion feedback replies reply".split())
+#: With one of these a name speaks of the layout around, or of what is not there.
+LAYOUT_PARTS = frozenset("has no not with without is js".split())
+#: Parts that may follow a name of boilerplate: a list of comments is comments.
+HOLDERS = frozenset("area bar block body bottom box container content group holder inner items item left links list main panel region right row section top widget wrap wrapper".split())
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 @dataclass
 class Element:
     name: str
-    cue: int  # 1 content, -1 boilerplate, 0 nothing known
+    cue: int  # 1 content, 0 nothing known, -1 boilerplate by a hint, -2 for certain
     number: int
+    hint: int = 0  # the element that the hint comes from
 
 
 @dataclass
@@ -64,6 +75,7 @@ class Block:
     parent: int
     cue: int
     name: str
+    hint: int
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -71,25 +83,40 @@ class Block:
         return " ".join(html.unescape("".join(self.pieces)).split())
 
 
+def attributes(text: str) -> dict[str, str]:
+    """Names, in lower case, with their values; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for key, value in ATTRIBUTE.findall(text):
+        found.setdefault(key.lower(), html.unescape(value.strip("\"'")))
+    return found
+
+
+def named(word: str, names: frozenset[str]) -> bool:
+    """Whether an id or class speaks of the element itself by one of the names: as its last part, or as its first before a holder."""
+    parts = [p.lower() for p in NAME_PART.findall(word)]
+    if not parts or not LAYOUT_PARTS.isdisjoint(parts):
+        return False
+    return parts[-1] in names or parts[0] in names and parts[-1] in HOLDERS
+
+
 def cue_of(name: str, attrs: str) -> int:
     """What an element's name, role, id and classes say of its content."""
-    if name in BAD_TAGS:
+    if name in CERTAIN_TAGS:
+        return -2
+    got = attributes(attrs) if attrs.strip() else {}
+    if "hidden" in got or got.get("aria-hidden", "").strip().lower() == "true" or HIDDEN_STYLE.search(got.get("style", "")):
+        return -2
+    words = [got.get("id", "").strip(), *got.get("class", "").split()]
+    if any(named(w, CERTAIN_NAMES) for w in words):
+        return -2
+    role = got.get("role", "").strip().lower()
+    if name in GOOD_TAGS or role == "main":
+        return 1
+    if role in BAD_ROLES or name in BAD_TAGS:
         return -1
-    good = name in GOOD_TAGS
-    for key, value in ATTRIBUTE.findall(attrs) if attrs.strip() else ():
-        key, words = key.lower(), value.strip("\"'")
-        if key == "hidden":
-            return -1
-        if key == "role":
-            if words.lower() in BAD_ROLES:
-                return -1
-            good |= words.lower() == "main"
-            continue
-        parts = {p.lower() for p in NAME_PART.findall(words)}
-        if parts & BAD_NAMES and not (name in GOOD_TAGS or name == "body"):
-            return -1
-        good |= bool(parts & GOOD_NAMES)
-    return 1 if good else 0
+    if name != "body" and any(named(w, BAD_NAMES) for w in words):
+        return -1
+    return int(any(named(w, GOOD_NAMES) for w in words))
 
 
 def blocks_of(page: str) -> list[tuple[Block, str]]:
@@ -107,7 +134,7 @@ def blocks_of(page: str) -> list[tuple[Block, str]]:
     def add(piece: str) -> None:
         nonlocal block
         if block is None:
-            block = Block(stack[-1].number, stack[-1].cue, stack[-1].name)
+            block = Block(stack[-1].number, stack[-1].cue, stack[-1].name, stack[-1].hint)
             found.append(block)
         block.pieces.append(piece)
         if links:
@@ -137,12 +164,31 @@ def blocks_of(page: str) -> list[tuple[Block, str]]:
                 while len(stack) > 1 and name in CLOSES.get(stack[-1].name, ()):
                     stack.pop()
                 made += 1
-                own = cue_of(name, m["attrs"] or "")
-                above = stack[-1].cue
-                stack.append(Element(name, -1 if own < 0 or above < 0 else own or above, made))
+                stack.append(within(stack[-1], Element(name, cue_of(name, m["attrs"] or ""), made)))
     if at < len(page):
         add(page[at:])
-    return [(b, t) for b in found if (t := b.text())]
+    told = [(b, t) for b in found if (t := b.text())]
+    # a hint around most of the text says nothing of it
+    size: dict[int, int] = {}
+    for b, t in told:
+        if b.cue == -1:
+            size[b.hint] = size.get(b.hint, 0) + len(t)
+    whole = sum(len(t) for b, t in told if b.cue > -2)
+    for b, _ in told:
+        if b.cue == -1 and size[b.hint] > MOST * whole and len(told) > 1:
+            b.cue = 0
+    return told
+
+
+def within(outer: Element, element: Element) -> Element:
+    """An element with what those around it say: certainty holds for all inside; a mark of content ends a hint from outside."""
+    if outer.cue == -2:
+        element.cue = -2
+    elif element.cue == 0:
+        element.cue, element.hint = outer.cue, outer.hint
+    elif element.cue == -1:
+        element.hint = outer.hint if outer.cue == -1 else element.number
+    return element
 
 
 def features(block: Block, text: str) -> np.ndarray:
@@ -227,7 +273,7 @@ def main_text(page: str, weights: np.ndarray | None = None) -> str:
     for i, (b, t) in enumerate(blocks):
         text = 0.0 if weights is None else float(np.clip(features(b, t) @ weights, -TEXT_LIMIT, TEXT_LIMIT))
         # in a page that marks its content, what lies outside is less likely to be some
-        odds[i] = text + (INSIDE if b.cue > 0 else OUTSIDE if b.cue < 0 else -INSIDE / 2 if known else 1.0)
+        odds[i] = text + (INSIDE if b.cue > 0 else CERTAIN if b.cue < -1 else OUTSIDE if b.cue < 0 else -INSIDE / 2 if known else 1.0)
     edges = [(i, i + 1, ADJACENT) for i in range(len(blocks) - 1)]
     last: dict[int, int] = {}
     for i, (b, _) in enumerate(blocks):
@@ -249,7 +295,7 @@ def fit_text(pages: DataFrame, most: int = TRAIN_PAGES) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             for sign in (-1, 1):
-                x = [features(b, t) for page in batch.column(0) for b, t in blocks_of(page.as_py()) if b.cue == sign]
+                x = [features(b, t) for page in batch.column(0) for b, t in blocks_of(page.as_py()) if b.cue and (b.cue > 0) == (sign > 0)]
                 if x:
                     x = np.array(x)
                     yield pa.RecordBatch.from_pydict({"sign": pa.array([sign], pa.int32()), "n": [len(x)], "sums": [x.sum(0).tolist()], "squares": [(x.T @ x).ravel().tolist()]})

@@ -48,6 +48,38 @@ def test_only_raw_text_elements_are_skipped(inside, want):
     assert html_extract.main_text(f"<article><p>{inside}</p><p>Two.</p></article>") == f"{want}\nTwo."
 
 
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<article style='overflow:hidden'>{}</article>", "<main aria-hidden='false'>{}</main>", "<article title='The hidden cost'>{}</article>",
+        "<div class='layout has-sidebar'><article>{}</article></div>", "<form action=/x><main>{}</main></form>", "<div class='no-share'>{}</div>",
+        "<div class='header-fixed'><div id='content'>{}</div></div>", "<div data-x='class=menu'>{}</div>", "<div class=sidebar><article>{}</article></div>",
+        "<form id=aspnet><nav>Menu</nav><div>{}</div></form>", "<body class='with-sidebar'><div class='search'>{}</div><footer>x</footer></body>",
+    ],
+)
+def test_layout_names_do_not_hide_an_article(around):
+    text = "<p>The article text, with words.</p><p>More of it, too.</p>"
+    assert html_extract.main_text(around.format(text)) == "The article text, with words.\nMore of it, too."
+
+
+@pytest.mark.parametrize(
+    "extra",
+    [
+        "<div class='comments'><article class='comment'>A reader says, of course, much.</article></div>", "<div hidden><p>Not shown, at all, here.</p></div>",
+        "<p aria-hidden=true>Not for readers.</p>", "<div style='display: none'>Nothing of it.</div>", "<ul class='comment-list'><li>First!</li></ul>",
+        "<aside><article>Elsewhere on this site.</article></aside>", "<div id=cookie-banner>We use cookies</div>",
+    ],
+)
+def test_what_is_no_article_stays_out(extra):
+    assert html_extract.main_text(f"<article><p>The article text, with words.</p><p>More of it, too.</p></article>{extra}") == "The article text, with words.\nMore of it, too."
+
+
+def test_text_and_neighbours_outweigh_a_hint():
+    """No hint is as strong as text and edges together; certainty is."""
+    most = html_extract.TEXT_LIMIT + 2 * html_extract.ADJACENT + 2 * html_extract.SIBLING
+    assert abs(html_extract.OUTSIDE) < most and html_extract.INSIDE < most < abs(html_extract.CERTAIN)
+
+
 def test_extract_odd_pages(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     many = "<article>" + "<p>word &lt;b&gt;</p>" * 5000 + "</article>"
