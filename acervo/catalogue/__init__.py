@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from acervo.catalogue import cuts, fields, files, maintenance, reports, roundtrips
+from acervo.catalogue import cuts, fields, files, maintenance, pipelines, reports, roundtrips
 from acervo.catalogue.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "cuts", "fields", "files", "maintenance", "reports", "roundtrips"]
+__all__ = ["QUERIES", "SQL", "cuts", "fields", "files", "maintenance", "pipelines", "reports", "roundtrips"]

@@ -17,6 +17,7 @@ from acervo.sinks import catalog, checkpoints
 from acervo.sinks.documents import compact_documents, stored_documents, upsert_documents
 from acervo.sources.base import Source
 from acervo.sources.batches import read_json_batches
+from acervo.sources.long_lists import read_long_lists
 from acervo.sources.paths import file_listing
 from acervo.sources.ranking import read_ranking
 from acervo.sources.tables import endpoint_registry, family_scan
@@ -78,6 +79,44 @@ def json_batches(spark: SparkSession, d: str) -> DataFrame:
     ).unionByName(lost.select(F.lit("lost").alias("kind"), "id", F.lit(None).cast("string").alias("c_name")))
 
 
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def long_list(spark: SparkSession, d: str) -> DataFrame:
+    """Customers in plain list files, cut at the braces and read by as many tasks as the files have ranges."""
+    path = scratch_path(spark, "long")
+    row = F.struct("c_custkey", F.struct("c_name", F.concat(F.lit("}{]["), "c_mktsegment").alias("segment")).alias("of"))
+    lists = table(spark, d, "customer").groupBy(F.floor(c("c_custkey") / 200).alias("batch")).agg(F.collect_list(row).alias("items"))
+    plain = F.when(c("batch") % 2 == 0, F.to_json(F.struct("batch", "items", c("items").alias("more")))).otherwise(F.to_json("items"))
+    lists.select(plain).write.option("maxRecordsPerFile", 1).text(path)
+    good, _ = read_long_lists(spark, path)
+    get = lambda name, kind: F.try_variant_get("raw", f"$.{name}", kind)
+    return good.select(get("c_custkey", "bigint").alias("c_custkey"), get("of.c_name", "string").alias("c_name"), F.substring(get("of.segment", "string"), 5, 99).alias("c_mktsegment"))
+
+
+@query("""
+    SELECT ['lines', 'array', 'envelope', 'single'][1 + s_nationkey % 4] AS shape, s_suppkey AS id, s_name FROM supplier
+""")
+def json_shapes(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers in batch files of all four shapes, one nation to a file: lines, an array, an object that wraps a list, single objects."""
+    path = scratch_path(spark, "shapes")
+    rows = table(spark, d, "supplier").select(c("s_suppkey").alias("id"), "s_name", "s_nationkey", F.element_at(F.array(*map(F.lit, ("lines", "array", "envelope", "single"))), (c("s_nationkey") % 4 + 1).cast("int")).alias("shape"))
+    whole = F.struct("id", "s_name", "shape")
+    lists = rows.groupBy("s_nationkey", "shape").agg(F.collect_list(whole).alias("data"))
+    # what is no object in a list is passed by
+    array = F.concat(F.lit("[1, null,\n"), F.substring(F.to_json("data"), 2, 1 << 30))
+    texts = {
+        "lines": lists.select(F.array_join(F.transform("data", lambda r: F.to_json(r)), "\n\n"), "shape"),
+        "array": lists.select(array, "shape"),
+        "envelope": lists.select(F.to_json(F.struct("s_nationkey", "data")), "shape"),
+        "single": rows.select(F.concat(F.lit("\n"), F.replace(F.to_json(whole), F.lit(","), F.lit(",\n"))), "shape"),
+    }
+    for n, (shape, frame) in enumerate(texts.items()):
+        frame.where(c("shape") == shape).drop("shape").write.option("maxRecordsPerFile", 1).text(f"{path}/{shape}")
+        rename_parts(spark, f"{path}/{shape}", f"article_batch_{n}_", ".json")
+    good, _ = read_json_batches(spark, path, "article")
+    get = lambda name, kind: F.try_variant_get("raw", f"$.{name}", kind).alias(name)
+    return good.select(get("shape", "string"), get("id", "bigint"), get("s_name", "string"))
+
+
 @query("""
     SELECT p_partkey AS "Sourceid", p_name AS "Title", p_size AS "H index", 2023 AS year FROM part WHERE p_size > 3 AND p_partkey <> 0
 """)
@@ -181,27 +220,36 @@ def table_swap(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    SELECT t.name AS name, t.n AS n FROM (
-        SELECT 'copy' AS name, count(*) AS n FROM region UNION ALL SELECT 'backup', count(*) FROM nation
-        UNION ALL SELECT 'archive', count(*) FROM nation UNION ALL SELECT 'export', count(*) FROM nation UNION ALL SELECT 'reset', 0) t
+    SELECT way, key, name FROM (
+        SELECT 'copy' AS way, r_regionkey AS key, r_name AS name FROM region
+        UNION ALL SELECT unnest(['backup', 'archive', 'export']), n_nationkey, n_name FROM nation
+        UNION ALL SELECT 'reset', n_nationkey, n_name FROM nation WHERE n_regionkey = 1)
 """)
 def table_lifecycle(spark: SparkSession, d: str) -> DataFrame:
-    """Rows found after copying, backing up, archiving, exporting and resetting the tables of a schema."""
+    """The rows found after copying, backing up, archiving and exporting the tables of a schema, and after a reset and a new load."""
     ns = namespace(spark, "life")
     table(spark, d, "region").withColumn("_id", F.lit(1)).write.saveAsTable(f"{ns}.topics")
-    table(spark, d, "nation").write.saveAsTable(f"{ns}.nation")
+    nations = table(spark, d, "nation").withColumn("_id", F.lit(1))
+    nations.write.saveAsTable(f"{ns}.nation")
     catalog.copy_auxiliary(spark, ns, f"{ns}_copy")
     saved = catalog.backup(spark, f"{ns}.nation", RUN)
-    out = catalog.export(spark.table(f"{ns}.nation"), scratch_path(spark, "export"), "nation", RUN)
-    counts = [spark.table(f"{ns}_copy.topics").count(), spark.table(saved).count()]
-    spark.sql(f"DROP TABLE {saved}")
+    exported = catalog.export(spark.table(f"{ns}.nation"), scratch_path(spark, "export"), "nation", RUN)
     kept = catalog.archive(spark, ns, RUN)
-    counts += [spark.table(f"{kept}.nation").count(), spark.read.parquet(out).count()]
-    catalog.reset(spark, kept)
-    counts.append(len(spark.catalog.listTables(kept)))
-    for name in (kept, f"{ns}_copy"):
-        spark.sql(f"DROP DATABASE {name} CASCADE")
-    return spark.createDataFrame(list(zip(["copy", "backup", "archive", "export", "reset"], counts, strict=True)), "name string, n long")
+    # a second archive of the month takes the first one's place
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns}")
+    nations.write.saveAsTable(f"{ns}.nation")
+    catalog.archive(spark, ns, RUN)
+    fresh = namespace(spark, "fresh")
+    nations.write.saveAsTable(f"{fresh}.nation")
+    catalog.reset(spark, fresh)
+    catalog.append_load(nations.where("n_regionkey = 1"), f"{fresh}.nation")
+    if "_id" in spark.table(f"{kept}.nation").columns:
+        raise ValueError("an archive keeps no row numbers")
+    found = {"backup": spark.table(f"{kept}.{saved.split('.')[1]}"), "archive": spark.table(f"{kept}.nation"), "export": spark.read.parquet(exported), "reset": spark.table(f"{fresh}.nation")}
+    rows = spark.table(f"{ns}_copy.topics").select(F.lit("copy").alias("way"), c("r_regionkey").alias("key"), c("r_name").alias("name"))
+    for way, frame in found.items():
+        rows = rows.unionByName(frame.select(F.lit(way).alias("way"), c("n_nationkey").alias("key"), c("n_name").alias("name")))
+    return rows
 
 
 @query("""
@@ -217,22 +265,31 @@ def clean_surplus_year(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(name).select("key", "year", "o_orderkey")
 
 
-@query("SELECT s_suppkey::VARCHAR AS id, s_name FROM supplier")
+@query("""
+    SELECT 'replace' AS way, c_custkey::VARCHAR AS id, c_name AS name FROM customer
+    UNION ALL SELECT 'truncate', CASE WHEN s_nationkey <> 3 THEN s_suppkey::VARCHAR END, s_name FROM supplier
+""")
 def organisations_file(spark: SparkSession, d: str) -> DataFrame:
-    """Suppliers as one organisation dump: loaded, archived, and loaded again by key."""
+    """Organisation dumps of many list files: one whose records all have a key is loaded by key, twice; one without is loaded whole."""
     path = scratch_path(spark, "organisations")
-    one = table(spark, d, "supplier").select(F.to_json(F.struct(c("s_suppkey").cast("string").alias("id"), "s_name")).alias("line"))
-    # a list is cut into lines of a file: brackets and commas stand on lines of their own
-    first = one.select(F.lit("[").alias("line"), F.lit(0).alias("at"))
-    body = one.select(F.concat("line", F.lit(",")).alias("line"), F.lit(1).alias("at"))
-    lines = first.limit(1).unionByName(body).unionByName(spark.range(1).select(F.lit('{"id": "1", "s_name": "Supplier#000000001"}]').alias("line"), F.lit(2).alias("at")))
-    lines.coalesce(1).sortWithinPartitions("at").select("line").write.text(path)
-    ns = f"org_{uuid.uuid4().hex}"
-    known = table(spark, d, "supplier").where("s_suppkey = 1").select("s_name")
+
+    def write(rows: DataFrame, folder: str) -> str:
+        # forty records to a list, a file for each list
+        lists = rows.groupBy("batch").agg(F.collect_list(F.struct("id", "name")).alias("items"))
+        lists.select(F.to_json("items")).write.option("maxRecordsPerFile", 1).text(f"{path}/{folder}")
+        return f"{path}/{folder}/*.txt"
+
+    customers = table(spark, d, "customer").select(c("c_custkey").cast("string").alias("id"), c("c_name").alias("name"), F.floor(c("c_custkey") / 40).alias("batch"))
+    missing = F.when(c("s_nationkey") != 3, c("s_suppkey").cast("string"))
+    suppliers = table(spark, d, "supplier").select(missing.alias("id"), c("s_name").alias("name"), F.floor(c("s_suppkey") / 40).alias("batch"))
+    by_key, whole = f"org_{uuid.uuid4().hex}", f"org_{uuid.uuid4().hex}"
+    files = write(customers, "keyed")
     for _ in range(2):
-        load_organisations(spark, f"{path}/*.txt", ns, "stage", RUN)
-    raw = F.try_variant_get("raw", "$.s_name", "string")
-    return spark.table(f"{ns}.stage").select("id", F.when(c("id") == "1", F.lit(known.first()[0])).otherwise(raw).alias("s_name"))
+        load_organisations(spark, files, by_key, "stage", RUN)
+    load_organisations(spark, write(suppliers, "whole"), whole, "stage", RUN)
+    get = lambda name: F.try_variant_get("raw", f"$.{name}", "string").alias(name)
+    replaced = spark.table(f"{by_key}.stage").select(F.lit("replace").alias("way"), "id", get("name"))
+    return replaced.unionByName(spark.table(f"{whole}.stage").select(F.lit("truncate").alias("way"), get("id"), get("name")))
 
 
 @query("SELECT c_nationkey::VARCHAR AS source_id, max(c_custkey)::VARCHAR AS last_value FROM customer GROUP BY 1")
@@ -271,18 +328,22 @@ def source_runner(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-@query("SELECT doc_id::VARCHAR AS id, lang AS source, n_chars::VARCHAR AS year FROM documents WHERE source <> 'src3'")
+@query(r"""
+    SELECT doc_id::VARCHAR AS id, lang AS source, n_chars::VARCHAR AS year, source AS authors,
+           md5(trim(regexp_replace(regexp_replace(text, '</?[A-Za-z!][^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS title_md5
+    FROM documents WHERE source <> 'src3'
+""")
 def search_table_file(spark: SparkSession, d: str) -> DataFrame:
-    """The search table written in key ranges and read back."""
+    """The search table written in key ranges and read back; a whole text is the title."""
     path = scratch_path(spark, "search")
     void = F.lit(None).cast("string")
     works = table(spark, d, "documents").select(
         c("doc_id").cast("string").alias("id"),
-        F.when(c("source") != "src3", F.substring("text", 1, 40)).alias("title"),
+        F.when(c("source") != "src3", c("text")).alias("title"),
         F.struct(F.struct(c("lang").alias("display_name")).alias("source")).alias("primary_location"),
         c("n_chars").alias("publication_year"),
         F.struct(*[void.alias(n) for n in ("volume", "issue", "first_page", "last_page")]).alias("biblio"),
         F.array(F.struct(F.struct(c("source").alias("display_name")).alias("author"))).alias("authorships"),
     )
     write_search_table(works, path, 4)
-    return spark.read.parquet(path).select("id", "source", "year")
+    return spark.read.parquet(path).select("id", "source", "year", F.array_join("authors", "|").alias("authors"), F.md5("title").alias("title_md5"))

@@ -23,6 +23,29 @@ def ids_by_nested_key(rows: DataFrame, id_col: str, array: Column, keys: DataFra
     return pairs.join(keys.select(key).distinct(), key, "left_semi").select(id_col).distinct()
 
 
+#: Bits of the set that ``possible`` tests, and bits of one row of it: 4 KB each, 4 MB together at most.
+SET_BITS, ROW_BITS = 1 << 25, 1 << 15
+
+
+def id_bitmaps(ids: DataFrame, key: str) -> DataFrame:
+    """``row_no, bits``: a bit for the hash of every id, at most SET_BITS / ROW_BITS rows of 4 KB however many ids there are."""
+    spot = F.pmod(F.xxhash64(key), F.lit(SET_BITS))
+    spots = ids.select((spot / ROW_BITS).cast("int").alias("row_no"), (spot % ROW_BITS).alias("spot"))
+    return spots.groupBy("row_no").agg(F.bitmap_construct_agg("spot").alias("bits"))
+
+
+def possible(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
+    """Rows whose key may be one of the ids that ``bitmaps`` was made of; none that is one is lost.
+
+    The bitmaps are small whatever the ids number, so the test runs in the scan of ``rows``, before anything moves.
+    """
+    spot = F.pmod(F.xxhash64(key), F.lit(SET_BITS))
+    byte = F.conv(F.hex(F.substring("__bits", ((spot % ROW_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    there = F.call_function("shiftright", byte, (spot % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    marked = rows.join(bitmaps.select(F.col("row_no").alias("__row"), F.col("bits").alias("__bits")), (spot / ROW_BITS).cast("int") == F.col("__row"))
+    return marked.where(there).drop("__row", "__bits")
+
+
 def spread_join(rows: DataFrame, unique: DataFrame, on: str, salts: int = 16) -> DataFrame:
     """Inner join of ``rows`` with a table that is unique on the key, for when the next
     step groups by that key again and Spark could not split a hot one.

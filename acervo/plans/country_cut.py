@@ -23,7 +23,7 @@ from acervo.functions.predicates import (
 from acervo.functions.similarity import TITLE_WITH_AUTHOR, accepted, author_similarity, title_similarity
 from acervo.functions.text import fold_text
 from acervo.operators.dedup import distinct_nested, first_per_key
-from acervo.operators.joins import first_match_lookup, ids_by_nested_key, referenced, spread_join
+from acervo.operators.joins import first_match_lookup, id_bitmaps, ids_by_nested_key, possible, referenced, spread_join
 from acervo.operators.retrieval import top_candidates
 from acervo.session import materialise
 from acervo.sinks.catalog import build_then_swap, copy_auxiliary, truncate_and_load
@@ -170,8 +170,10 @@ def routes_by_work(routes: list[DataFrame]) -> DataFrame:
 
 
 def cut(works: DataFrame, routes: list[DataFrame], order: Sequence[Column] = ()) -> DataFrame:
-    """Distinct works of any route, with the routes."""
-    return unique_works(spread_join(works, routes_by_work(routes), "id"), order)
+    """Distinct works of any route, with the routes. Works that no route can have found are left behind in the scan."""
+    wanted = materialise(routes_by_work(routes), "wanted-works")
+    bitmaps = materialise(id_bitmaps(wanted, "id"), "wanted-bitmaps")
+    return unique_works(spread_join(possible(works, "id", bitmaps), wanted, "id"), order)
 
 
 def _content_hash(df: DataFrame) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.functions.names import folder_institution, folder_label, iso_stamp, matrix_date, matrix_date_text
@@ -12,6 +12,9 @@ from acervo.functions.predicates import usable_workbook
 from acervo.operators.dedup import latest_per_group
 from acervo.operators.lineage import with_lineage
 from acervo.operators.merge import replace_groups, replace_rows
+from acervo.operators.stats import outcome_counts
+from acervo.session import materialise
+from acervo.sinks.catalog import replace_partitions, replace_rows_table
 
 PROBE = ["institution_id", "drive_file_id", "drive_modified_time"]
 
@@ -81,3 +84,30 @@ def next_state(stored: DataFrame, planned: DataFrame, rows: DataFrame, keep_only
     if not keep_only_latest:
         return replace_rows(stored, rows, ["_id"])
     return replace_groups(stored, rows, ["institution_id"], planned.where("outcome = 'processed'"))
+
+
+def run_matrices(
+    spark: SparkSession,
+    folders: DataFrame,
+    listing: DataFrame,
+    rows: DataFrame,
+    table: str,
+    run_time: datetime,
+    keep_only_latest: bool = True,
+    force: bool = False,
+    dated: bool = False,
+) -> DataFrame:
+    """One load: listing, plan, rows with lineage, the institutions' partitions replaced or rows appended by id; the outcome counts.
+
+    ``rows``: drive_file_id, row_number and columns of all files that could be read. A file that is listed but has no row
+    counts as read: its institution ends empty.
+    """
+    latest = materialise(latest_files(folders, listing), "latest-files")
+    stored = spark.table(table) if spark.catalog.tableExists(table) else latest.limit(0)
+    planned = materialise(plan_run(latest, stored, None, force), "planned-files")
+    loaded = matrix_rows(planned, rows, run_time, dated)
+    if keep_only_latest:
+        replace_partitions(loaded, table, "institution_id", planned.where("outcome = 'processed'").select("institution_id"))
+    else:
+        replace_rows_table(loaded, table, ["_id"])
+    return outcome_counts(planned, "outcome")

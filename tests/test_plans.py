@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import importlib.util
 import json
 from datetime import datetime
 
@@ -9,9 +10,10 @@ from files import write_workbook
 from pyspark.sql import functions as F
 
 from acervo.operators import merge
-from acervo.operators.joins import loaded
+from acervo.operators.joins import id_bitmaps, loaded, possible, spread_join
 from acervo.operators.stats import outcome_counts
 from acervo.plans import country_cut, institutional, journal_ranking, journals, search_projection
+from acervo.session import materialise
 from acervo.sinks.catalog import upsert_table
 from acervo.sources.batches import read_json_batches
 from acervo.sources.workbook import read_workbooks, workbook_columns
@@ -295,3 +297,28 @@ def test_entry(spark, testdata):
     from __spark_entry__ import entry
 
     assert entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("missing", [{"acervo.llm"}, {"corpus_pipeline"}, {"acervo.llm", "corpus_pipeline"}])
+def test_queries_without_the_optional_parts(monkeypatch, missing):
+    find = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *rest: None if name in missing else find(name, *rest))
+    from __spark_entry__ import queries
+
+    names = set(queries())
+    assert {"cut_union_routes", "fuzzy_title_match"} <= names and "pipeline" not in names
+    assert any(n.startswith("op1_") for n in names) == ("acervo.llm" not in missing and find("acervo.llm") is not None)
+
+
+def test_only_works_that_may_be_wanted_reach_the_exchange(spark):
+    works = spark.range(50_000).select(F.concat(F.lit("W"), "id").alias("id"), F.lit("x").alias("title"))
+    wanted = works.where("crc32(id) % 500 = 0").select("id")
+    bitmaps = materialise(id_bitmaps(wanted, "id"), "bitmaps")
+    some = possible(works, "id", bitmaps)
+    found = {r.id for r in some.collect()}
+    assert {r.id for r in wanted.collect()} <= found and len(found) < 130
+    plan = spread_join(some, wanted, "id")._jdf.queryExecution().executedPlan().toString()
+    # the test of the bits lies below the exchange of the works, on a side small enough to be sent to all tasks
+    works_side = plan[: plan.index("Range (0, 50000")]
+    assert works_side.rindex("BroadcastHashJoin") > works_side.rindex("Exchange hashpartitioning")
+    assert possible(works, "id", materialise(id_bitmaps(wanted.limit(0), "id"), "bitmaps")).count() == 0
