@@ -24,11 +24,11 @@ from acervo.session import scratch_path
 MAGIC = b"ACTK1\n"
 END = 2
 #: Tokens of a block, and blocks coded side by side; a segment closes after the document that fills so many.
-BLOCK, SEGMENT = 4096, 1024
+BLOCK, SEGMENT = 1024, 2048
 #: Bits of the totals of the choice between predictions, and of the order-0 table.
 CHOICE, ORDER0 = 12, 20
 #: Slots of the id predictions of one block, by order.
-SLOT_BITS1, SLOT_BITS2 = 10, 11
+SLOT_BITS1, SLOT_BITS2 = 9, 10
 SLOTS1, SLOTS2 = 1 << SLOT_BITS1, 1 << SLOT_BITS2
 #: Confidence of a prediction goes up to this; a weight moves by this power of two of what it was off.
 SURE, SPEED = 15, 5

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-#: Words whose ids a task remembers.
+#: Words after which a task starts a new generation of what it remembers; one older generation is kept.
 REMEMBERED = 300_000
 
 
@@ -59,13 +59,13 @@ def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
 
 
 class Remembered(dict):
-    """Answers of a function, made when first asked for."""
+    """Answers of a function, made when first asked for; those of an older generation are taken over when they are asked for again."""
 
-    def __init__(self, make: Callable[[bytes], bytes]) -> None:
-        self.make = make
+    def __init__(self, make: Callable[[bytes], bytes], older: dict[bytes, bytes] | None = None) -> None:
+        self.make, self.older = make, older or {}
 
     def __missing__(self, word: bytes) -> bytes:
-        found = self[word] = self.make(word)
+        found = self[word] = self.older.get(word) or self.make(word)
         return found
 
 
@@ -119,5 +119,5 @@ class WordEncoder:
 
     def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known = Remembered(self.ids_of, dict(self.known))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, t.split())), np.uint32) for t in texts]
