@@ -91,33 +91,26 @@ routes AS (
     SELECT host, route, any_value(segments) AS segments, count(*) AS n, count(verdict) AS lab, count(*) FILTER (WHERE verdict = 'block') AS bad
     FROM judged GROUP BY host, route
 ),
-steps AS (
-    SELECT host, route, n, lab, bad, i AS depth, segments[i] AS child, array_to_string(segments[1:i - 1], '/') AS parent
-    FROM (SELECT *, unnest(range(1, len(segments) + 1)) AS i FROM routes)
-),
-nodes AS (SELECT host, parent, depth, child, sum(n) AS n, sum(lab) AS lab, sum(bad) AS bad FROM steps GROUP BY ALL),
-above AS (SELECT host, parent, depth, count(*) AS children, sum(n) AS all_n, sum(lab) AS all_lab, sum(bad) AS all_bad FROM nodes GROUP BY ALL),
-named AS (
-    SELECT host, parent, depth, child, lab, bad, CASE
-        WHEN (children > 8 AND n < 0.02::DOUBLE * all_n) OR lab = 0
-          OR abs(bad - lab * (all_bad / all_lab::DOUBLE)) <= 1.96::DOUBLE * sqrt(lab * (all_bad / all_lab::DOUBLE) * (1 - all_bad / all_lab::DOUBLE))
-        THEN '*' ELSE child END AS name
-    FROM nodes JOIN above USING (host, parent, depth)
-),
-pooled AS (SELECT host, parent, depth, name, sum(lab) AS lab, sum(bad) AS bad FROM named GROUP BY ALL),
-levels AS (
-    SELECT s.host, s.route, s.depth, n.name, p.lab, p.bad FROM steps s JOIN named n USING (host, parent, depth, child)
-    JOIN pooled p ON p.host = n.host AND p.parent = n.parent AND p.depth = n.depth AND p.name = n.name
-),
-walk(host, route, depth, template, purity) AS (
-    SELECT r.host, r.route, 0, r.host, (h.bad + 2 * w.p) / (h.lab + 2)
+walk(host, route, segments, n, lab, bad, depth, template, purity) AS (
+    SELECT r.host, r.route, r.segments, r.n, r.lab, r.bad, 0, r.host, (h.bad + 2 * w.p) / (h.lab + 2)
     FROM routes r JOIN (SELECT host, sum(lab)::DOUBLE AS lab, sum(bad)::DOUBLE AS bad FROM routes GROUP BY host) h USING (host),
          (SELECT (sum(bad) + 1)::DOUBLE / (sum(lab) + 2)::DOUBLE AS p FROM routes) w
     UNION ALL
-    SELECT w.host, w.route, w.depth + 1, w.template || '/' || l.name, (l.bad::DOUBLE + 2 * w.purity) / (l.lab::DOUBLE + 2)
-    FROM walk w JOIN levels l ON l.host = w.host AND l.route = w.route AND l.depth = w.depth + 1
-),
-ends AS (SELECT host, route, arg_max(template, depth) AS template, arg_max(purity, depth) AS purity FROM walk GROUP BY host, route)
+    SELECT host, route, segments, n, lab, bad, depth + 1, template || '/' || name,
+           (sum(bad) OVER (PARTITION BY host, template, name) + 2 * purity)::DOUBLE / (sum(lab) OVER (PARTITION BY host, template, name) + 2)::DOUBLE
+    FROM (
+        SELECT *, CASE WHEN (children > 8 AND child_n < 0.02::DOUBLE * all_n) OR child_lab = 0
+                  OR abs(child_bad - child_lab * (all_bad / all_lab::DOUBLE)) <= 1.96::DOUBLE * sqrt(child_lab * (all_bad / all_lab::DOUBLE) * (1 - all_bad / all_lab::DOUBLE))
+                  THEN '*' ELSE child END AS name
+        FROM (
+            SELECT *, count(DISTINCT child) OVER node AS children, sum(n) OVER node AS all_n, sum(lab) OVER node AS all_lab, sum(bad) OVER node AS all_bad,
+                   sum(n) OVER branch AS child_n, sum(lab) OVER branch AS child_lab, sum(bad) OVER branch AS child_bad
+            FROM (SELECT *, segments[depth + 1] AS child FROM walk WHERE len(segments) > depth)
+            WINDOW node AS (PARTITION BY host, template), branch AS (PARTITION BY host, template, child)
+        )
+    )
+),
+ends AS (SELECT host, route, template, purity FROM walk WHERE depth = len(segments))
 SELECT j.page_id, j.host, j.path, j.rule, coalesce(j.verdict, CASE WHEN e.purity >= 0.6 THEN 'block' ELSE 'allow' END) AS verdict, e.template
 FROM judged j JOIN ends e ON e.host = j.host AND e.route = j.route
 """

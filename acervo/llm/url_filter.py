@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acervo.session import materialise
+
 #: (verdict, host and path) of the rules.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: A segment is variable if its node has more children than this and it has less than that share of the node's pages.
@@ -49,39 +52,51 @@ def shapes(path: Column) -> Column:
 def judge_templates(pages: DataFrame) -> DataFrame:
     """``host, segments, template, purity`` for each distinct host and list of segments of ``pages`` (host, segments, verdict).
 
-    All statistics are sums over groups that Spark combines before the shuffle. A tree node is a host with the first
-    segments; the purity of a node is its blocked share of labelled pages, smoothed towards the node above, up to the
-    whole table. Nodes below merged branches keep their own statistics, but are named by the merged path.
+    The tree is built level by level. A node is a host with a generalised path; its children are named, those that merge
+    become one node, and the next level is grouped by the names, so merged branches share children, statistics and one purity per
+    template: the blocked share of its labelled pages, smoothed towards the node above, up to the whole table. All
+    statistics are sums over groups that Spark combines before the shuffle. What is left of a path that no other one shares a node with
+    has nothing to be told apart from, and is named at once.
     """
     labelled = F.when(F.col("verdict").isNotNull(), 1).otherwise(0)
     blocked = F.when(F.col("verdict") == "block", 1).otherwise(0)
+    sums = [F.sum(c).alias(c) for c in ("n", "lab", "bad")]
     routes = pages.groupBy("host", "segments").agg(F.count(F.lit(1)).alias("n"), F.sum(labelled).alias("lab"), F.sum(blocked).alias("bad"))
-    sums = [F.sum("n").alias("n"), F.sum("lab").alias("lab"), F.sum("bad").alias("bad")]
+    routes = materialise(routes, "url-routes")
     total = routes.agg(F.coalesce(F.sum("lab"), F.lit(0)).alias("lab"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     whole = (total["bad"] + 1.0) / (total["lab"] + 2.0)
-    hosts = routes.groupBy("host").agg(*sums).select("host", F.lit(0).alias("depth"), F.lit("").alias("name"), "lab", "bad")
-    steps = routes.select("host", "segments", "n", "lab", "bad", F.posexplode("segments").alias("at", "child")).withColumn(
-        "parent", F.array_join(F.slice("segments", F.lit(1), F.col("at")), "/")
-    )
-    nodes = steps.groupBy("host", "parent", "at", "child").agg(*sums)
-    parents = nodes.groupBy("host", "parent", "at").agg(
-        F.count(F.lit(1)).alias("children"), F.sum("n").alias("all_n"), F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad")
-    )
-    there = ["host", "parent", "at"]
-    beside = nodes.join(parents, there)
-    share = F.try_divide(F.col("all_bad"), F.col("all_lab"))
-    error = F.sqrt(F.col("lab") * share * (1 - share))
-    rare = (F.col("children") > FANOUT) & (F.col("n") < MIN_SHARE * F.col("all_n"))
-    similar = (F.col("lab") == 0) | (F.abs(F.col("bad") - F.col("lab") * share) <= SIMILAR * error)
-    named = beside.withColumn("name", F.when(rare | F.coalesce(similar, F.lit(True)), F.lit(WILDCARD)).otherwise(F.col("child")))
-    pooled = named.groupBy(*there, "name").agg(F.sum("lab").alias("lab"), F.sum("bad").alias("bad"))
-    levels = named.select(*there, "child", "name").join(pooled, [*there, "name"])
-    on_route = steps.select("host", "segments", *there[1:], "child").join(levels, [*there, "child"]).select("host", "segments", (F.col("at") + 1).alias("depth"), "name", "lab", "bad")
-    on_route = on_route.unionByName(routes.select("host", "segments").join(hosts, "host").select("host", "segments", "depth", "name", "lab", "bad"))
-    # as many levels as the path has segments
-    chain = on_route.groupBy("host", "segments").agg(F.sort_array(F.collect_list(F.struct("depth", "name", "lab", "bad"))).alias("levels"))
-    purity = F.aggregate("levels", F.lit(whole), lambda p, x: (x["bad"] + SMOOTHING * p) / (x["lab"] + SMOOTHING))
-    return chain.select("host", "segments", F.concat("host", F.array_join(F.transform("levels", lambda x: x["name"]), "/")).alias("template"), purity.alias("purity"))
+    purity = (F.col("its_bad") + SMOOTHING * F.col("above")) / (F.col("its_lab") + SMOOTHING)
+    hosts = routes.groupBy("host").agg(F.sum("lab").alias("its_lab"), F.sum("bad").alias("its_bad")).withColumn("above", F.lit(whole))
+    state = routes.join(hosts.select("host", purity.alias("purity")), "host").withColumn("template", F.col("host"))
+    state, depth, ended = materialise(state, "url-level"), 0, []
+    while True:
+        ended.append(state.where(F.size("segments") == depth).select("host", "segments", "template", "purity"))
+        going = state.where(F.size("segments") > depth).withColumn("child", F.get("segments", F.lit(depth)))
+        if going.isEmpty():
+            return reduce(DataFrame.unionByName, ended)
+        here = ["host", "template"]
+        nodes = going.groupBy(*here, "child").agg(*sums, F.count(F.lit(1)).alias("paths"))
+        parents = nodes.groupBy(*here).agg(
+            F.count(F.lit(1)).alias("children"), F.sum("paths").alias("all_paths"), F.sum("n").alias("all_n"), F.sum("lab").alias("all_lab"), F.sum("bad").alias("all_bad")
+        )
+        beside = nodes.join(parents, here)
+        share = F.try_divide(F.col("all_bad"), F.col("all_lab"))
+        error = F.sqrt(F.col("lab") * share * (1 - share))
+        rare = (F.col("children") > FANOUT) & (F.col("n") < MIN_SHARE * F.col("all_n"))
+        similar = (F.col("lab") == 0) | (F.abs(F.col("bad") - F.col("lab") * share) <= SIMILAR * error)
+        named = beside.withColumn("name", F.when(rare | F.coalesce(similar, F.lit(True)), F.lit(WILDCARD)).otherwise(F.col("child")))
+        named = materialise(named.select(*here, "child", "name", "lab", "bad", (F.col("all_paths") == 1).alias("alone")), "url-names")
+        pooled = named.groupBy(*here, "name").agg(F.sum("lab").alias("its_lab"), F.sum("bad").alias("its_bad"))
+        levels = named.select(*here, "child", "name", "alone").join(pooled, [*here, "name"])
+        moved = going.withColumnRenamed("purity", "above").join(levels, [*here, "child"])
+        # a path alone in its node: the same step once for each segment that is left
+        left = F.size("segments") - depth
+        rest = F.when(F.col("alone"), F.sequence(F.lit(1), left)).otherwise(F.array(F.lit(1)))
+        folded = F.aggregate(rest, F.col("above"), lambda p, _: (F.col("its_bad") + SMOOTHING * p) / (F.col("its_lab") + SMOOTHING))
+        template = F.concat("template", F.array_join(F.transform(rest, lambda _: F.concat(F.lit("/"), F.col("name"))), ""))
+        state = materialise(moved.select("host", "segments", "n", "lab", "bad", folded.alias("purity"), template.alias("template"), "alone"), "url-level")
+        ended.append(state.where("alone").select("host", "segments", "template", "purity"))
+        state, depth = state.where("not alone").drop("alone"), depth + 1
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFrame:
@@ -89,7 +104,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> Da
 
     Pages that a rule decides are the labelled ones: their verdicts are the statistics that the path
     templates of all hosts are judged by. On a host the paths form a tree; variable segments (numbers, long tokens, rare
-    children of a wide node) become wildcards, branches whose blocked share does not differ from that of their siblings merge, and
+    children of a wide node) become wildcards, branches whose blocked share does not differ from that of their siblings merge, with all that is below them, and
     a template whose smoothed purity of blocked pages is high is rejected. Hosts without labels take the
     share of the table.
 

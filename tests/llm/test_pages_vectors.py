@@ -126,6 +126,17 @@ def test_urls_and_rules(spark):
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_merged_branches_share_what_is_below_them(spark):
+    """Sixty users, each with news and spam: one template and one verdict for all spam, also under a user without labels."""
+    rows = [("h.com", [f"user{u}", kind, "*"], "block" if kind == "spam" else "allow") for u in range(60) for kind in ("news", "spam") for _ in range(2)]
+    rows += [("h.com", ["stranger", kind, "*"], None) for kind in ("news", "spam")]
+    frame = spark.createDataFrame(rows, "host string, segments array<string>, verdict string")
+    found = {tuple(r.segments[:2]): (r.template, r.purity) for r in url_filter.judge_templates(frame).collect()}
+    assert len(found) == 122 and {k[1]: v[0] for k, v in found.items()} == {"news": "h.com/*/news/*", "spam": "h.com/*/spam/*"}
+    assert len(set(found.values())) == 2
+    assert all((p >= url_filter.REJECT) == (k[1] == "spam") for k, (_, p) in found.items())
+
+
 def test_a_template_of_blocked_pages_is_rejected(spark):
     rules = (("block", "a.com/bad/1"), ("allow", "a.com/good/1"))
     urls = [f"http://a.com/bad/{n}" for n in [*range(100, 140), *range(200, 220)]] + [f"http://a.com/good/{n}" for n in [*range(100, 140), *range(200, 220)]] + ["http://b.com/x"]
