@@ -24,14 +24,16 @@ OWN = CLASS_WORDS * WORD_CLASSES
 KNOWN = 65_536
 HIDDEN = 24
 #: Steps through which the gradient goes back, lanes of text trained together, and steps of one scoring window.
-BACK, LANES, WINDOW = 32, 64, 64
+BACK, LANES, WINDOW = 32, 256, 64
 RATE = 0.1
 #: Documents scored together.
 TOGETHER = 512
-#: Rounds over all training documents, and tokens of a round that a task trains on before it reads on.
+#: Rounds, each over its share of the training documents (every document is in one), and tokens that a task trains on before it reads on.
 ROUNDS, ROUND_TOKENS = 2, 1 << 20
-#: Passes of a round over what a task holds, for a corpus of any size.
+#: Passes over what a task holds, for a corpus of any size.
 PASSES = 1
+#: Groups that the networks of all tasks are averaged in first, so that none grows with the number of tasks alone.
+FIRST_MEANS = 300
 #: Distinct words a task counts before it hands them on.
 HELD_WORDS = 300_000
 #: Parameters of one row when networks are averaged.
@@ -211,23 +213,28 @@ def train_window(net: Network, memory: Network, x: np.ndarray, y: np.ndarray, h:
         states[t] = h
     flat, targets = states.reshape(-1, HIDDEN), y.ravel()
     count = len(targets)
-    grad = Network(np.zeros(Network.SIZE, np.float32))
+
+    def descend(part: np.ndarray, past: np.ndarray, where: object, grad: np.ndarray) -> None:
+        """Only what the window touched: without a gradient neither a value nor its memory changes."""
+        g = grad / np.float32(count)
+        past[where] += g * g
+        part[where] -= np.float32(RATE) * g / (np.sqrt(past[where]) + np.float32(1e-6))
+
     p = np.exp(flat @ net.classes + net.class_bias)
     p /= p.sum(1, keepdims=True)
     p[np.arange(count), class_of(targets)] -= 1
-    grad.classes[:] = flat.T @ p
-    grad.class_bias[:] = p.sum(0)
     out = p @ net.classes.T
+    word_steps = []
     for k, rows in by_class(targets):
         q = np.exp(flat[rows] @ net.words[k] + net.word_bias[k])
         q /= q.sum(1, keepdims=True)
         q[np.arange(len(rows)), targets[rows] % CLASS_WORDS] -= 1
-        grad.words[k] = flat[rows].T @ q
-        grad.word_bias[k] = q.sum(0)
+        word_steps.append((k, flat[rows].T @ q, q.sum(0)))
         out[rows] += q @ net.words[k].T
     out = out.reshape(steps, lanes, HIDDEN)
     gates = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
     dh = np.zeros((lanes, HIDDEN), np.float32)
+    dstate = np.zeros_like(net.state)
     for t in reversed(range(steps)):
         on, before, r, z, n, back = kept[t]
         dh = dh + out[t]
@@ -236,12 +243,19 @@ def train_window(net: Network, memory: Network, x: np.ndarray, y: np.ndarray, h:
         dz = dh * (before - n) * z * (1 - z)
         gates[t, :, :HIDDEN], gates[t, :, HIDDEN : 2 * HIDDEN], gates[t, :, 2 * HIDDEN :] = dr, dz, dn
         through = np.concatenate([dr, dz, dn * r], axis=1)
-        grad.state += before.T @ through
+        dstate += before.T @ through
         dh = (dh * z + through @ net.state.T) * on
-    np.add.at(grad.inputs, x.ravel(), gates.reshape(-1, 3 * HIDDEN))
-    g = grad.values / np.float32(count)
-    memory.values += g * g
-    net.values -= np.float32(RATE) * g / (np.sqrt(memory.values) + np.float32(1e-6))
+    ids = x.ravel()
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.r_[True, ids[order][1:] != ids[order][:-1]])
+    every = slice(None)
+    descend(net.inputs, memory.inputs, ids[order][first], np.add.reduceat(gates.reshape(-1, 3 * HIDDEN)[order], first, axis=0))
+    descend(net.state, memory.state, every, dstate)
+    descend(net.classes, memory.classes, every, flat.T @ p)
+    descend(net.class_bias, memory.class_bias, every, p.sum(0))
+    for k, weights, bias in word_steps:
+        descend(net.words, memory.words, k, weights)
+        descend(net.word_bias, memory.word_bias, k, bias)
     return h
 
 
@@ -284,23 +298,31 @@ class Lexicon:
 
 
 def averaged(rows: DataFrame) -> np.ndarray:
-    """The mean of the networks of all tasks, weighted by the tokens they saw; executors average chunk by chunk."""
+    """The mean of the networks of all tasks, weighted by the tokens they saw; executors average chunk by chunk, in two levels."""
 
     def mean(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         weight = part["n"].to_numpy(float)
-        values = np.stack([np.frombuffer(b, np.float32) for b in part["part"]])
-        return pd.DataFrame({"chunk": [key[0]], "part": [((values * weight[:, None]).sum(0) / weight.sum()).astype(np.float32).tobytes()]})
-
-    got = rows.groupBy("chunk").applyInPandas(mean, "chunk int, part binary").orderBy("chunk").collect()
+        total = np.zeros(len(part["part"].iloc[0]) // 4)
+        for b, w in zip(part["part"], weight, strict=True):
+            total += np.frombuffer(b, np.float32) * w
+        return pd.DataFrame({"chunk": [key[0]], "n": [int(weight.sum())], "part": [(total / weight.sum()).astype(np.float32).tobytes()]})
+
+    schema = "chunk int, n long, part binary"
+    some = rows.withColumn("few", F.spark_partition_id() % FIRST_MEANS).groupBy("chunk", "few").applyInPandas(mean, schema)
+    got = some.groupBy("chunk").applyInPandas(mean, schema).orderBy("chunk").collect()
     return np.concatenate([np.frombuffer(r["part"], np.float32) for r in got]) if got else np.zeros(0, np.float32)
 
 
 def fit(train: DataFrame, lexicon: Lexicon, tail_counts: np.ndarray) -> np.ndarray:
-    """Rounds of local training in every task on all its documents, from the same network, and an average of the results."""
+    """Rounds of local training in every task, from the same network, and an average of the results.
+
+    Every training document is in exactly one round, by a hash of its id and text, so the corpus is gone over once, at every size.
+    """
     own = np.concatenate([[lexicon.end_count], lexicon.counts[: OWN - 1]]).astype(float)
     values = Network.start(own, tail_counts).values
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         now = values
+        share = train.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn)
 
         def run(batches: Iterator[pa.RecordBatch], now: np.ndarray = now) -> Iterator[pa.RecordBatch]:
             net, memory = Network(now.copy()), Network(np.full(Network.SIZE, 1e-4, np.float32))
@@ -328,7 +350,7 @@ def fit(train: DataFrame, lexicon: Lexicon, tail_counts: np.ndarray) -> np.ndarr
                     [pa.array(range(len(parts)), pa.int32()), pa.array([seen] * len(parts), pa.int64()), pa.array(parts, pa.binary())], ["chunk", "n", "part"]
                 )
 
-        mean = averaged(train.select("text").mapInArrow(run, "chunk int, n long, part binary"))
+        mean = averaged(share.select("text").mapInArrow(run, "chunk int, n long, part binary"))
         if len(mean):
             values = mean
     return values

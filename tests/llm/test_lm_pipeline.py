@@ -102,7 +102,7 @@ def test_model_beats_the_unigram_on_held_out_documents(documents, quick, monkeyp
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.1 * sum(r.n_tokens for r in held)
 
 
-def test_every_training_document_gives_gradients_in_every_round(documents, monkeypatch):
+def test_every_training_document_gives_gradients_once(documents, monkeypatch):
     monkeypatch.setattr(recurrent_lm, "ROUND_TOKENS", 100)
     monkeypatch.setattr(recurrent_lm, "PASSES", 1)
     seen, mean = [], recurrent_lm.averaged
@@ -113,7 +113,7 @@ def test_every_training_document_gives_gradients_in_every_round(documents, monke
 
     monkeypatch.setattr(recurrent_lm, "averaged", averaged)
     got = recurrent_lm.score(documents([(i, "a b c d " * 12, "x") for i in range(120)])).collect()
-    assert seen == [got[0].train_tokens] * recurrent_lm.ROUNDS
+    assert len(seen) == recurrent_lm.ROUNDS and min(seen) > 0 and sum(seen) == got[0].train_tokens
 
 
 def test_without_training_documents(documents, quick):
