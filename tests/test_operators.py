@@ -240,3 +240,45 @@ def test_top_candidates_equal_all_pairs(spark, seed):
         return {r[0]: r[1] for r in df.select(key, tokens(c(value))).collect()}
 
     assert rows(got, "q_id", "t_id", "score", "rank") == brute_top(cut(q_df, "qid", "text"), cut(t_df, "id", "title"), None, 5)
+
+
+def test_candidates_share_titles_and_authors(spark):
+    """A word in a title and the same word in a name are different; null names and null lists count as none."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(25)]
+    pick = lambda n: " ".join(rng.choices(words, k=n))
+    titles = [(i, pick(rng.randint(0, 5)), rng.choice([None, [], [None], [pick(1), pick(2)], [pick(2)]])) for i in range(120)]
+    asked = [(i, pick(rng.randint(1, 4)), rng.choice([None, [None], [pick(2)]])) for i in range(20)]
+    schema = "id int, title string, names array<string>"
+    found = retrieval.top_candidates(
+        spark.createDataFrame(asked, schema), "id", "title", spark.createDataFrame(titles, schema), "id", "title", 4, "names", "names"
+    )
+
+    def both(rows_):
+        return {i: set(t.split()) | {"@" + w for n in names or [] if n for w in n.split()} for i, t, names in rows_}
+
+    assert rows(found, "q_id", "t_id", "score", "rank") == brute_top(both(asked), both(titles), None, 4)
+
+
+def test_few_pairs_are_kept(spark, monkeypatch):
+    """What is ranked grows with the queries, not with queries and titles: ten times the titles, the same number of pairs."""
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(60)]
+    kept = []
+    ranked = retrieval._ranked
+
+    def counted(scores, k):
+        kept.append(scores.count())
+        return ranked(scores, k)
+
+    monkeypatch.setattr(retrieval, "_ranked", counted)
+    sizes = []
+    for n in (300, 3000):
+        titles = [(i, " ".join(rng.choices(common, k=9) + [f"r{i // 12}"])) for i in range(n)]
+        asked = [(i, " ".join(rng.choices(common, k=6) + [f"r{i}", f"r{i + 1}"])) for i in range(20)]
+        kept.clear()
+        got = retrieval.top_candidates(spark.createDataFrame(asked, "id int, t string"), "id", "t", spark.createDataFrame(titles, "id int, t string"), "id", "t", 5)
+        assert got.count() == 100
+        sizes.append(kept[1])
+    # of the three rankings the second one is that of the pairs scored in full
+    assert sizes[1] < 3 * sizes[0] and sizes[1] < 20 * 20
