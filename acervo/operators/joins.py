@@ -34,16 +34,21 @@ def id_bitmaps(ids: DataFrame, key: str) -> DataFrame:
     return spots.groupBy("row_no").agg(F.bitmap_construct_agg("spot").alias("bits"))
 
 
-def possible(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
-    """Rows whose key may be one of the ids that ``bitmaps`` was made of; none that is one is lost.
+def marked(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
+    """``rows`` with ``__maybe``: whether the key may be one of the ids that ``bitmaps`` was made of; never false for one that is.
 
     The bitmaps are small whatever the ids number, so the test runs in the scan of ``rows``, before anything moves.
     """
     spot = F.pmod(F.xxhash64(key), F.lit(SET_BITS))
     byte = F.conv(F.hex(F.substring("__bits", ((spot % ROW_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     there = F.call_function("shiftright", byte, (spot % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-    marked = rows.join(bitmaps.select(F.col("row_no").alias("__row"), F.col("bits").alias("__bits")), (spot / ROW_BITS).cast("int") == F.col("__row"))
-    return marked.where(there).drop("__row", "__bits")
+    met = rows.join(bitmaps.select(F.col("row_no").alias("__row"), F.col("bits").alias("__bits")), (spot / ROW_BITS).cast("int") == F.col("__row"), "left")
+    return met.withColumn("__maybe", F.coalesce(there, F.lit(False))).drop("__row", "__bits")
+
+
+def possible(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
+    """Rows whose key may be one of the ids that ``bitmaps`` was made of; none that is one is lost."""
+    return marked(rows, key, bitmaps).where("__maybe").drop("__maybe")
 
 
 def spread_join(rows: DataFrame, unique: DataFrame, on: str, salts: int = 16) -> DataFrame:

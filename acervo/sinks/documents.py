@@ -3,6 +3,9 @@
 The table is a Parquet folder of immutable deltas, one partition per batch. A load appends the rows it brings and nothing
 else, so what it writes is in proportion to what it brings. What a record is follows from its versions
 alone, whatever order they were loaded in: of each field the value of the latest version that has it.
+
+A compacted table has its records in a base, a partition before all batches. A base row that is the only version of its
+record is marked; unless a later batch brings its id, it is read as it is, without an exchange.
 """
 
 from __future__ import annotations
@@ -10,12 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acervo.session import materialise
+from acervo.operators.joins import id_bitmaps, marked, possible
+from acervo.session import materialise, scratch_run
 from acervo.sources.paths import has_files
 
 VERSION = ["updated_date", "file_path", "line_no"]
-STORED_SCHEMA = "id string, raw variant, updated_date date, file_path string, line_no long, batch_id long"
+STORED_SCHEMA = "id string, raw variant, alone boolean, updated_date date, file_path string, line_no long, batch_id long"
 COLUMNS = [f.split()[0] for f in STORED_SCHEMA.split(", ")]
+#: Number of the partition that a compaction writes; batches count from 0.
+BASE = -1
 
 
 def stored_versions(spark: SparkSession, path: str) -> DataFrame:
@@ -26,8 +32,24 @@ def stored_versions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One record per id, resolved from its versions: ``id, raw`` and the latest version's columns."""
-    return merged_by_id(stored_versions(spark, path))
+    """One record per id, resolved from its versions: ``id, raw`` and the latest version's columns.
+
+    What is exchanged are the versions of ids that the batches after the last compaction touch, and of records
+    that it left in several versions.
+    """
+    settled, open_ = settled_versions(spark, path)
+    return settled.select("id", "raw", *VERSION).unionByName(merged_by_id(open_))
+
+
+def settled_versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(base rows that are whole records, all other versions)."""
+    versions = stored_versions(spark, path)
+    if not has_files(spark, f"{path}/batch_id={BASE}", ".parquet"):
+        return versions.limit(0), versions
+    alone = F.coalesce(F.col("alone"), F.lit(False))
+    others, base = versions.where(~alone), versions.where(alone)
+    base = marked(base, "id", materialise(id_bitmaps(others, "id"), "touched-bitmaps"))
+    return base.where("not __maybe").drop("__maybe"), base.where("__maybe").drop("__maybe").unionByName(others)
 
 
 def merged_by_id(incoming: DataFrame) -> DataFrame:
@@ -75,10 +97,12 @@ def upsert_documents(spark: SparkSession, path: str, incoming: DataFrame, batch_
     stored = stored_versions(spark, path)
     if batch_id is None:
         batch_id = stored.agg(F.coalesce(F.max("batch_id") + 1, F.lit(0))).first()[0]
-    batch = materialise(incoming.select("id", "raw", *VERSION).withColumn("batch_id", F.lit(batch_id).cast("long")), "document-batch")
+    tags = {"alone": F.lit(False), "batch_id": F.lit(batch_id).cast("long")}
+    batch = materialise(incoming.select("id", "raw", *VERSION).withColumns(tags), "document-batch")
     ids = batch.select("id").distinct()
-    # read before the batch is written, and only of the ids it touches
-    earlier = materialise(stored.where(F.col("batch_id") < batch_id).join(ids, "id", "left_semi").select("id", "raw", *VERSION), "document-earlier")
+    # read before the batch is written, and only of the ids it touches; other rows are left behind in the scan
+    near = possible(stored.where(F.col("batch_id") < batch_id), "id", materialise(id_bitmaps(ids, "id"), "batch-bitmaps"))
+    earlier = materialise(near.join(ids, "id", "left_semi").select("id", "raw", *VERSION), "document-earlier")
     _append(batch, path)
     now = merged_by_id(earlier.unionByName(batch.select("id", "raw", *VERSION))).select("id", F.col("raw").alias("now"))
     before = merged_by_id(earlier).select("id", F.col("raw").alias("before"))
@@ -102,12 +126,22 @@ def compact_documents(spark: SparkSession, path: str, target: str) -> None:
     """Write the table to ``target`` without what later versions hide: of every version the fields that still count.
 
     Versions keep their place in the order, so a late delivery to the compacted table gives the same records.
+    Records that an earlier compaction left whole, and no batch has touched since, are copied as they are.
     """
-    version = F.struct(*VERSION)
-    fields = stored_versions(spark, path).select(
-        "id", version.alias("version"), F.explode(F.try_variant_get("raw", "$", "map<string,variant>")).alias("field", "value")
-    )
-    kept = fields.groupBy("id", "field").agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
-    # as many entries as the record has fields
-    whole = kept.groupBy("id", "version").agg(F.to_variant_object(F.map_from_entries(F.collect_list(F.struct("field", "value")))).alias("raw"))
-    _append(whole.select("id", "raw", *[F.col("version")[v].alias(v) for v in VERSION], F.lit(0).cast("long").alias("batch_id")), target)
+    with scratch_run(spark):
+        settled, open_ = settled_versions(spark, path)
+        version = F.struct(*VERSION)
+        fields = open_.select(
+            "id", version.alias("version"), F.explode(F.try_variant_get("raw", "$", "map<string,variant>")).alias("field", "value")
+        )
+        kept = fields.groupBy("id", "field").agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
+        # as many entries as the record has fields
+        records = kept.groupBy("id").agg(F.collect_list(F.struct("version", "field", "value")).alias("fields"))
+        records = records.withColumn("versions", F.array_distinct(F.transform("fields", lambda f: f["version"])))
+        split = records.select("id", "fields", (F.size("versions") == 1).alias("alone"), F.explode("versions").alias("version"))
+        its_own = F.filter("fields", lambda f: f["version"].eqNullSafe(F.col("version")))
+        entries = F.transform(its_own, lambda f: F.struct(f["field"].alias("field"), f["value"].alias("value")))
+        whole = split.select(
+            "id", F.to_variant_object(F.map_from_entries(entries)).alias("raw"), "alone", *[F.col("version")[v].alias(v) for v in VERSION]
+        )
+        _append(settled.drop("batch_id").unionByName(whole).withColumn("batch_id", F.lit(BASE).cast("long")), target)

@@ -15,7 +15,7 @@ from acervo.plans.organisations import load_organisations
 from acervo.plans.runner import run_sources
 from acervo.session import materialise, on_one_machine, scratch_run, shared_folder
 from acervo.sinks import catalog, checkpoints
-from acervo.sinks.documents import compact_documents, stored_documents, upsert_documents
+from acervo.sinks.documents import compact_documents, settled_versions, stored_documents, upsert_documents
 from acervo.sources.base import Source
 from acervo.sources.tables import table_names
 from acervo.streaming.incremental import load_snapshot, load_totals, reset_snapshot
@@ -243,6 +243,35 @@ def test_a_small_delta_writes_little_and_a_repeated_batch_counts_the_same(spark,
     assert sum(size for f, size in files().items() if f not in before) < 0.25 * sum(before.values())
 
 
+def test_a_compacted_table_exchanges_only_what_batches_touch(spark, tmp_path):
+    path, day = f"{tmp_path}/t", lambda d, f: {"updated_date": F.lit(d).cast("date"), "file_path": F.lit(f), "line_no": F.lit(0).cast("long")}
+    made = lambda n, name: spark.range(n).select(F.col("id").cast("string"), F.parse_json(F.concat(F.lit('{"id":"'), "id", F.lit('","' + name + '":1}'))).alias("raw"))
+    upsert_documents(spark, path, made(20_000, "a").withColumns(day("2024-01-01", "f1")))
+    upsert_documents(spark, path, made(50, "b").withColumns(day("2024-01-02", "f2")))
+    want = documents_of(spark, path)
+    compact_documents(spark, path, f"{path}-1")
+    assert documents_of(spark, f"{path}-1") == want
+    # fifty records have fields of two versions; the others are settled
+    settled, open_ = settled_versions(spark, f"{path}-1")
+    assert settled.count() > 19_900 and 100 <= open_.count() < 200
+    # a batch that runs again with its first number leaves the base alone
+    for _ in range(2):
+        counters = upsert_documents(spark, f"{path}-1", made(80, "c").withColumns(day("2024-01-03", "f3")), batch_id=0)
+        assert rows(counters, "upserted", "matched", "modified") == [(0, 80, 80)]
+    want = {k: v | ({"c": 1} if int(k) < 80 else {}) for k, v in want.items()}
+    assert documents_of(spark, f"{path}-1") == want
+    settled, open_ = settled_versions(spark, f"{path}-1")
+    assert settled.count() > 19_800 and open_.count() < 300
+    plan = settled._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    compact_documents(spark, f"{path}-1", f"{path}-2")
+    assert documents_of(spark, f"{path}-2") == want
+    # late: hidden fields change nothing, others are added
+    late = made(20, "a").union(made(60, "d").where("id >= '3'")).withColumns(day("2023-01-01", "f0"))
+    upsert_documents(spark, f"{path}-2", late)
+    assert documents_of(spark, f"{path}-2") == {k: v | ({"d": 1} if int(k) < 60 and k >= "3" else {}) for k, v in want.items()}
+
+
 def test_writers_keep_the_layout_and_one_row_per_key(spark, namespace):
     table = f"{namespace}.t"
     one = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, v string, g string")
