@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from acervo.functions.nested import truthy
 from acervo.operators import merge
 from acervo.operators.dedup import first_per_key
 from acervo.operators.quality import assert_unique
+from acervo.session import materialise, scratch_run
 from acervo.sources.tables import table_names
 
 log = logging.getLogger(__name__)
@@ -120,16 +122,66 @@ def _current(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
     return spark.table(table) if spark.catalog.tableExists(table) else like.limit(0)
 
 
+def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], layout: Sequence[str]) -> DataFrame:
+    """Distinct ``layout`` values that source rows bring, or under which their keys are stored; only those columns are read."""
+    stored = target.select(*dict.fromkeys([*keys, *layout])).join(source.select(*keys), list(keys), "left_semi")
+    return stored.select(*layout).union(source.select(*layout)).distinct()
+
+
+def _merge_into(source: DataFrame, table: str, keys: Sequence[str], merged: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Put ``merged(target, source)`` in the table's place, rewriting only the partitions that source rows touch.
+
+    A table without partitions, one that gets new columns, and one of whose partitions more than half are touched is
+    swapped as a whole. Otherwise the new rows of the touched partitions are written aside, then each replaces
+    its partition, and those whose rows have all moved are dropped. A run that breaks off between leaves some
+    partitions old; the same run again completes them.
+    """
+    spark = source.sparkSession
+    target = _current(spark, table, source)
+    layout = partition_columns(spark, table)
+    if not layout or set(source.columns) - set(target.columns) or set(layout) - set(source.columns):
+        build_then_swap(merged(target, source), table)
+        return
+    with scratch_run(spark):
+        source = materialise(source, "table-source")
+        # as many values as partitions, which the catalog holds anyway
+        touched = [tuple(row) for row in touched_partitions(target, source, keys, layout).toLocalIterator()]
+        if not touched:
+            return
+        if 2 * len(touched) > spark.sql(f"SHOW PARTITIONS {table}").count():
+            build_then_swap(merged(target, source), table)
+            return
+        fresh = materialise(merged(target.where(_in_partitions(layout, touched)), source), "table-partitions")
+        filled = {tuple(row) for row in fresh.select(*layout).distinct().toLocalIterator()}
+        overwrite_partitions(fresh, table)
+        drop_partitions(spark, table, [dict(zip(layout, values, strict=True)) for values in touched if values not in filled])
+
+
+def _in_partitions(layout: Sequence[str], values: Sequence[tuple]) -> Column:
+    """Test for one of the partitions, by lists of the last column's values, so that the scan reads no others."""
+    groups: dict[tuple, list] = {}
+    for *head, last in values:
+        groups.setdefault(tuple(head), []).append(last)
+    tests = []
+    for head, lasts in groups.items():
+        test = F.col(layout[-1]).isin([v for v in lasts if v is not None])
+        if None in lasts:
+            test = test | F.col(layout[-1]).isNull()
+        tests.append(reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.lit(v)) for n, v in zip(layout, head, strict=False)], test))
+    # halves, so that the depth grows with the logarithm of their number
+    while len(tests) > 1:
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2], strict=False)] + tests[len(tests) // 2 * 2 :]
+    return tests[0]
+
+
 def upsert_table(source: DataFrame, table: str, keys: Sequence[str], order: Sequence[Column] | None = None, **rules) -> None:
     """Field-level upsert. Of source rows of one key the first in ``order`` counts; without an order they are an error."""
-    source = one_per_key(source, keys, order)
-    target = _current(source.sparkSession, table, source)
-    build_then_swap(merge.upsert(target, source, keys, **rules), table)
+    _merge_into(one_per_key(source, keys, order), table, keys, lambda target, rows: merge.upsert(target, rows, keys, **rules))
 
 
 def replace_rows_table(source: DataFrame, table: str, keys: Sequence[str], order: Sequence[Column] | None = None) -> None:
-    source = one_per_key(source, keys, order)
-    build_then_swap(merge.replace_rows(_current(source.sparkSession, table, source), source, keys), table)
+    """Whole-row replace; a row whose partition changes moves."""
+    _merge_into(one_per_key(source, keys, order), table, keys, lambda target, rows: merge.replace_rows(target, rows, keys))
 
 
 def keep_existing_table(source: DataFrame, table: str, keys: Sequence[str], order: Sequence[Column] | None = None) -> None:
@@ -141,19 +193,26 @@ def keep_existing_table(source: DataFrame, table: str, keys: Sequence[str], orde
     fresh.write.mode("append").partitionBy(*layout).saveAsTable(table)
 
 
-def partition_spec(group: str, value: object) -> str:
-    """SQL for one partition; a null group lies in the default partition, quotes and backslashes are escaped."""
-    if value is None:
-        return f"PARTITION (`{group}` = NULL)"
-    text = str(value).replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))
-    return f"PARTITION (`{group}` = '{text}')"
+def partition_spec(values: dict[str, object]) -> str:
+    """SQL for one partition; a null value lies in the default partition, quotes and backslashes are escaped."""
+    parts = []
+    for name, value in values.items():
+        text = str(value).replace(chr(92), chr(92) * 2).replace(chr(39), chr(92) + chr(39))
+        parts.append(f"`{name}` = NULL" if value is None else f"`{name}` = '{text}'")
+    return f"PARTITION ({', '.join(parts)})"
+
+
+def drop_partitions(spark: SparkSession, table: str, partitions: Sequence[dict[str, object]]) -> None:
+    """In one statement for up to a hundred of them."""
+    for at in range(0, len(partitions), 100):
+        specs = ", ".join(partition_spec(values) for values in partitions[at : at + 100])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
 def replace_partitions(source: DataFrame, table: str, group: str, groups: DataFrame) -> None:
     """Replace all rows of the named groups in a table partitioned by ``group``, a null group included.
 
-    Only those partitions are written, and a named group without rows is emptied, after the others are in place: in one
-    statement for up to a hundred of them.
+    Only those partitions are written, and a named group without rows is emptied, after the others are in place.
     """
     spark = source.sparkSession
     named = groups.select(F.col(group).alias("__group")).distinct()
@@ -165,9 +224,7 @@ def replace_partitions(source: DataFrame, table: str, group: str, groups: DataFr
     present = incoming.select(F.col(group).alias("__there")).distinct()
     empty = [value for (value,) in named.join(present, F.col("__group").eqNullSafe(F.col("__there")), "left_anti").toLocalIterator()]
     overwrite_partitions(incoming, table)
-    for at in range(0, len(empty), 100):
-        specs = ", ".join(partition_spec(group, value) for value in empty[at : at + 100])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    drop_partitions(spark, table, [{group: value} for value in empty])
 
 
 def load_by_content(documents: DataFrame, table: str, key: str = "id", order: str = "position") -> str:

@@ -288,6 +288,32 @@ def test_writers_keep_the_layout_and_one_row_per_key(spark, namespace):
     assert catalog.partition_columns(spark, table) == ["g"]
 
 
+def test_only_touched_partitions_are_rewritten(spark, namespace):
+    table = f"{namespace}.t"
+    made = spark.range(40).select("id", F.lit("old").alias("v"), (F.col("id") % 10).cast("int").alias("a"), F.when(F.col("id") % 20 < 10, "x'y").alias("b"))
+    made.write.partitionBy("a", "b").saveAsTable(table)
+    files = lambda: {tuple(r) for r in spark.table(table).select("a", "b", "_metadata.file_path").distinct().collect()}
+    state = lambda: {r.id: (r.v, r.a, r.b) for r in spark.table(table).collect()}
+    before, want = files(), state()
+    # one row changes, one moves to a new partition, one partition loses all its rows, one key is new, one has a null group
+    new = [(3, "n3", 3, "x'y"), (5, "n5", 77, "x'y"), (7, "n7", 8, "x'y"), (27, "n27", 8, None), (99, "n99", 3, "x'y"), (14, "n14", 4, None)]
+    source = spark.createDataFrame(new, "id long, v string, a int, b string")
+    want |= {i: (v, a, b) for i, v, a, b in new}
+    for write in (catalog.replace_rows_table, catalog.upsert_table):
+        write(source, table, ["id"])
+        assert state() == want and spark.table(table).count() == len(want)
+    after = files()
+    touched = {(3, "x'y"), (5, "x'y"), (77, "x'y"), (7, "x'y"), (8, "x'y"), (8, None), (4, None)}
+    assert {f for f in before if f[:2] not in touched} == {f for f in after if f[:2] not in touched}
+    assert not any(f in after for f in before if f[:2] in touched)
+    assert (7, "x'y") not in {f[:2] for f in after} and catalog.partition_columns(spark, table) == ["a", "b"]
+    # fields that the source has for new keys only stay in their partition
+    catalog.upsert_table(spark.createDataFrame([(3, "z", 1, None)], source.schema), table, ["id"], insert_only=["a", "b"])
+    assert state() == want | {3: ("z", 3, "x'y")}
+    catalog.upsert_table(source.limit(0), table, ["id"])
+    assert state() == want | {3: ("z", 3, "x'y")}
+
+
 def test_an_interrupted_swap_is_mended(spark, namespace):
     table = f"{namespace}.t"
     spark.range(3).write.saveAsTable(f"{table}__old")
