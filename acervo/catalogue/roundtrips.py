@@ -15,12 +15,14 @@ from acervo.plans.search_projection import write_search_table
 from acervo.session import scratch_path
 from acervo.sinks import catalog, checkpoints
 from acervo.sinks.documents import compact_documents, stored_documents, upsert_documents
+from acervo.sinks.workbook import write_workbooks
 from acervo.sources.base import Source
 from acervo.sources.batches import read_json_batches
 from acervo.sources.long_lists import read_long_lists
 from acervo.sources.paths import file_listing
 from acervo.sources.ranking import read_ranking
 from acervo.sources.tables import endpoint_registry, family_scan
+from acervo.sources.workbook import as_variant, read_workbooks, workbook_columns, workbook_dois
 from acervo.sources.wrapped import read_wrapped
 
 c = F.col
@@ -351,3 +353,53 @@ def search_table_file(spark: SparkSession, d: str) -> DataFrame:
     )
     write_search_table(works, path, 4)
     return spark.read.parquet(path).select("id", "source", "year", F.array_join("authors", "|").alias("authors"), F.md5("title").alias("title_md5"))
+
+
+def _order_books(spark: SparkSession, d: str, folder: str) -> DataFrame:
+    """Orders as workbooks, with a header that repeats a name and a cover sheet before the rows."""
+    orders = table(spark, d, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", c("o_orderdate").cast("date"), F.when(c("o_orderstatus") != "P", c("o_orderstatus") == "F").alias("done"),
+        F.concat(F.lit('<a & "b">  '), "o_orderpriority", F.lit("\n ")).alias("note"),
+    )
+    return write_workbooks(orders, folder, ["key", "status", "price", "day", "done", "status"], cover="cover")
+
+
+_ORDERS_READ = """
+    SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate::DATE AS o_orderdate,
+           CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus = 'F' END AS done, '<a & "b">  ' || o_orderpriority || chr(10) || ' ' AS note FROM orders
+"""
+
+
+@query(f"SELECT o_orderkey AS key, o_orderstatus AS status, o_totalprice AS price, o_orderdate AS day, done, note FROM ({_ORDERS_READ})")
+def workbook_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Orders through workbooks, read as texts from a named sheet; the repeated header got a name of its own."""
+    folder = scratch_path(spark, "workbooks")
+    _order_books(spark, d, folder)
+    rows, rejects = read_workbooks(spark, folder, sheet="rows")
+    if not rejects.isEmpty():
+        raise ValueError("a workbook that was just written cannot be read")
+    texts = workbook_columns(rows, ["key", "status", "price", "day", "done", "status_2"])
+    return texts.select(
+        c("key").cast("bigint"), "status", c("price").cast("double"), F.to_date(F.substring("day", 1, 10)).alias("day"), c("done").cast("boolean"), c("status_2").alias("note")
+    )
+
+
+@query(f"SELECT o_orderkey AS key, o_totalprice AS price, o_orderdate AS day, done FROM ({_ORDERS_READ})")
+def workbook_typed(spark: SparkSession, d: str) -> DataFrame:
+    """The same workbooks as documents of typed values, from the active sheet."""
+    folder = scratch_path(spark, "workbooks")
+    _order_books(spark, d, folder)
+    raw = as_variant(read_workbooks(spark, folder, typed=True)[0])
+    get = lambda name, kind: F.try_variant_get("raw", f"$.{name}", kind).alias(name)
+    return raw.select(get("key", "bigint"), get("price", "double"), F.to_date(F.substring(get("day", "string"), 1, 10)).alias("day"), get("done", "boolean"))
+
+
+@query("""
+    SELECT '10.5555/' || event_type || '.' || event_id AS doi FROM events WHERE event_type <> 'view'
+""")
+def workbook_doi_list(spark: SparkSession, d: str) -> DataFrame:
+    """DOIs from the column of that name in a folder of workbooks; rows without one are left out."""
+    folder = scratch_path(spark, "doi-workbooks")
+    doi = F.when(c("event_type") != "view", F.concat(F.lit("10.5555/"), "event_type", F.lit("."), "event_id")).alias("doi")
+    write_workbooks(table(spark, d, "events").select("event_id", doi), folder)
+    return workbook_dois(spark, folder)
