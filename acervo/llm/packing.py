@@ -173,7 +173,7 @@ def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str = BYTE_BPE, end:
     buckets = F.element_at(F.array(*[F.lit(max(1, -(-int(c) // RANK_ROWS))) for c in histogram]), F.col("size") + 1)
     order = ["doc_id", "start", "ids_crc32"]
     kept = [*[c.split()[0] for c in PIECES.split(", ")], *["ids"] * with_ids]
-    bucketed = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), buckets).cast("long"))
+    bucketed = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), buckets).cast("long"))
     sums = bucketed.groupBy("size", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = sums.select(
         F.col("size").alias("_size"), F.col("bucket").alias("_bucket"),

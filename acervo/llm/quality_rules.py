@@ -213,7 +213,7 @@ def rejected_by(rules: list[Rule]) -> Column:
 def fit(measured: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[Rule]:
     """Rules from the labelled documents that pass the base: quality 0 is bad; about ``rows`` of them, by a hash of the id.
 
-    Labels that are null, or contradict each other for an id, are left out.
+    Labels that are null, or contradict each other for an id, are left out; of rows with one id the one with the greatest features counts.
     """
     clear = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
     share = min(1.0, rows / max(1, clear.count()))
@@ -221,6 +221,8 @@ def fit(measured: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[
     clear = clear.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     features = [F.expr(e).cast("double").alias(k) for k, e in FEATURES.items()]
     known = measured.where(~base_failed()).join(clear, "doc_id").select("doc_id", "quality", *features)
+    # an id that many rows carry gives one example
+    known = known.groupBy("doc_id", "quality").agg(F.max(F.struct(*FEATURES)).alias("f")).select("doc_id", "quality", "f.*")
     got = known.toPandas().sort_values(["doc_id", *FEATURES], kind="stable")
     got = got.iloc[np.argsort(got["doc_id"].to_numpy() * np.int64(0x9E3779B97F4A7C1) & np.int64(0x7FFFFFFF), kind="stable")]
     return learn({k: got[k].to_numpy(float) for k in FEATURES}, got["quality"].to_numpy() == 0)

@@ -42,7 +42,9 @@ def choose_pivots(whole: DataFrame, sample: int = SAMPLE, most: int = PIVOTS) ->
     """Per vector length the origin and, from a sample by hash of the id (about so many), points far from all chosen before."""
     share = min(1.0, sample / max(1, whole.count()))
     # a share by hash: no task sends the driver more than its part of the sample
-    rows = whole.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < int(share * 1_000_000)).toPandas().sort_values("vec_id", kind="stable")
+    some = whole.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    # an id that many rows carry gives one vector
+    rows = some.groupBy("vec_id").agg(F.max("v").alias("v")).toPandas().sort_values("vec_id", kind="stable")
     by_length: dict[int, list] = {}
     for v in rows["v"]:
         by_length.setdefault(len(v), []).append(v)

@@ -173,6 +173,13 @@ def test_top_k_equals_all_pairs(spark, monkeypatch):
     assert found(df, every=20, k=7) == plain_top(rows, 20, 7)
 
 
+def test_a_repeated_id_is_one_vector_of_the_sample(spark):
+    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(40)]
+    make = lambda some: topk_index.whole_vectors(spark.createDataFrame(some, "vec_id long, embedding array<double>"))
+    one, many = topk_index.choose_pivots(make(rows)), topk_index.choose_pivots(make(rows + rows[3:4] * 500))
+    assert one.keys() == many.keys() and all((one[n] == many[n]).all() for n in one)
+
+
 def test_top_k_of_odd_rows(spark):
     rows = [
         (0, [1.0, 2.0]), (100, None), (200, [1.0, None]), (300, [float("nan"), 1.0]), (400, [float("inf"), 1.0]), (None, [1.0, 1.0]), (500, [1.0, 2.0]), (500, [1.0, 2.0]),

@@ -57,6 +57,17 @@ def test_learned_rule_rejects_what_labels_call_bad(spark, documents):
     assert {r.doc_id for r in quality_rules.judge(documents(rows), labels).where("kept").collect()} == {i for i in range(400) if i % 4}
 
 
+def test_a_repeated_id_is_one_example_of_the_fit(spark, documents, monkeypatch):
+    text = lambda i: " ".join(f"w{i}x{k}" + ("##" if i % 2 else "") for k in range(60))
+    rows = [(i, text(i), "a") for i in range(120)] + [(7, text(7), "a")] * 300 + [(8, " ".join(f"v{j}" for j in range(n, n + 30)), "b") for n in range(200)]
+    labels = spark.createDataFrame([(i, (i + 1) % 2, 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    seen = []
+    learn = quality_rules.learn
+    monkeypatch.setattr(quality_rules, "learn", lambda features, bad: (seen.append(len(bad)), learn(features, bad))[1])
+    kept = {r.doc_id for r in quality_rules.judge(documents(rows), labels).where("kept").select("doc_id").collect()}
+    assert seen == [120] and kept == set(range(0, 120, 2))
+
+
 def plain_fingerprint(text: str | None, size: int = 4) -> int:
     words = (text or "").encode().lower().split()
     parts = [b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
