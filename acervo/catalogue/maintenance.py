@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from acervo.catalogue.registry import query, table
 from acervo.functions.predicates import long_or_zero
-from acervo.operators import merge
+from acervo.operators import digests, merge
 from acervo.operators.dedup import (
     duplicate_keys,
     first_per_key,
@@ -141,12 +141,12 @@ _ACTIONS = """
 
 @query(_ACTIONS)
 def diff_actions(spark: SparkSession, d: str) -> DataFrame:
-    return merge.diff(*_part_versions(spark, d), ["p_partkey"])
+    return digests.diff(*_part_versions(spark, d), ["p_partkey"])
 
 
 @query(f"SELECT action, count(*) AS n FROM ({_ACTIONS}) GROUP BY action")
 def diff_summary(spark: SparkSession, d: str) -> DataFrame:
-    return merge.diff_summary(merge.diff(*_part_versions(spark, d), ["p_partkey"]))
+    return merge.diff_summary(digests.diff(*_part_versions(spark, d), ["p_partkey"]))
 
 
 @query("""

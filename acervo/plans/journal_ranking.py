@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from acervo.operators.merge import apply_diff, diff, diff_summary
+from acervo.operators.digests import diff
+from acervo.operators.merge import apply_diff, diff_summary
 from acervo.session import materialise
 from acervo.sinks.catalog import clean_surplus, overwrite_partitions
 from acervo.sinks.checkpoints import save_value
