@@ -154,6 +154,23 @@ def test_key_ranges(spark, n_rows, n):
     assert rows(positions.key_ranges(df, "_id", n)) == sorted(wanted, key=repr)
 
 
+@pytest.mark.parametrize("hot, n", [(0, 4), (2000, 3), (2900, 7), (2000, 1)])
+def test_key_ranges_are_exact_and_order_few_rows(spark, monkeypatch, hot, n):
+    rng = random.Random(hot + n)
+    keys = [5_000] * hot + [None] * 150 + [rng.randint(-10_000, 10_000) for _ in range(2850)]
+    ordered = sorted(keys, key=lambda k: (k is not None, k or 0))
+    step = -(-len(keys) // n)
+    cuts = [None if k is None else str(k) for k in ordered[step::step]]
+    sizes, plain = [], positions.row_positions
+    monkeypatch.setattr(positions, "row_positions", lambda df, *a, **k: (sizes.append(df.count()), plain(df, *a, **k))[1])
+    frame = spark.createDataFrame([(k,) for k in keys], "k long").repartition(3)
+    got = positions.key_ranges(frame, "k", n, pivots=64)
+    assert [tuple(r) for r in got.collect()] == list(zip(["", *cuts], [*cuts, ""], strict=True))
+    assert sum(sizes) <= 4 * n * len(keys) / 64
+    few = spark.createDataFrame([(k / 8 if k else None,) for k in keys], "k double")
+    assert positions.key_ranges(few, "k", n, pivots=1).count() == len(cuts) + 1
+
+
 def test_row_positions_over_a_hot_group(spark):
     df = spark.range(500).select(F.when(c("id") % 3 == 0, c("id")).otherwise(-1).alias("g"), (c("id") * 7 % 500).alias("v"))
     got = positions.row_positions(df, ["v"], within=["g"]).collect()
