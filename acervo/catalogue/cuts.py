@@ -20,12 +20,11 @@ from acervo.operators.joins import referenced
 from acervo.operators.retrieval import top_candidates
 from acervo.plans.country_cut import (
     DoiInputs,
+    best_matches,
     country_route,
     cut,
     doi_route,
-    first_accepted,
     raw_dois,
-    similar_pairs,
     source_route,
     unique_works,
     wanted_dois,
@@ -413,7 +412,7 @@ def fuzzy_title_match(spark: SparkSession, d: str) -> DataFrame:
     products = pages.select(F.col("page_id").alias("product_key"), F.col("heading").alias("title"), F.col("page_id").alias("person_id"))
     profiles = pages.select(F.col("page_id").alias("person_id"), F.col("site").alias("name"))
     search = pages.select(F.col("page_id").alias("id"), "title", F.array(F.upper("site")).alias("authors"))
-    return first_accepted(similar_pairs(products, profiles, search))
+    return best_matches(products, profiles, search)
 
 
 @query("""

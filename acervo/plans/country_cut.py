@@ -158,8 +158,21 @@ def first_accepted(pairs: DataFrame) -> DataFrame:
     return first_per_key(pairs, ["product_key"], [F.col("rank")])
 
 
+def best_matches(products: DataFrame, profiles: DataFrame, search: DataFrame, k: int = 20) -> DataFrame:
+    """The best-ranked accepted one of the ``k`` candidates of each product, as ``first_accepted(similar_pairs(...))`` gives it.
+
+    Most products need their best candidate only: the higher score to reach leaves far fewer pairs to judge than the k-th best one does.
+    Those whose best candidate is not accepted are looked for again, among all ``k``.
+    """
+    best = materialise(first_accepted(similar_pairs(products, profiles, search, 1)), "best-matches")
+    rest = materialise(products.join(best.select("product_key"), "product_key", "left_anti").select(*products.columns), "unmatched-products")
+    if k == 1 or rest.isEmpty():
+        return best
+    return best.unionByName(first_accepted(similar_pairs(rest, profiles, search, k)))
+
+
 def similar_route(products: DataFrame, profiles: DataFrame, search: DataFrame) -> DataFrame:
-    matches = first_accepted(similar_pairs(products, profiles, search))
+    matches = best_matches(products, profiles, search)
     return _route(matches.select("id").distinct(), "similarity")
 
 

@@ -323,3 +323,25 @@ def test_only_works_that_may_be_wanted_reach_the_exchange(spark):
     kept = {r.id for r in spread_join(some, wanted, "id").collect()}
     assert kept == {r.id for r in wanted.collect()}
     assert possible(works, "id", materialise(id_bitmaps(wanted.limit(0), "id"), "bitmaps")).count() == 0
+
+
+def test_only_products_without_an_accepted_best_candidate_are_looked_for_again(spark, monkeypatch):
+    same = [(f"w{n}", "Historia rural del Caribe colombiano", ["Ana Gómez"]) for n in range(3)]
+    # more shared tokens, but another title; the accepted one ranks second
+    longer = [("v1", "Atlas general de física: partículas, ondas, campos, materia y otros asuntos vecinos de partículas", ["Luis Ruiz"]), ("v2", "Atlas general física partículas ondas campos", [])]
+    search = spark.createDataFrame([*same, *longer, ("u", "Otra cosa", None)], "id string, title string, authors array<string>")
+    products = spark.createDataFrame(
+        [(1, "Historia rural del Caribe colombiano", "p"), (2, "Atlas general física partículas ondas campos", "q"), (3, "Nada parecido aquí", "p")], "product_key int, title string, person_id string"
+    )
+    people = spark.createDataFrame([("p", "Gómez"), ("q", "Ruiz")], "person_id string, name string")
+    asked, real = [], country_cut.similar_pairs
+
+    def counted(products, profiles, search, k=20):
+        asked.append((k, rows(products, "product_key")))
+        return real(products, profiles, search, k)
+
+    want = rows(country_cut.first_accepted(real(products, people, search)))
+    monkeypatch.setattr(country_cut, "similar_pairs", counted)
+    got = rows(country_cut.best_matches(products, people, search))
+    assert got == want and {r[0]: r[2] for r in got} == {1: 1, 2: 2}
+    assert asked == [(1, [(1,), (2,), (3,)]), (20, [(2,), (3,)])]
