@@ -9,6 +9,9 @@ from acervo.functions.nested import kept_values, or_default
 from acervo.functions.predicates import key_between
 from acervo.functions.text import strip_markup
 
+#: What one task sorts and one file holds, and what a row has beside its title.
+RANGE_BYTES, ROW_BYTES = 128 << 20, 200
+
 
 def search_documents(works: DataFrame) -> DataFrame:
     """One flat row per work with a title; absent texts become ``""``."""
@@ -36,7 +39,12 @@ def range_slice(works: DataFrame, key: str, min_id: str | int | None, max_id: st
 
 
 def write_search_table(works: DataFrame, path: str, ranges: int) -> None:
-    """Projection, range-partitioned by id so that a key lookup reads one file."""
+    """Projection, range-partitioned by id so that a key lookup reads one file.
+
+    There are ``ranges`` files, or as many more as keep each at about RANGE_BYTES.
+    """
+    size = works.where("title is not null").agg(F.coalesce(F.sum(F.octet_length("title") + ROW_BYTES), F.lit(0)).alias("size")).first()["size"]
+    ranges = max(ranges, -(-size // RANGE_BYTES))
     (
         search_documents(works)
         .repartitionByRange(ranges, "id")

@@ -345,3 +345,13 @@ def test_only_products_without_an_accepted_best_candidate_are_looked_for_again(s
     got = rows(country_cut.best_matches(products, people, search))
     assert got == want and {r[0]: r[2] for r in got} == {1: 1, 2: 2}
     assert asked == [(1, [(1,), (2,), (3,)]), (20, [(2,), (3,)])]
+
+
+def test_search_table_has_as_many_ranges_as_its_size_needs(spark, tmp_path, monkeypatch):
+    titles = [("o", f"W{n:02d}", None, "x" * 1000, None, None, None, None, None) for n in range(40)]
+    frame = spark.createDataFrame(titles, WORK_SCHEMA)
+    monkeypatch.setattr(search_projection, "RANGE_BYTES", 4000, raising=False)
+    search_projection.write_search_table(frame, f"{tmp_path}/t", 2)
+    written = spark.read.parquet(f"{tmp_path}/t").select("id", F.input_file_name().alias("file"))
+    spans = sorted(tuple(r) for r in written.groupBy("file").agg(F.min("id"), F.max("id")).drop("file").collect())
+    assert len(spans) >= 8 and all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False)) and written.count() == 40
