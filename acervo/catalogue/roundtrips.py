@@ -45,6 +45,11 @@ def rename_parts(spark: SparkSession, folder: str, prefix: str, suffix: str) ->
         fs.rename(path(part), path(f"{folder}/{prefix}{n}{suffix}"))
 
 
+def tasks(spark: SparkSession) -> int:
+    """Partitions for work that costs far more than its bytes suggest."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("SELECT s_suppkey, s_name, s_suppkey // 40 AS batch FROM supplier")
 def wrapped_json(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers in packed files of one list each, forty to a file."""
@@ -280,14 +285,15 @@ def organisations_file(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "organisations")
 
     def write(rows: DataFrame, folder: str) -> str:
-        # forty records to a list, a file for each list
+        # five hundred records to a list, a file for each list, written by many tasks
         lists = rows.groupBy("batch").agg(F.collect_list(F.struct("id", "name")).alias("items"))
-        lists.select(F.to_json("items")).write.option("maxRecordsPerFile", 1).text(f"{path}/{folder}")
+        texts = lists.select(F.to_json("items").alias("value")).repartition(tasks(spark))
+        texts.write.option("maxRecordsPerFile", 1).text(f"{path}/{folder}")
         return f"{path}/{folder}/*.txt"
 
-    customers = table(spark, d, "customer").select(c("c_custkey").cast("string").alias("id"), c("c_name").alias("name"), F.floor(c("c_custkey") / 40).alias("batch"))
+    customers = table(spark, d, "customer").select(c("c_custkey").cast("string").alias("id"), c("c_name").alias("name"), F.floor(c("c_custkey") / 500).alias("batch"))
     missing = F.when(c("s_nationkey") != 3, c("s_suppkey").cast("string"))
-    suppliers = table(spark, d, "supplier").select(missing.alias("id"), c("s_name").alias("name"), F.floor(c("s_suppkey") / 40).alias("batch"))
+    suppliers = table(spark, d, "supplier").select(missing.alias("id"), c("s_name").alias("name"), F.floor(c("s_suppkey") / 500).alias("batch"))
     by_key, whole = f"org_{uuid.uuid4().hex}", f"org_{uuid.uuid4().hex}"
     files = write(customers, "keyed")
     for _ in range(2):

@@ -252,3 +252,14 @@ def test_scan_prunes_and_pushes_down(spark, testdata):
     plan = range_slice(orders, "o_orderkey", 10, 20)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderkey,10)" in plan and "LessThan(o_orderkey,20)" in plan
     assert "o_custkey" not in plan
+
+
+def test_wrapped_files_are_cut_once(spark, tmp_path):
+    for n in range(3):
+        (tmp_path / f"{n}.json").write_text(json.dumps([{"id": n}, {"id": n + 10}]))
+    (tmp_path / "bad.json").write_text("[{")
+    good, rejects = wrapped.read_wrapped(spark, f"{tmp_path}/*.json")
+    for file in tmp_path.glob("*.json"):
+        file.write_text("[]")
+    assert sorted(r.raw.toPython()["id"] for r in good.collect()) == [0, 1, 2, 10, 11, 12]
+    assert [r.reason for r in rejects.collect()] == ["bad_json"]
