@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +17,7 @@ from acervo.catalogue.registry import query, table
 from acervo.plans.organisations import load_organisations
 from acervo.plans.runner import run_sources
 from acervo.plans.search_projection import write_search_table
-from acervo.session import scratch_path
+from acervo.session import materialise, scratch_path
 from acervo.sinks import catalog, checkpoints
 from acervo.sinks.documents import compact_documents, stored_documents, upsert_documents
 from acervo.sinks.workbook import write_workbooks
@@ -41,8 +46,8 @@ def rename_parts(spark: SparkSession, folder: str, prefix: str, suffix: str) ->
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     parts = sorted(f.getPath().toString() for f in fs.listStatus(path(folder)) if f.getPath().getName().startswith("part-"))
-    for n, part in enumerate(parts):
-        fs.rename(path(part), path(f"{folder}/{prefix}{n}{suffix}"))
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(lambda n: fs.rename(path(parts[n]), path(f"{folder}/{prefix}{n}{suffix}")), range(len(parts))))
 
 
 def tasks(spark: SparkSession) -> int:
@@ -50,6 +55,23 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def write_texts(texts: DataFrame, folder: str, prefix: str, suffix: str) -> None:
+    """Every text of the only column as a file, under a name that a reader looks for; tasks write what they hold."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = pafs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        task, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for text in batch.column(0):
+                with store.open_output_stream(f"{root.rstrip('/')}/{prefix}{task}_{n}{suffix}") as out:
+                    out.write(f"{text.as_py()}\n".encode())
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["written"])
+
+    materialise(texts.mapInArrow(write, "written long"), "written-texts")
+
+
 @query("SELECT s_suppkey, s_name, s_suppkey // 40 AS batch FROM supplier")
 def wrapped_json(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers in packed files of one list each, forty to a file."""
@@ -114,11 +136,10 @@ def json_shapes(spark: SparkSession, d: str) -> DataFrame:
         "lines": lists.select(F.array_join(F.transform("data", lambda r: F.to_json(r)), "\n\n"), "shape"),
         "array": lists.select(array, "shape"),
         "envelope": lists.select(F.to_json(F.struct("s_nationkey", "data")), "shape"),
-        "single": rows.select(F.concat(F.lit("\n"), F.replace(F.to_json(whole), F.lit(","), F.lit(",\n"))), "shape"),
+        "single": rows.repartition(tasks(spark)).select(F.concat(F.lit("\n"), F.replace(F.to_json(whole), F.lit(","), F.lit(",\n"))), "shape"),
     }
     for n, (shape, frame) in enumerate(texts.items()):
-        frame.where(c("shape") == shape).drop("shape").write.option("maxRecordsPerFile", 1).text(f"{path}/{shape}")
-        rename_parts(spark, f"{path}/{shape}", f"article_batch_{n}_", ".json")
+        write_texts(frame.where(c("shape") == shape).drop("shape"), f"{path}/{shape}", f"article_batch_{n}_", ".json")
     good, _ = read_json_batches(spark, path, "article")
     get = lambda name, kind: F.try_variant_get("raw", f"$.{name}", kind).alias(name)
     return good.select(get("shape", "string"), get("id", "bigint"), get("s_name", "string"))

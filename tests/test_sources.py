@@ -263,3 +263,13 @@ def test_wrapped_files_are_cut_once(spark, tmp_path):
         file.write_text("[]")
     assert sorted(r.raw.toPython()["id"] for r in good.collect()) == [0, 1, 2, 10, 11, 12]
     assert [r.reason for r in rejects.collect()] == ["bad_json"]
+
+
+def test_texts_become_files_of_their_own(spark, tmp_path):
+    from acervo.catalogue.roundtrips import write_texts
+
+    texts = ['{"id": 1}', '\n{"id":\n 2}', "[é]"]
+    write_texts(spark.createDataFrame([(t,) for t in texts], "value string").repartition(2), f"{tmp_path}/shapes", "article_batch_9_", ".json")
+    files = list((tmp_path / "shapes").glob("*"))
+    assert sorted(f.read_text() for f in files) == sorted(f"{t}\n" for t in texts)
+    assert all(f.name.startswith("article_batch_9_") and f.suffix == ".json" for f in files)
