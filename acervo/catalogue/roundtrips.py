@@ -388,7 +388,7 @@ def _order_books(spark: SparkSession, d: str, folder: str) -> DataFrame:
         "o_orderkey", "o_orderstatus", "o_totalprice", c("o_orderdate").cast("date"), F.when(c("o_orderstatus") != "P", c("o_orderstatus") == "F").alias("done"),
         F.concat(F.lit('<a & "b">  '), "o_orderpriority", F.lit("\n ")).alias("note"),
     )
-    return write_workbooks(orders, folder, ["key", "status", "price", "day", "done", "status"], cover="cover")
+    return write_workbooks(orders.repartition(tasks(spark)), folder, ["key", "status", "price", "day", "done", "status"], cover="cover")
 
 
 _ORDERS_READ = """

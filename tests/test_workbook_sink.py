@@ -76,3 +76,12 @@ def test_a_written_workbook_is_well_formed():
     assert set(book.namelist()) >= {"xl/workbook.xml", "xl/worksheets/sheet1.xml", "xl/styles.xml"}
     with pytest.raises(zipfile.BadZipFile):
         list(sheet_rows(b"no book", None, False, False))
+
+
+def test_orders_of_one_row_group_become_books_of_many_tasks(spark, tmp_path):
+    from acervo.catalogue import roundtrips
+
+    orders = spark.range(400).selectExpr("id AS o_orderkey", "'F' AS o_orderstatus", "1.5D AS o_totalprice", "DATE'1996-01-02' AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    written = roundtrips._order_books(spark, str(tmp_path), f"{tmp_path}/books").collect()
+    assert len(written) == roundtrips.tasks(spark) > 1 and sum(r.n_rows for r in written) == 400
