@@ -313,7 +313,14 @@ def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(shared >= similarity * (F.size("p") + F.size("q") - shared)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame | None:
+def lone_shingles(sets: DataFrame) -> DataFrame:
+    """``node, alone``: how many shingles of a set no other one of ``sets`` has."""
+    tokens = sets.select("node", F.explode("shingles").alias("shingle"))
+    lone = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+    return lone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def verified(members: DataFrame, sets: DataFrame, similarity: float, known: DataFrame | None = None) -> DataFrame | None:
     """``node, root`` of the nodes that link, or None: ``members`` (key, node, size, degree) of one key are candidates, ``sets`` decide.
 
     In each round the members of a key are compared with its centres, and those are then done. A centre is the member with most
@@ -322,16 +329,25 @@ def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     verified links yet is compared; a pair that fails connects nothing, so its members stay to be compared with later centres. A key is done when
     all that is left of it is connected. The number of centres grows from round to round, from one: copies of a text
     need as many comparisons as there are copies, and keys of unlike texts as many rounds as the logarithm of their size.
+
+    Two sets share at most what either has beside its lone shingles; where that cannot reach the similarity, the pair is settled without
+    the sets. ``known`` (a, b) are links that are verified already.
     """
-    roots = tested = None
-    members, spread = materialise(members.withColumn("root", F.col("node")), "near-members"), 1
+    tested = None
+    roots = None if known is None or known.isEmpty() else materialise(components(known), "near-roots")
+    members = members.join(materialise(lone_shingles(sets), "near-lone"), "node", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
+    members = members.where(F.col("common") >= similarity * F.col("size")).drop("alone")
+    if roots is not None:
+        members = members.join(roots, "node", "left")
+    members = members.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
+    members, spread = materialise(members.select("key", "node", "size", "degree", "common", "root"), "near-members"), 1
     while not members.isEmpty():
-        first = F.max(F.struct("degree", (-F.col("node")).alias("order"), "node", "size", "root")).alias("c")
+        first = F.max(F.struct("degree", (-F.col("node")).alias("order"), "node", "size", "common", "root")).alias("c")
         centres = members.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(spread)).alias("part")).agg(first)
-        centres = centres.select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.root").alias("centre_root"))
+        centres = centres.select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.common").alias("centre_common"), F.col("c.root").alias("centre_root"))
         centres = materialise(centres, "near-centres")
-        # sets whose sizes differ more cannot reach the similarity
-        fits = (F.col("root") != F.col("centre_root")) & (F.least("size", "centre_size") >= similarity * F.greatest("size", "centre_size"))
+        most = F.least("common", "centre_common")
+        fits = (F.col("root") != F.col("centre_root")) & (most >= similarity * (F.col("size") + F.col("centre_size") - most))
         pairs = members.join(centres, "key").where(fits).select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y")).distinct()
         pairs = materialise(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "near-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
@@ -343,40 +359,52 @@ def verified(members: DataFrame, sets: DataFrame, similarity: float) -> DataFram
         rest = members.join(done, ["key", "node"], "left_anti")
         if roots is not None:
             rest = rest.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = materialise(rest.select("key", "node", "size", "degree", "root"), "near-rest")
+        rest = materialise(rest.select("key", "node", "size", "degree", "common", "root"), "near-rest")
         apart = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
         members, spread = materialise(rest.join(apart, "key"), "near-members"), spread * SPREAD
     return roots
 
 
+def fingerprint_pairs(nodes: DataFrame, budget: int = BUDGET) -> DataFrame:
+    """``x, y``: nodes (node, fp) whose fingerprints the trie join links, and nodes of one fingerprint with the first of it."""
+    heads = materialise(nodes.groupBy("fp").agg(F.min("node").alias("head")), "near-heads")
+    left, right = (heads.select(F.col("fp").alias(f), F.col("head").alias(n)) for f, n in (("a", "x"), ("b", "y")))
+    across = linked_fingerprints(heads, budget).join(left, "a").join(right, "b").select("x", "y")
+    return across.unionByName(nodes.join(heads, "fp").where("node <> head").select(F.col("node").alias("x"), F.col("head").alias("y")))
+
+
 def near_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, node, keeper`` per row: the smallest id of the document's group of near-duplicates.
 
-    Documents link if the Jaccard similarity of their five-word shingles is at least ``similarity``. Candidates agree in a band of
-    minima of their hashed shingles; every candidate pair is compared exactly, unless verified links connect it already.
+    Documents link if the Jaccard similarity of their five-word shingles is at least ``similarity``. The links of the SimHash fingerprints, found by the
+    trie join of ``near_duplicates``, come first, and the sets decide. What differs in more bits at that similarity is completed: further candidates
+    agree in a band of minima of their hashed shingles; each is compared exactly, unless verified links connect it already.
     Copies with equal shingles are one node.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            nodes, sizes, keys = [], [], []
+            nodes, sizes, keys, fps = [], [], [], []
             for text in batch.column(1).cast(pa.binary()):
                 shingles = shingle_set(text.as_py() or b"")
+                fps.append(fingerprint(text.as_py() or b"", 4))
                 nodes.append(set_id(shingles))
                 sizes.append(len(shingles))
                 keys.append(band_keys(shingles))
-            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "keys"])
+            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(np.array(fps, np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "size", "keys", "fp"])
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    marked = materialise(source.mapInArrow(run, "doc_id long, node long, size int, keys array<long>"), "near-marked")
-    nodes = materialise(marked.groupBy("node").agg(F.min("doc_id").alias("first")), "near-nodes")
+    marked = materialise(source.mapInArrow(run, "doc_id long, node long, size int, keys array<long>, fp long"), "near-marked")
+    nodes = materialise(marked.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("fp").alias("fp")), "near-nodes")
+    links = materialise(fingerprint_pairs(nodes), "near-simhash")
     keyed = materialise(marked.select(F.explode("keys").alias("key"), "node", "size").distinct(), "near-keys")
     several = keyed.groupBy("key").agg((F.count(F.lit(1)) - 1).alias("others")).where("others > 0")
     met = materialise(keyed.join(several, "key").select("key", "node", "size", "others"), "near-met")
     degrees = met.groupBy("node").agg(F.sum("others").alias("degree"))
     members = materialise(met.drop("others").join(degrees, "node").select("key", "node", "size", "degree"), "near-candidates")
-    wanted = members.select("node").distinct().join(nodes, "node").select("first")
+    ends = members.select("node").unionByName(links.select(F.explode(F.array("x", "y")).alias("node")))
+    wanted = ends.distinct().join(nodes, "node").select("first")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -385,11 +413,12 @@ def near_groups(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
     texts = source.join(wanted.distinct(), source["doc_id"].eqNullSafe(F.col("first")), "left_semi").select("text")
     shingles = materialise(texts.mapInArrow(sets, "node long, shingles array<long>").dropDuplicates(["node"]), "near-sets")
-    roots = verified(members, shingles, similarity)
+    known = materialise(alike(links, shingles, similarity), "near-simhash-links")
+    roots = verified(members, shingles, similarity, known)
     if roots is None:
-        joined = nodes.withColumn("root", F.col("node"))
+        joined = nodes.select("node", "first", F.col("node").alias("root"))
     else:
-        joined = nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
+        joined = nodes.drop("fp").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
     keepers = joined.groupBy("root").agg(F.min("first").alias("keeper"))
     whole = joined.select("node", "root").join(keepers, "root").select(F.col("node").alias("_node"), "keeper")
     return marked.join(whole, F.col("node") == F.col("_node")).select("doc_id", "node", "keeper")

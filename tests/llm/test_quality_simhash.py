@@ -208,3 +208,33 @@ def test_comparisons_grow_with_the_copies_of_a_text(documents, monkeypatch, copi
     near = [i for i, t, _ in rows if jaccard(rows[0][1], t) >= 0.8]
     assert all(groups[i] == 0 for i in near) and len(near) > copies // 2
     assert sum(compared) < 8 * copies
+
+
+def test_fingerprints_find_near_copies_of_the_stage(documents, monkeypatch):
+    rng = random.Random(14)
+    monkeypatch.setattr(simhash, "band_keys", lambda shingles: np.zeros(0, np.int64))
+    rows = []
+    for i in range(6):
+        text = [f"s{rng.randrange(10**7)}" for _ in range(600)]
+        rows += [(3 * i, " ".join(text), "a"), (3 * i + 1, " ".join([*text, "end"]), "a"), (3 * i + 2, " ".join(f"s{rng.randrange(10**7)}" for _ in range(50)), "a")]
+    near = {r[0] for r in rows if r[0] % 3 == 1 and bin(plain_fingerprint(rows[r[0]][1]) ^ plain_fingerprint(rows[r[0] - 1][1])).count("1") <= 4}
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(documents(rows)).collect()}
+    assert len(near) > 3 and kept == {r[0] for r in rows} - near
+
+
+def test_texts_that_lone_shingles_keep_apart_are_not_compared(spark, monkeypatch):
+    # one family: three of four shingles are common to all, the rest is each one's own, so no two reach 0.8
+    sets = {n: [*range(75), *range(1000 + 25 * n, 1025 + 25 * n)] for n in range(60)}
+    sets |= {100: [*range(75), *range(25_000, 25_020)], 101: [*range(75), *range(25_000, 25_021)]}
+    members = spark.createDataFrame([(1, n, len(s), 61) for n, s in sets.items()], "key long, node long, size int, degree long")
+    frame = spark.createDataFrame([(n, s) for n, s in sets.items()], "node long, shingles array<long>")
+    compared = []
+    real = simhash.alike
+
+    def counted(pairs, sets, similarity):
+        compared.append(pairs.count())
+        return real(pairs, sets, similarity)
+
+    monkeypatch.setattr(simhash, "alike", counted)
+    roots = {r.node: r.root for r in simhash.verified(members, frame, 0.8).collect()}
+    assert roots == {100: 100, 101: 100} and sum(compared) == 1
