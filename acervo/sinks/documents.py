@@ -11,6 +11,7 @@ record is marked; unless a later batch brings its id, it is read as it is, witho
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from acervo.operators.joins import id_bitmaps, marked, possible
@@ -22,6 +23,8 @@ STORED_SCHEMA = "id string, raw variant, alone boolean, updated_date date, file_
 COLUMNS = [f.split()[0] for f in STORED_SCHEMA.split(", ")]
 #: Number of the partition that a compaction writes; batches count from 0.
 BASE = -1
+#: Versions up to which a record is resolved in one place; one with more is reduced to its fields first.
+FEW = 32
 
 
 def stored_versions(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +41,14 @@ def stored_documents(spark: SparkSession, path: str) -> DataFrame:
     that it left in several versions.
     """
     settled, open_ = settled_versions(spark, path)
-    return settled.select("id", "raw", *VERSION).unionByName(merged_by_id(open_))
+    few, many = by_versions(open_)
+    # rows without an id are no versions of each other
+    rows = laid_over(few.select("id", "raw", *VERSION)).withColumn("single", F.expr("n = 1 or id is null")).where("single or size(entries) > 0")
+    nth = F.row_number().over(W.partitionBy("id").orderBy(*[F.desc(v) for v in VERSION]))
+    rows = rows.withColumns({"all": F.collect_list("entries").over(W.partitionBy("id")), "nth": nth}).where("single or nth = 1")
+    raw = F.when(F.col("single"), F.col("raw")).otherwise(F.to_variant_object(F.map_from_entries(F.flatten("all"))))
+    found = settled.select("id", "raw", *VERSION).unionByName(rows.select("id", raw.alias("raw"), *VERSION))
+    return found if many is None else found.unionByName(merged_by_id(many))
 
 
 def settled_versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -52,6 +62,29 @@ def settled_versions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     return base.where("not __maybe").drop("__maybe"), base.where("__maybe").drop("__maybe").unionByName(others)
 
 
+def by_versions(versions: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(versions of ids that have at most ``FEW``, those of all other ids, None if there are none)."""
+    hot = versions.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW).select(F.col("id").alias("hot"))
+    hot = materialise(hot, "document-hot")
+    if hot.isEmpty():
+        return versions, None
+    same = versions["id"].eqNullSafe(F.col("hot"))
+    return versions.join(hot, same, "left_anti"), versions.join(hot, same, "left_semi")
+
+
+def laid_over(versions: DataFrame) -> DataFrame:
+    """``versions`` with ``entries``, their fields that no later version of the id has, ``whole``: these are all, and ``n``, the versions of the id.
+
+    One exchange and one sort by id: a version needs no more than the names in the ones after it.
+    """
+    later = W.partitionBy("id").orderBy(*[F.desc(v) for v in VERSION]).rowsBetween(W.unboundedPreceding, -1)
+    rows = versions.repartition("id").withColumn("fields", F.map_entries(F.try_variant_get("raw", "$", "map<string,variant>")))
+    hidden = F.flatten(F.collect_list(F.col("fields.key")).over(later))
+    rows = rows.withColumns({"hidden": hidden, "n": F.count(F.lit(1)).over(W.partitionBy("id"))})
+    rows = rows.withColumn("entries", F.filter("fields", lambda f: ~F.array_contains("hidden", f["key"])))
+    return rows.withColumn("whole", F.size("entries") == F.size("fields")).drop("fields", "hidden")
+
+
 def merged_by_id(incoming: DataFrame) -> DataFrame:
     """One record per id: of each field the value of the latest version that has it.
 
@@ -130,18 +163,29 @@ def compact_documents(spark: SparkSession, path: str, target: str) -> None:
     """
     with scratch_run(spark):
         settled, open_ = settled_versions(spark, path)
-        version = F.struct(*VERSION)
-        fields = open_.select(
-            "id", version.alias("version"), F.explode(F.try_variant_get("raw", "$", "map<string,variant>")).alias("field", "value")
-        )
-        kept = fields.groupBy("id", "field").agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
-        # as many entries as the record has fields
-        records = kept.groupBy("id").agg(F.collect_list(F.struct("version", "field", "value")).alias("fields"))
-        records = records.withColumn("versions", F.array_distinct(F.transform("fields", lambda f: f["version"])))
-        split = records.select("id", "fields", (F.size("versions") == 1).alias("alone"), F.explode("versions").alias("version"))
-        its_own = F.filter("fields", lambda f: f["version"].eqNullSafe(F.col("version")))
-        entries = F.transform(its_own, lambda f: F.struct(f["field"].alias("field"), f["value"].alias("value")))
-        whole = split.select(
-            "id", F.to_variant_object(F.map_from_entries(entries)).alias("raw"), "alone", *[F.col("version")[v].alias(v) for v in VERSION]
-        )
+        few, many = by_versions(open_)
+        rows = laid_over(few.select("id", "raw", *VERSION)).where("size(entries) > 0")
+        rows = rows.withColumn("alone", F.count(F.lit(1)).over(W.partitionBy("id")) == 1)
+        raw = F.when(F.col("whole"), F.col("raw")).otherwise(F.to_variant_object(F.map_from_entries("entries")))
+        whole = rows.select("id", raw.alias("raw"), "alone", *VERSION)
+        if many is not None:
+            whole = whole.unionByName(_fields_by_version(many))
         _append(settled.drop("batch_id").unionByName(whole).withColumn("batch_id", F.lit(BASE).cast("long")), target)
+
+
+def _fields_by_version(versions: DataFrame) -> DataFrame:
+    """``id, raw, alone`` and the version: of every version the fields that no later one has; a field is reduced before it moves."""
+    version = F.struct(*VERSION)
+    fields = versions.select(
+        "id", version.alias("version"), F.explode(F.try_variant_get("raw", "$", "map<string,variant>")).alias("field", "value")
+    )
+    kept = fields.groupBy("id", "field").agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
+    # as many entries as the record has fields
+    records = kept.groupBy("id").agg(F.collect_list(F.struct("version", "field", "value")).alias("fields"))
+    records = records.withColumn("versions", F.array_distinct(F.transform("fields", lambda f: f["version"])))
+    split = records.select("id", "fields", (F.size("versions") == 1).alias("alone"), F.explode("versions").alias("version"))
+    its_own = F.filter("fields", lambda f: f["version"].eqNullSafe(F.col("version")))
+    entries = F.transform(its_own, lambda f: F.struct(f["field"].alias("field"), f["value"].alias("value")))
+    return split.select(
+        "id", F.to_variant_object(F.map_from_entries(entries)).alias("raw"), "alone", *[F.col("version")[v].alias(v) for v in VERSION]
+    )

@@ -15,6 +15,7 @@ from acervo.plans.organisations import load_organisations
 from acervo.plans.runner import run_sources
 from acervo.session import materialise, on_one_machine, scratch_run, shared_folder
 from acervo.sinks import catalog, checkpoints
+from acervo.sinks import documents as documents_sink
 from acervo.sinks.documents import compact_documents, settled_versions, stored_documents, upsert_documents
 from acervo.sources.base import Source
 from acervo.sources.tables import table_names
@@ -272,6 +273,34 @@ def test_a_compacted_table_exchanges_only_what_batches_touch(spark, tmp_path):
     assert documents_of(spark, f"{path}-2") == {k: v | ({"d": 1} if int(k) < 60 and k >= "3" else {}) for k, v in want.items()}
 
 
+def test_versions_are_exchanged_once_and_records_of_many_give_the_same(spark, tmp_path, monkeypatch):
+    made = [(i, d, n) for n, d in enumerate(("2024-01-02", "2024-01-03", None, "2024-01-01")) for i in ("a", "b", None, "c") if (i, n) != ("c", 3)]
+    texts = lambda i, n: {"a": f'{{"x":{n},"f{n}":{n},"nul":null}}', "b": "{}" if n == 1 else '[1]' if n == 2 else f'{{"y":[{n}]}}', "c": None}.get(i, f'{{"z":{n}}}')
+    df = spark.createDataFrame([(i, texts(i, n), d, n) for i, d, n in made], "id string, t string, day string, line_no long")
+    df = df.select("id", F.parse_json("t").alias("raw"), F.col("day").cast("date").alias("updated_date"), F.lit("f").alias("file_path"), "line_no")
+    path = f"{tmp_path}/t"
+    for n in range(4):
+        upsert_documents(spark, path, df.where(F.col("line_no") == n))
+    state = lambda p: sorted(((str(r.id), json.loads(r.t), str(r.updated_date), r.line_no) for r in stored_documents(spark, p).withColumn("t", F.to_json("raw")).collect() if r.t), key=lambda r: (r[0], r[2]))
+    # of a the newest is line 1; the one without a day is the oldest; b has an empty object and an array beside its fields
+    a = {"x": 1, "nul": None, **{f"f{n}": n for n in range(4)}}
+    want = [("a", a, "2024-01-03", 1), ("b", {"y": [0]}, "2024-01-02", 0)]
+    # rows without an id stay apart until a compaction
+    apart = [("None", {"z": n}, d, n) for d, n in (("2024-01-01", 3), ("2024-01-02", 0), ("2024-01-03", 1), ("None", 2))]
+    want, apart = [("None", {"z": 1}, "2024-01-03", 1), *want], [*apart, *want]
+    assert state(path) == apart
+    plan = stored_documents(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    compact_documents(spark, path, f"{path}-1")
+    assert state(f"{path}-1") == want
+    # the same where every id has too many versions for one place
+    monkeypatch.setattr(documents_sink, "FEW", 1)
+    assert state(path) == apart
+    compact_documents(spark, path, f"{path}-2")
+    base = lambda p: sorted((str(r.id), r.t, r.alone, str(r.updated_date), r.line_no) for r in documents_sink.stored_versions(spark, p).withColumn("t", F.to_json("raw")).collect())
+    assert base(f"{path}-2") == base(f"{path}-1")
+
+
 def test_writers_keep_the_layout_and_one_row_per_key(spark, namespace):
     table = f"{namespace}.t"
     one = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, v string, g string")
