@@ -278,6 +278,8 @@ BANDS, BAND_ROWS = 28, 5
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 32, (BANDS * BAND_ROWS, 1), dtype=np.uint32) | np.uint32(1)
 #: Shingles hashed at once.
 HASHED = 1 << 10
+#: Parities of parts of a set's shingles, 64 in a column.
+PARITIES = ["odd0", "odd1", "odd2", "odd3"]
 #: A key's texts are compared with so many times more centres in each round.
 SPREAD = 4
 
@@ -313,11 +315,21 @@ def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(shared >= similarity * (F.size("p") + F.size("q") - shared)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def lone_shingles(sets: DataFrame) -> DataFrame:
-    """``node, alone``: how many shingles of a set no other one of ``sets`` has."""
+def sketches(sets: DataFrame) -> DataFrame:
+    """``node, alone`` and ``PARITIES``: how many shingles of a set no other one of ``sets`` has, and a parity of each of 256 parts of all others.
+
+    Two parities differ only where the sets do: they have at least as many shingles apart as bits differ, beside their lone ones.
+    """
     tokens = sets.select("node", F.explode("shingles").alias("shingle"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("shingle").bitwiseAND(F.lit(63)).cast("int"))
+    part = F.call_function("shiftright", "shingle", F.lit(6)).bitwiseAND(F.lit(len(PARITIES) - 1))
+    odd = [F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(name) for i, name in enumerate(PARITIES)]
     lone = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
-    return lone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"))
+    lone = lone.groupBy("node").agg(F.count(F.lit(1)).alias("alone"), *odd)
+    lone = lone.select(F.col("node").alias("_node"), "alone", *[F.col(p).alias(f"_{p}") for p in PARITIES])
+    both = tokens.groupBy("node").agg(*odd).join(lone, F.col("node") == F.col("_node"), "left")
+    rest = [F.col(p).bitwiseXOR(F.coalesce(f"_{p}", F.lit(0).cast("long"))).alias(p) for p in PARITIES]
+    return both.select("node", F.coalesce("alone", F.lit(0).cast("long")).alias("alone"), *rest)
 
 
 def verified(members: DataFrame, sets: DataFrame, similarity: float, known: DataFrame | None = None) -> DataFrame | None:
@@ -330,24 +342,28 @@ def verified(members: DataFrame, sets: DataFrame, similarity: float, known: Data
     all that is left of it is connected. The number of centres grows from round to round, from one: copies of a text
     need as many comparisons as there are copies, and keys of unlike texts as many rounds as the logarithm of their size.
 
-    Two sets share at most what either has beside its lone shingles; where that cannot reach the similarity, the pair is settled without
-    the sets. ``known`` (a, b) are links that are verified already.
+    Two sets share at most what either has beside its lone shingles, and are apart in these and in every parity that differs; where that cannot
+    reach the similarity, the pair is settled without the sets. ``known`` (a, b) are links that are verified already.
     """
     tested = None
     roots = None if known is None or known.isEmpty() else materialise(components(known), "near-roots")
-    members = members.join(materialise(lone_shingles(sets), "near-lone"), "node", "left").withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0)))
+    members = members.join(materialise(sketches(sets), "near-sketches"), "node").withColumn("common", F.col("size") - F.col("alone"))
     members = members.where(F.col("common") >= similarity * F.col("size")).drop("alone")
     if roots is not None:
         members = members.join(roots, "node", "left")
     members = members.withColumn("root", F.col("node") if roots is None else F.coalesce("root", "node"))
-    members, spread = materialise(members.select("key", "node", "size", "degree", "common", "root"), "near-members"), 1
+    columns = ["key", "node", "size", "degree", "common", *PARITIES, "root"]
+    members, spread = materialise(members.select(columns), "near-members"), 1
     while not members.isEmpty():
-        first = F.max(F.struct("degree", (-F.col("node")).alias("order"), "node", "size", "common", "root")).alias("c")
+        first = F.max(F.struct("degree", (-F.col("node")).alias("order"), "node", "size", "common", *PARITIES, "root")).alias("c")
         centres = members.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(spread)).alias("part")).agg(first)
-        centres = centres.select("key", F.col("c.node").alias("centre"), F.col("c.size").alias("centre_size"), F.col("c.common").alias("centre_common"), F.col("c.root").alias("centre_root"))
+        centres = centres.select("key", F.col("c.node").alias("centre"), *[F.col(f"c.{f}").alias(f"centre_{f}") for f in ("size", "common", *PARITIES, "root")])
         centres = materialise(centres, "near-centres")
-        most = F.least("common", "centre_common")
-        fits = (F.col("root") != F.col("centre_root")) & (most >= similarity * (F.col("size") + F.col("centre_size") - most))
+        both = F.col("size") + F.col("centre_size")
+        differ = reduce(Column.__add__, [F.bit_count(F.col(p).bitwiseXOR(F.col(f"centre_{p}"))) for p in PARITIES])
+        apart = both - F.col("common") - F.col("centre_common") + differ
+        most = F.least(F.col("common").cast("double"), F.col("centre_common").cast("double"), (both - apart) / 2)
+        fits = (F.col("root") != F.col("centre_root")) & (most >= similarity * (both - most))
         pairs = members.join(centres, "key").where(fits).select(F.least("node", "centre").alias("x"), F.greatest("node", "centre").alias("y")).distinct()
         pairs = materialise(pairs if tested is None else pairs.join(tested, ["x", "y"], "left_anti"), "near-pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
@@ -359,7 +375,7 @@ def verified(members: DataFrame, sets: DataFrame, similarity: float, known: Data
         rest = members.join(done, ["key", "node"], "left_anti")
         if roots is not None:
             rest = rest.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = materialise(rest.select("key", "node", "size", "degree", "common", "root"), "near-rest")
+        rest = materialise(rest.select(columns), "near-rest")
         apart = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
         members, spread = materialise(rest.join(apart, "key"), "near-members"), spread * SPREAD
     return roots

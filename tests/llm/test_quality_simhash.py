@@ -238,3 +238,27 @@ def test_texts_that_lone_shingles_keep_apart_are_not_compared(spark, monkeypatch
     monkeypatch.setattr(simhash, "alike", counted)
     roots = {r.node: r.root for r in simhash.verified(members, frame, 0.8).collect()}
     assert roots == {100: 100, 101: 100} and sum(compared) == 1
+
+
+def test_texts_that_differ_in_shared_shingles_are_not_compared(spark, monkeypatch):
+    # one family: each lacks 15 of 100 shingles and has 15 others, none of them its own alone, so nearly all pairs are at 0.6 to 0.7
+    rng = random.Random(15)
+    sets = {}
+    for n in range(0, 80, 2):
+        more = range(1000 + 20 * n, 1015 + 20 * n)
+        sets |= {i: sorted([*rng.sample(range(100), 85), *more]) for i in (n, n + 1)}
+    sets |= {80: [*range(100)], 81: [*range(99)], 82: [*sets[0][1:], 5000], 83: [*sets[0][2:], 5000]}
+    members = spark.createDataFrame([(1, n, len(s), 83) for n, s in sets.items()], "key long, node long, size int, degree long")
+    frame = spark.createDataFrame([(n, s) for n, s in sets.items()], "node long, shingles array<long>")
+    compared = []
+    real = simhash.alike
+
+    def counted(pairs, sets, similarity):
+        compared.append(pairs.count())
+        return real(pairs, sets, similarity)
+
+    monkeypatch.setattr(simhash, "alike", counted)
+    similar = lambda a, b: len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))
+    roots = {r.node: r.root for r in simhash.verified(members, frame, 0.8).collect()}
+    assert [roots.get(n, n) for n in range(84)] == plain_groups([sets[n] for n in range(84)], similar)
+    assert sum(compared) < 4 * len(sets)
