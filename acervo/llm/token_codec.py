@@ -33,11 +33,14 @@ SLOTS1, SLOTS2 = 1 << SLOT_BITS1, 1 << SLOT_BITS2
 #: Confidence of a prediction goes up to this; a weight moves by this power of two of what it was off.
 SURE, SPEED = 15, 5
 
-U = np.uint64
-ONE, EIGHT = np.uint32(1), np.uint32(8)
-FULL, LEAST, MOST, OPEN = (np.int32(v) for v in (1 << CHOICE, 1, (1 << CHOICE) - 64, (1 << CHOICE) - 32))
-LOW_BITS, RANGE_LEAST, DIGIT = U(48), U(1 << 32), U(16)
-LOW_MASK = U((1 << 48) - 1)
+FULL, OPEN = np.int32(1 << CHOICE), np.int32((1 << CHOICE) - 32)
+#: A weight moves towards the first of these after a miss and the second after a hit, so it stays between 1 and FULL - 64.
+MISS, HIT = 1, (1 << CHOICE) - 64 + (1 << SPEED) - 1
+#: What a slot changes by, by its confidence after a miss, then after a hit.
+STEPS = np.array([-((c + 1) >> 1) for c in range(SURE + 1)] + [int(c < SURE) for c in range(SURE + 1)]).astype(np.uint32)
+#: The coder's numbers are whole and below 2**50, so doubles hold them exactly, and their quotients are never rounded up to the next whole number.
+TOP, LEAST, DIGIT = 2.0**48, 2.0**32, 2.0**16
+TO_CHOICE, TO_ORDER0 = 2.0**-CHOICE, 2.0**-ORDER0
 
 
 def order0_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,40 +55,51 @@ def order0_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Id predictions of order 1 and 2 for each lane, and the weights that mix them, by their confidence so far.
 
-    A slot holds an id and, in its low byte, how sure the prediction is.
+    A slot holds an id and, in its low byte, how sure the prediction is. The first row of each pair is order 1's.
     """
 
     def __init__(self, lanes: int) -> None:
-        self.base1 = np.arange(lanes, dtype=np.int64) * SLOTS1
-        self.base2 = np.arange(lanes, dtype=np.int64) * SLOTS2
-        self.slots1, self.slots2 = np.zeros(lanes * SLOTS1, np.uint32), np.zeros(lanes * SLOTS2, np.uint32)
+        lane = np.arange(lanes, dtype=np.int64)
+        self.base = np.stack([lane * SLOTS1, lanes * SLOTS1 + lane * SLOTS2])
+        self.slots = np.zeros(lanes * (SLOTS1 + SLOTS2), np.uint32)
         levels = SURE + 1
-        self.level = np.arange(lanes, dtype=np.int64) * levels
-        start = (((np.arange(levels) + 0.2) / (levels + 2)) * (1 << CHOICE)).astype(np.int32)
-        self.weight1, self.weight2 = np.tile(start, lanes), np.tile(start, lanes)
+        self.level = np.stack([lane, lanes + lane]) * levels
+        self.weight = np.tile((((np.arange(levels) + 0.2) / (levels + 2)) * (1 << CHOICE)).astype(np.int32), 2 * lanes)
         self.last, self.before = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-
-    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For the first ``n`` lanes the ids of order 2 and 1 and their shares of 2**CHOICE; the rest is order 0's."""
-        last = self.last[:n]
-        self.at1 = self.base1[:n] + ((last * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS1))
-        self.at2 = self.base2[:n] + ((last * np.uint32(0x85EBCA6B) + self.before[:n] * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOT_BITS2))
-        self.s1, self.s2 = self.slots1.take(self.at1), self.slots2.take(self.at2)
-        self.c1, self.c2 = self.s1 & np.uint32(0xFF), self.s2 & np.uint32(0xFF)
-        self.k1, self.k2 = self.level[:n] + self.c1, self.level[:n] + self.c2
-        self.w1, self.w2 = self.weight1.take(self.k1), self.weight2.take(self.k2)
-        share2 = np.clip(self.w2, LEAST, MOST)
-        share1 = (((OPEN - share2) * self.w1) >> CHOICE) + 1
-        return self.s2 >> EIGHT, self.s1 >> EIGHT, share2, share1
-
-    def learn(self, n: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """Take in the ids that came; ``hit1`` is that order 1 would have been right."""
-        self.weight2[self.k2] = self.w2 + ((np.where(hit2, FULL, 0) - self.w2) >> SPEED)
+        self.hash = np.empty((2, lanes), np.uint32)
+
+    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For the first ``n`` lanes the ids of order 1 and 2, order 2's share of 2**CHOICE, and both orders' share; the rest is order 0's."""
+        last, hashed = self.last[:n], self.hash[:, :n]
+        np.right_shift(last * np.uint32(0x9E3779B1), np.uint32(32 - SLOT_BITS1), out=hashed[0])
+        np.right_shift(last * np.uint32(0x85EBCA6B) + self.before[:n] * np.uint32(0xC2B2AE35), np.uint32(32 - SLOT_BITS2), out=hashed[1])
+        self.at = self.base[:, :n] + hashed
+        self.s = self.slots.take(self.at)
+        self.c = self.s & np.uint32(0xFF)
+        self.k = self.level[:, :n] + self.c
+        self.w = self.weight.take(self.k)
+        share2 = self.w[1]
+        both = OPEN - share2
+        both *= self.w[0]
+        both >>= CHOICE
+        both += share2
+        both += 1
+        return self.s >> np.uint32(8), share2, both
+
+    def learn(self, n: int, x: np.ndarray, hits: np.ndarray) -> None:
+        """Take in the ids that came; ``hits`` is which orders would have been right."""
+        move = hits * np.int32(HIT - MISS)
+        move -= self.w
+        move += MISS
+        move >>= SPEED
         # order 1 is asked only where order 2 fails
-        self.weight1[self.k1] = self.w1 + (np.where(hit2, 0, np.where(hit1, FULL, 0) - self.w1) >> SPEED)
-        new = x << EIGHT
-        self.slots2[self.at2] = np.where(hit2, self.s2 + (self.c2 < SURE), np.where(self.c2 > 1, self.s2 - (self.c2 + ONE >> ONE), new + ONE))
-        self.slots1[self.at1] = np.where(hit1, self.s1 + (self.c1 < SURE), np.where(self.c1 > 1, self.s1 - (self.c1 + ONE >> ONE), new + ONE))
+        move[0] *= ~hits[1]
+        move += self.w
+        self.weight[self.k] = move
+        slots = self.s + STEPS.take(self.c + hits * np.uint32(SURE + 1))
+        new = x << np.uint32(8)
+        new += np.uint32(1)
+        self.slots[self.at] = np.where((self.c < 2) > hits, new, slots)
         self.before[:n] = self.last[:n]
         self.last[:n] = x
 
@@ -99,51 +113,65 @@ def encode_blocks(blocks: list[np.ndarray], kinds: np.ndarray, shares: np.ndarra
     for i, b in enumerate(blocks):
         ids[: len(b), i] = b
     shortest = int(length[-1])
-    widths = shares.astype(U)
-    starts = np.cumsum(widths) - widths
-    where = np.zeros(int(kinds[-1]) + 1, np.int32)
-    where[kinds] = np.arange(len(kinds))
+    widths0 = np.zeros(int(kinds[-1]) + 1)
+    widths0[kinds] = shares
+    starts0 = np.cumsum(widths0) - widths0
     model = Model(lanes)
-    low, span = np.zeros(lanes, U), np.full(lanes, 1 << 48, U)
-    digits = np.zeros((lanes, steps * 3 + 8), np.int32)  # a token takes 32 bits at most
-    used = np.ones(lanes, np.int64)  # the first digit can only take a carry
+    low, span = np.zeros(lanes), np.full(lanes, TOP)
+    used = np.zeros(lanes, np.int64)
+    # digits and the lanes they belong to as they come, and the places that a carry went to
+    digits: list[np.ndarray] = []
+    owners: list[np.ndarray] = []
+    carries: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def put(some: np.ndarray) -> None:
+        now = low[some]
+        digit = np.floor(now * (1 / LEAST))
+        digits.append(digit.astype(np.int32))
+        owners.append(some.astype(np.int32))
+        used[some] += 1
+        low[some] = (now - digit * LEAST) * DIGIT
 
     for t in range(steps):
         n = int(np.searchsorted(-length, -t, "left")) if t >= shortest else lanes
         x = ids[t, :n]
-        p2, p1, share2, share1 = model.predict(n)
-        hit2, hit1 = p2 == x, p1 == x
-        both = share2 + share1
+        guesses, share2, both = model.predict(n)
+        hits = guesses == x
+        hit1, hit2 = hits
+        missed = ~(hit1 | hit2)
         start = np.where(hit2, 0, np.where(hit1, share2, both))
         end = np.where(hit2, share2, np.where(hit1, both, FULL))
-        part = span[:n] >> U(CHOICE)
-        low[:n] += part * start.astype(U)
-        span[:n] = part * (end - start).astype(U)
+        part = np.floor(span[:n] * TO_CHOICE)
+        now = low[:n]
+        now += part * start
+        wide = part * (end - start)
         # a choice leaves 2**20 of a lane's span at least, so order 0 can follow before digits go out
-        missed = np.flatnonzero(~(hit2 | hit1))
-        if len(missed):
-            k = where[x[missed]]
-            part = span[missed] >> U(ORDER0)
-            low[missed] += part * starts[k]
-            span[missed] = part * widths[k]
-        if len(over := np.flatnonzero(low > LOW_MASK)):
-            digits[over, used[over] - 1] += 1
-            low[over] &= LOW_MASK
-        while len(short := np.flatnonzero(span < RANGE_LEAST)):
-            now, at = low[short], used[short]
-            digits[short, at] = now >> U(32)
-            used[short] = at + 1
-            low[short] = (now << DIGIT) & LOW_MASK
-            span[short] <<= DIGIT
-        model.learn(n, x, hit2, hit1)
+        part = np.floor(wide * TO_ORDER0)
+        part *= missed
+        now += part * starts0.take(x)
+        span[:n] = np.where(missed, part * widths0.take(x), wide)
+        if len(over := np.flatnonzero(now >= TOP)):
+            carries.append((over, used[over] - 1))
+            low[over] -= TOP
+        short = np.flatnonzero(span < LEAST)
+        while len(short):
+            put(short)
+            wide = span[short] * DIGIT
+            span[short] = wide
+            short = short[wide < LEAST]
+        model.learn(n, x, hits)
     for _ in range(3):
-        digits[np.arange(lanes), used] = low >> U(32)
-        used += 1
-        low = (low << DIGIT) & LOW_MASK
-    while len(found := np.argwhere(digits > 0xFFFF)):
-        digits[found[:, 0], found[:, 1]] -= 1 << 16
-        digits[found[:, 0], found[:, 1] - 1] += 1
-    return [digits[i, 1 : used[i]].astype(">u2").tobytes() for i in range(lanes)]
+        put(np.arange(lanes))
+    owner = np.concatenate(owners)
+    flat = np.concatenate(digits)[np.argsort(owner.astype(np.uint16) if lanes <= 1 << 16 else owner, kind="stable")]
+    ends = np.cumsum(used)
+    for lane, at in carries:
+        flat[ends[lane] - used[lane] + at] += 1
+    while len(found := np.flatnonzero(flat > 0xFFFF)):
+        flat[found] -= 1 << 16
+        flat[found - 1] += 1
+    raw = flat.astype(">u2").tobytes()
+    return [raw[2 * a : 2 * b] for a, b in zip((ends - used).tolist(), ends.tolist(), strict=True)]
 
 
 def decode_blocks(coded: list[bytes], length: list[int], kinds: np.ndarray, shares: np.ndarray) -> list[np.ndarray]:
@@ -151,46 +179,47 @@ def decode_blocks(coded: list[bytes], length: list[int], kinds: np.ndarray, shar
     lanes = len(coded)
     sizes = np.array(length)
     steps = int(sizes[0])
-    widest = max(len(c) for c in coded) // 2 + 4
-    digits = np.zeros((lanes, widest), U)
-    for i, c in enumerate(coded):
-        digits[i, : len(c) // 2] = np.frombuffer(c, ">u2")
+    digits = np.frombuffer(b"".join([*coded, bytes(8)]), ">u2").astype(np.uint16)
+    used = np.cumsum([0, *map(len, coded[:-1])]) // 2
+    last = len(digits) - 1
     shortest = int(sizes[-1])
-    widths = shares.astype(U)
-    starts = np.cumsum(widths) - widths
-    symbol = np.repeat(np.arange(len(kinds), dtype=np.int32), shares)
+    widths0 = shares.astype(np.float64)
+    starts0 = np.cumsum(widths0) - widths0
+    symbol = np.repeat(np.arange(len(kinds), dtype=np.uint16 if len(kinds) <= 1 << 16 else np.int32), shares)
     model = Model(lanes)
-    value = digits[:, 0] << U(32) | digits[:, 1] << U(16) | digits[:, 2]
-    used = np.full(lanes, 3)
-    span = np.full(lanes, 1 << 48, U)
+    value = (digits[used] * DIGIT + digits[used + 1]) * DIGIT + digits[used + 2]
+    used += 3
+    span = np.full(lanes, TOP)
     ids = np.zeros((steps, lanes), np.uint32)
 
     for t in range(steps):
         n = int(np.searchsorted(-sizes, -t, "left")) if t >= shortest else lanes
-        p2, p1, share2, share1 = model.predict(n)
-        both = share2 + share1
-        part = span[:n] >> U(CHOICE)
-        at = np.minimum((value[:n] // part).astype(np.int32), FULL - 1)
+        guesses, share2, both = model.predict(n)
+        part = np.floor(span[:n] * TO_CHOICE)
+        at = np.minimum((value[:n] / part).astype(np.int32), FULL - 1)
         first, second = at < share2, at < both
         start = np.where(first, 0, np.where(second, share2, both))
         end = np.where(first, share2, np.where(second, both, FULL))
-        value[:n] -= part * start.astype(U)
-        span[:n] = part * (end - start).astype(U)
-        x = np.where(first, p2, p1)
+        value[:n] -= part * start
+        span[:n] = part * (end - start)
+        x = np.where(first, guesses[1], guesses[0])
         missed = np.flatnonzero(~second)
         if len(missed):
-            part = span[missed] >> U(ORDER0)
-            k = symbol[np.minimum((value[missed] // part).astype(np.int64), (1 << ORDER0) - 1)]
-            x[missed] = kinds[k]
-            value[missed] -= part * starts[k]
-            span[missed] = part * widths[k]
-        while len(short := np.flatnonzero(span < RANGE_LEAST)):
+            part, now = np.floor(span[missed] * TO_ORDER0), value[missed]
+            k = symbol.take(np.minimum((now / part).astype(np.int64), (1 << ORDER0) - 1))
+            x[missed] = kinds.take(k)
+            value[missed] = now - part * starts0.take(k)
+            span[missed] = part * widths0.take(k)
+        short = np.flatnonzero(span < LEAST)
+        while len(short):
             at = used[short]
-            value[short] = value[short] << DIGIT | digits[short, np.minimum(at, widest - 1)]
+            value[short] = value[short] * DIGIT + digits.take(np.minimum(at, last))
             used[short] = at + 1
-            span[short] <<= DIGIT
+            wide = span[short] * DIGIT
+            span[short] = wide
+            short = short[wide < LEAST]
         ids[t, :n] = x
-        model.learn(n, x, first, p1 == x)
+        model.learn(n, x, np.stack([guesses[0] == x, first]))
     return [np.ascontiguousarray(ids[: sizes[i], i]) for i in range(lanes)]
 
 
@@ -249,6 +278,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = WORD_BPE, end: int
         part = TaskContext.get().partitionId()
         encoder = kept_by_worker(("words", tokenizer), lambda: WordEncoder(tokenizer))
         most = BLOCK * SEGMENT
+        last = np.array([end], np.uint32)
         held: list[np.ndarray] = []
         index: list[tuple[int, int, int, int]] = []
         size, first, segment, row = 0, 0, 0, 0
@@ -265,13 +295,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = WORD_BPE, end: int
 
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
-            for lo in range(0, len(texts), 256):
-                some = [t or b"" for t in texts[lo : lo + 256].to_pylist()]
-                for doc_id, ids in zip(batch.column(0)[lo : lo + 256].to_pylist(), encoder.encode_all(some), strict=True):
-                    ids = np.append(ids, np.uint32(end))
-                    held.append(ids)
-                    index.append((row, doc_id is not None, doc_id or 0, len(ids)))
-                    size += len(ids)
+            for lo in range(0, len(texts), 1024):
+                some = [t or b"" for t in texts[lo : lo + 1024].to_pylist()]
+                for doc_id, ids in zip(batch.column(0)[lo : lo + 1024].to_pylist(), encoder.encode_all(some), strict=True):
+                    held += [ids, last]
+                    index.append((row, doc_id is not None, doc_id or 0, len(ids) + 1))
+                    size += len(ids) + 1
                     if size >= most:
                         yield close()
                     row += 1

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import json
 import sys
-from array import array
 from collections.abc import Callable
 from types import ModuleType
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import regex
 import tiktoken
 from tokenizers import Tokenizer
@@ -18,6 +18,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Words after which a task starts a new generation of what it remembers; one older generation is kept.
 REMEMBERED = 300_000
+#: Bytes of texts cut together.
+TOGETHER = 1 << 21
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -61,27 +63,26 @@ def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
 class Remembered(dict):
     """Answers of a function, made when first asked for; those of an older generation are taken over when they are asked for again."""
 
-    def __init__(self, make: Callable[[bytes], bytes], older: dict[bytes, bytes] | None = None) -> None:
+    def __init__(self, make: Callable[[bytes], np.ndarray], older: dict[bytes, np.ndarray] | None = None) -> None:
         self.make, self.older = make, older or {}
 
-    def __missing__(self, word: bytes) -> bytes:
-        found = self[word] = self.older.get(word) or self.make(word)
+    def __missing__(self, word: bytes) -> np.ndarray:
+        found = self.older.get(word)
+        found = self[word] = self.make(word) if found is None else found
         return found
 
 
 class WordEncoder:
-    """Ids of a BPE with word ends that drops white space and looks at nothing beyond it: each distinct word is encoded once.
+    """Ids of a BPE with word ends that drops white space and looks at nothing beyond it.
 
-    Plain Latin words, whose case and letters every Unicode version agrees on, are cut and merged here: the merges of the
-    file are in order of their ids, and a byte that no text has stands for the end of a word. All others go to
-    the tokenizers library.
+    Plain Latin words, whose case and letters every Unicode version agrees on, are cut here, those of many texts together, and merged in one call: the
+    merges of the file are in order of their ids, and a space, which no piece of a word has, stands for its end. All others go to
+    the tokenizers library, each distinct one once.
     """
 
-    WORD_END = b"\xff"
-    PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
     #: Letters before this one are plain Latin; none of them composes with another.
-    BEYOND = "\u0250"
-    MARKS = ".,;:!?#$%&*"
+    BEYOND = 0x250
+    SPACE, LETTER, DIGIT, OTHER, ODD = range(5)
 
     def __init__(self, path: str = WORD_BPE) -> None:
         self.tokenizer = Tokenizer.from_file(path)
@@ -90,34 +91,95 @@ class WordEncoder:
         letters = byte_of_letter()
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         suffix = spec["model"]["end_of_word_suffix"]
-        ranks = {}
+        ranks, self.closes = {}, np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
         for token, i in spec["model"]["vocab"].items():
             if token not in special:
                 body = token.removesuffix(suffix)
-                ranks[bytes(letters[c] for c in body) + (self.WORD_END if body != token else b"")] = i
-        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens=special)._encode_single_piece
+                self.closes[i] = body != token
+                ranks[bytes(letters[c] for c in body) + (b" " if body != token else b"")] = i
+        self.merge = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens=special)
+        plain = list(map(chr, range(self.BEYOND)))
+        kinds = [next((k for k, p in enumerate((r"\s", r"\p{L}", r"\p{N}")) if regex.match(p, c)), self.OTHER) if len(c.lower()) == 1 else self.ODD for c in plain]
+        self.kinds = np.array([*kinds, self.ODD], np.uint8)
+        self.lower = np.array([*(ord(c.lower()[0]) for c in plain), self.BEYOND], np.uint16)
         self.known = Remembered(self.ids_of)
 
-    def ids_of(self, word: bytes) -> bytes:
-        """The ids of one word, as bytes of unsigned 32-bit integers."""
-        lower = word.lower()
-        if lower.isalpha():  # ASCII letters only
-            return array("I", self.merge(lower + self.WORD_END)).tobytes()
-        text = word.decode()
-        if b"<|" in word or not word.isascii() and max(text) >= self.BEYOND:
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        text = text.lower()
-        letters = text.rstrip(self.MARKS)
-        if letters.isalpha():  # the letters of every script and the marks after them
-            marks = text[len(letters) :].encode()
-            ids = self.merge(letters.encode() + self.WORD_END)
-            return array("I", ids + self.merge(marks + self.WORD_END) if marks else ids).tobytes()
-        ids = []
-        for piece in self.PIECES.findall(text):
-            ids += self.merge(piece.encode() + self.WORD_END)
-        return array("I", ids).tobytes()
+    def ids_of(self, word: bytes) -> np.ndarray:
+        """The ids of one word, by the library."""
+        return np.array(self.tokenizer.encode(word.decode("utf-16-le"), add_special_tokens=False).ids, np.uint32)
+
+    def contractions(self, units: np.ndarray, kind: np.ndarray, cut: np.ndarray) -> None:
+        """Where a piece begins with an apostrophe, the letters ``s``, ``t``, ``re``, ``ve``, ``m``, ``ll`` or ``d`` after it belong to it and end it."""
+        marks = np.flatnonzero((units == ord("'")) & (kind == self.OTHER))
+        marks = marks[(marks == 0) | (kind[marks - 1] != self.OTHER)]
+        first, second = units[marks + 1], units[np.minimum(marks + 2, len(units) - 1)]
+        one = np.isin(first, list(map(ord, "stmd")))
+        two = np.isin(first, list(map(ord, "rv"))) & (second == ord("e")) | (first == ord("l")) & (second == ord("l"))
+        cut[marks[one | two]] = False
+        cut[marks[one] + 1] = True
+        cut[marks[two] + 2] = True
+
+    def merged(self, pieces: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces (UTF-16, a space after each), and their bounds in these; each distinct piece is merged once."""
+        bounds = np.concatenate([[0], 2 * ends]).astype(np.int64)
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(pieces)]).dictionary_encode()
+        # the values of the dictionary lie one after another
+        _, offsets, values = coded.dictionary.buffers()
+        distinct = values.to_pybytes()[: np.frombuffer(offsets, np.int64)[len(coded.dictionary)]] if len(ends) else b""
+        some = self.merge.encode_to_numpy(distinct.decode("utf-16-le"), disallowed_special=()).astype(np.uint32, copy=False)
+        closed = np.concatenate([[0], np.flatnonzero(self.closes.take(some)) + 1])
+        which = coded.indices.to_numpy()
+        sizes = np.diff(closed).take(which)
+        stops = np.cumsum(sizes)
+        ids = some.take(np.repeat(closed.take(which) - stops + sizes, sizes) + np.arange(sizes.sum()))
+        return ids, np.concatenate([[0], stops])
+
+    def encode_some(self, texts: list[bytes]) -> list[np.ndarray]:
+        coded = [t.decode().encode("utf-16-le") + b"\n\0" for t in texts]
+        raw = np.frombuffer(b"".join(coded), "<u2")
+        units = np.minimum(raw, self.BEYOND)
+        kind, units = self.kinds.take(units), self.lower.take(units)
+        odd = kind == self.ODD
+        odd[:-1] |= (raw[:-1] == ord("<")) & (raw[1:] == ord("|"))
+        starts, words = np.zeros(0, np.int64), []
+        if odd.any():
+            breaks = np.concatenate([[-1], np.flatnonzero(kind == self.SPACE)])
+            after = np.unique(np.searchsorted(breaks, np.flatnonzero(odd)))
+            starts, stops = breaks[after - 1] + 1, breaks[after]
+            for a, b in zip(starts.tolist(), stops.tolist(), strict=True):
+                words.append(self.known[raw[a:b].tobytes()])
+                kind[a:b] = self.SPACE
+            # one letter holds the place of the word
+            kind[starts], units[starts] = self.LETTER, ord("x")
+        # a piece ends where the kind changes; digits stand alone
+        full = kind != self.SPACE
+        cut = kind == self.DIGIT
+        cut[:-1] |= full[:-1] & (kind[:-1] != kind[1:])
+        self.contractions(units, kind, cut)
+        pieces = np.repeat(units, full.view(np.uint8) + cut.view(np.uint8))
+        ends = np.flatnonzero(cut[full]) + np.arange(1, np.count_nonzero(cut) + 1)
+        pieces[ends] = ord(" ")
+        ids, closed = self.merged(pieces, ends + 1)
+        first = np.cumsum([0, *map(len, coded[:-1])]) // 2
+        stops = closed[np.cumsum(np.add.reduceat(cut, first, dtype=np.int64))]
+        if words:
+            place = np.cumsum(cut)[starts] - 1
+            gone = closed[place]
+            longer = np.concatenate([[0], np.cumsum(list(map(len, words))) - np.arange(1, len(words) + 1)])
+            parts = np.split(ids, gone)
+            ids = np.concatenate([parts[0], *(x for w, p in zip(words, parts[1:], strict=True) for x in (w, p[1:]))])
+            stops = stops + longer[np.searchsorted(gone, stops)]
+        return np.split(ids, stops[:-1])
 
     def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.known = Remembered(self.ids_of, dict(self.known))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, t.split())), np.uint32) for t in texts]
+        out: list[np.ndarray] = []
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                out += self.encode_some(some)
+                some, size = [], 0
+        return out + (self.encode_some(some) if some else [])

@@ -60,6 +60,19 @@ def check_packing(rows: list, texts: list) -> None:
     assert set(by_id) == {i for i, _ in texts}
 
 
+def test_words_of_many_texts_are_merged_in_one_call_each_piece_once(monkeypatch):
+    library, encoder = Tokenizer.from_file(tokens.WORD_BPE), tokens.WordEncoder()
+    rng = np.random.default_rng(3)
+    letters = [*map(chr, range(1, 0x250)), *"''stmdrvel  \n<|aB12.,;" * 9, *"\u6f22\u212a\u1e9e\u0130\u0301\u2019\U0001f600", "<|endoftext|>"]
+    texts = ["".join(letters[i] for i in rng.integers(0, len(letters), n)) for n in rng.integers(0, 60, 400)] + ["two words, two", ""]
+    merge, seen = encoder.merge.encode_to_numpy, []
+    monkeypatch.setattr(encoder.merge, "encode_to_numpy", lambda text, **k: seen.append(text.split(" ")) or merge(text, **k))
+    got = encoder.encode_all([t.encode() for t in texts])
+    assert [x.tolist() for x in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(seen) == 1 and len(set(seen[0])) == len(seen[0])
+    assert encoder.encode_all([b"", b" \n"])[1].tolist() == [] and encoder.encode_all([]) == []
+
+
 def test_pack_odd_rows(odd, empty):
     check_packing(packing.pack(odd).collect(), [(r.doc_id, r.text) for r in odd.collect()])
     assert packing.pack(empty).count() == 0
