@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ BACK, LANES, WINDOW = 32, 256, 64
 RATE = 0.1
 #: Documents scored together.
 TOGETHER = 512
+#: Inputs with more rows than this in a window are summed one by one.
+FREQUENT = 16
 #: Rounds, each over its share of the training documents (every document is in one), and tokens that a task trains on before it reads on.
 ROUNDS, ROUND_TOKENS = 2, 1 << 20
 #: Passes over what a task holds, for a corpus of any size.
@@ -40,10 +44,63 @@ HELD_WORDS = 300_000
 CHUNK = 4096
 
 END = 0
+#: exp(x) is 2 to the power of x times this, which numpy computes in half the time.
+BITS = np.float32(1 / np.log(2))
 
 
-def tail_class(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % TAIL_CLASSES
+#: Bytes of text whose words are cut together.
+PIECE = 1 << 22
+SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+
+
+@cache
+def tail_table() -> np.ndarray:
+    """Classes by the last two bytes of a word, then by the only byte of one of one byte."""
+    ends = [*(bytes([a, b]) for a in range(256) for b in range(256)), *(bytes([b]) for b in range(256))]
+    return np.array([zlib.crc32(end) % TAIL_CLASSES for end in ends])
+
+
+def ends_and_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values of a binary array without nulls begin and end (one more than values), and their bytes."""
+    if not len(values):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    _, ends, data = values.buffers()
+    at = np.frombuffer(ends, np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+    return at - at[0], np.frombuffer(data or b"", np.uint8)[at[0] : at[-1]]
+
+
+def tail_classes(words: pa.Array) -> np.ndarray:
+    at, data = ends_and_bytes(words)
+    last = data[at[1:] - 1].astype(np.int64)
+    longer = np.diff(at) > 1
+    return tail_table()[np.where(longer, data[at[1:] - 1 - longer] * np.int64(256), 1 << 16) + last]
+
+
+def pieces(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The words of texts (null: empty), A-Z lower-cased, and how many each text has: for runs of texts of some megabytes."""
+    texts = texts.cast(pa.binary()).fill_null(b"")
+    at, _ = ends_and_bytes(texts)
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(at, at[begin] + PIECE, "right")) - 1)
+        yield cut(texts.slice(begin, end - begin))
+        begin = end
+
+
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    at, data = ends_and_bytes(texts)
+    # a space is put behind each text, so that a word ends with it
+    solid = np.zeros(len(data) + len(texts) + 1, bool)
+    held = np.ones(len(solid), bool)
+    held[at + np.arange(len(at))] = False
+    solid[held] = ~SPACE[data]
+    turns = np.flatnonzero(solid[1:] != solid[:-1])
+    starts, size = turns[::2], turns[1::2] - turns[::2]
+    ends = np.zeros(len(size) + 1, np.int32)
+    np.cumsum(size, out=ends[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(LOWER[data[solid[held]]])])
+    return words, np.diff(np.searchsorted(starts, at + np.arange(len(at))))
 
 
 def held_out(docs: DataFrame) -> DataFrame:
@@ -58,20 +115,24 @@ def word_counts(train: DataFrame) -> DataFrame:
     """``word, c``: how often each word occurs in all of ``train``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held: list[pa.Table] = []
+
+        def together() -> pa.Table:
+            return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
-        def out() -> pa.RecordBatch:
-            words = pa.array(list(seen), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+        def out() -> list[pa.RecordBatch]:
+            return held.pop().cast(pa.schema([("word", pa.string()), ("n", pa.int64())])).to_batches()
 
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()):
-                seen.update((text.as_py() or b"").lower().split())
-                if len(seen) > HELD_WORDS:
-                    yield out()
-                    seen.clear()
-        if seen:
-            yield out()
+            for words, _ in pieces(batch.column(0)):
+                held.append(pa.table(pc.value_counts(words).flatten(), ["word", "n"]))
+                if sum(map(len, held)) > HELD_WORDS:
+                    held[:] = [together()]
+                    if len(held[0]) > HELD_WORDS:
+                        yield from out()
+        if held:
+            held[:] = [together()]
+            yield from out()
 
     return train.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
@@ -129,43 +190,92 @@ class Network:
         return net
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+class Room:
+    """Arrays by name that one window after another uses, so that their memory is not given back and asked for each time."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int, dtype: object = np.float32) -> np.ndarray:
+        n = math.prod(shape)
+        got = self.held.get(name)
+        if got is None or len(got) < n or got.dtype != dtype:
+            got = self.held[name] = np.empty(n, dtype)
+        return got[:n].reshape(shape)
 
 
 def class_of(ids: np.ndarray) -> np.ndarray:
     return np.where(ids < OWN, ids // CLASS_WORDS, WORD_CLASSES + ids - OWN)
 
 
+def moving(net: Network) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the inputs, and of the state by part, for ``move``: those of the gates so that a power of two is exp(-x)."""
+    inputs, parts = net.inputs.copy(), net.state.reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2).copy()
+    inputs[:, : 2 * HIDDEN] *= -BITS
+    parts[:2] *= -BITS
+    return inputs, parts
+
+
+def move(weights: tuple[np.ndarray, np.ndarray], x: np.ndarray, h: np.ndarray, u: np.ndarray, n: np.ndarray, new: np.ndarray) -> None:
+    """One gated step into ``u`` (reset, update, the state's part of the candidate), ``n`` (candidate) and ``new`` (the new state)."""
+    g = weights[0].take(x, axis=0).reshape(-1, 3, HIDDEN).transpose(1, 0, 2)
+    np.matmul(h, weights[1], out=u)
+    gates = u[:2]
+    gates += g[:2]
+    np.exp2(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    np.multiply(u[0], u[2], out=n)
+    n += g[2]
+    np.tanh(n, out=n)
+    np.subtract(h, n, out=new)
+    new *= u[1]
+    new += n
+
+
 def step(net: Network, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
     """One gated step: reset, update, candidate, the state's part of the candidate, and the new state."""
-    g, u = net.inputs[x], h @ net.state
-    gates = sigmoid(g[:, : 2 * HIDDEN] + u[:, : 2 * HIDDEN])
-    r, z = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    back = u[:, 2 * HIDDEN :]
-    n = np.tanh(g[:, 2 * HIDDEN :] + r * back)
-    return r, z, n, back, n + z * (h - n)
-
-
-def by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """The word classes among the targets, each with its rows."""
-    rows = np.flatnonzero(targets < OWN)
-    kinds = targets[rows] // CLASS_WORDS
-    order = np.argsort(kinds, kind="stable")
-    kinds, rows = kinds[order], rows[order]
-    cuts = np.flatnonzero(np.diff(kinds)) + 1
-    for part, kind in zip(np.split(rows, cuts), kinds[np.concatenate([[0], cuts])] if len(kinds) else [], strict=False):
-        yield int(kind), part
-
-
-def log_probabilities(net: Network, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    u, n, new = np.empty((3, *h.shape), h.dtype), np.empty_like(h), np.empty_like(h)
+    move(moving(net), x, h, u, n, new)
+    return u[0], u[1], n, u[2], new
+
+
+def by_class(targets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of the targets by word class, those without one last, and each class's runs in it: class, begin, end."""
+    kinds = np.minimum(targets // CLASS_WORDS, WORD_CLASSES).astype(np.int16)
+    ends = np.cumsum(np.bincount(kinds, minlength=WORD_CLASSES)[:WORD_CLASSES]).tolist()
+    runs = [(k, a, min(a + TOGETHER, e)) for k, (b, e) in enumerate(zip([0, *ends], ends, strict=False)) for a in range(b, e, TOGETHER)]
+    return np.argsort(kinds, kind="stable"), runs
+
+
+def outputs(net: Network) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of classes and of words with the biases as a last row, for states that end with a one, and powers of two."""
+    return np.concatenate([net.classes, net.class_bias[None]]) * BITS, np.concatenate([net.words, net.word_bias[:, None]], axis=1) * BITS
+
+
+def log_probabilities(net: Network, h: np.ndarray, targets: np.ndarray, room: Room | None = None) -> np.ndarray:
     """ln P(class | h), plus ln P(word | class, h) for words with outputs of their own."""
-    logits = h @ net.classes + net.class_bias
-    got = logits[np.arange(len(h)), class_of(targets)]
-    out = (got - np.log(np.exp(logits).sum(1))).astype(np.float64)
-    for k, rows in by_class(targets):
-        logits = h[rows] @ net.words[k] + net.word_bias[k]
-        out[rows] += logits[np.arange(len(rows)), targets[rows] % CLASS_WORDS] - np.log(np.exp(logits).sum(1))
+    room = room or Room()
+    order, runs = by_class(targets)
+    target, (classes, words) = targets[order], outputs(net)
+    states = room("sorted", len(h), HIDDEN + 1, dtype=h.dtype)
+    states[:, :HIDDEN], states[:, HIDDEN] = h.take(order, axis=0, out=room("taken", *h.shape, dtype=h.dtype), mode="clip"), 1
+    got, total = np.zeros((2, len(h)), h.dtype), np.ones((2, len(h)), h.dtype)
+    every, ones = np.arange(TOGETHER), np.ones(max(classes.shape[1], CLASS_WORDS), h.dtype)
+
+    def softmax(layer: int, begin: int, end: int, weights: np.ndarray, at: np.ndarray) -> None:
+        wide = weights.shape[1]
+        logits = np.matmul(states[begin:end], weights, out=room("logits", end - begin, wide, dtype=h.dtype))
+        got[layer, begin:end] = logits[every[: end - begin], at]
+        np.matmul(np.exp2(logits, out=logits), ones[:wide], out=total[layer, begin:end])
+
+    kinds, places = class_of(target), target % CLASS_WORDS
+    for a in range(0, len(h), TOGETHER):
+        softmax(0, a, min(a + TOGETHER, len(h)), classes, kinds[a : a + TOGETHER])
+    for k, a, b in runs:
+        softmax(1, a, b, words[k], places[a:b])
+    out = np.empty(len(h))
+    out[order] = (got / BITS - np.log(total)).astype(np.float64).sum(0)
     return out
 
 
@@ -174,89 +284,143 @@ def score_documents(net: Network, documents: list[np.ndarray]) -> np.ndarray:
     total = np.zeros(len(documents))
     length = np.array(list(map(len, documents)), np.int64)
     longest = np.argsort(-length, kind="stable")
+    weights, room = moving(net), Room()
     for at in range(0, len(longest), TOGETHER):
         group = longest[at : at + TOGETHER]
         size = length[group]
         flat = np.concatenate([documents[i] for i in group])
         first = np.cumsum(size) - size
-        h = np.zeros((len(group), HIDDEN), np.float32)
+        h, u, candidate = np.zeros((len(group), HIDDEN), np.float32), room("u", 3, len(group), HIDDEN), room("n", len(group), HIDDEN)
         x = np.full(len(group), END)
         for begin in range(0, int(size[0]), WINDOW):
-            states, targets, lanes = [], [], []
-            for t in range(begin, min(begin + WINDOW, int(size[0]))):
-                # lengths fall, so those still running come first
-                n = int(np.searchsorted(-size, -t, "left"))
-                h[:n] = step(net, x[:n], h[:n])[-1]
-                x[:n] = flat[first[:n] + t]
-                states.append(h[:n].copy())
-                targets.append(x[:n].copy())
-                lanes.append(np.arange(n))
-            lane = np.concatenate(lanes)
-            gained = log_probabilities(net, np.concatenate(states), np.concatenate(targets))
-            total[group] += np.bincount(lane, gained, len(group))
+            # lengths fall, so those still running come first
+            running = np.searchsorted(-size, -np.arange(begin, min(begin + WINDOW, int(size[0]))), "left")
+            upto = np.cumsum(running)
+            states = room("states", int(upto[-1]), HIDDEN)
+            targets, lanes = np.empty(upto[-1], np.int64), np.empty(upto[-1], np.int64)
+            for t, (n, end) in enumerate(zip(running.tolist(), upto.tolist(), strict=True), begin):
+                new = states[end - n : end]
+                move(weights, x[:n], h[:n], u[:, :n], candidate[:n], new)
+                h, x = new, flat[first[:n] + t]
+                targets[end - n : end] = x
+                lanes[end - n : end] = np.arange(n)
+            total[group] += np.bincount(lanes, log_probabilities(net, states, targets, room), len(group))
+            h = h.copy()
     return total
 
 
-def train_window(net: Network, memory: Network, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> np.ndarray:
+def sums_by_id(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids, most frequent first, and the sum of each one's rows."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    size = np.diff(first, append=len(ids))
+    falling = np.argsort(-size, kind="stable")
+    first, size = first[falling], size[falling]
+    sums = rows.take(order[first], axis=0)
+    # frequent ids one by one, the others together: their second rows, their third ones, and so on
+    upto = np.searchsorted(-size, -np.arange(FREQUENT + 1), "left").tolist()
+    many = upto[FREQUENT]
+    for i in range(many):
+        rows.take(order[first[i] : first[i] + size[i]], axis=0).sum(0, out=sums[i])
+    for k in range(1, FREQUENT):
+        sums[many : upto[k]] += rows.take(order[first[many : upto[k]] + k], axis=0)
+    return ids[first], sums
+
+
+def train_window(net: Network, memory: Network, x: np.ndarray, y: np.ndarray, h: np.ndarray, room: Room | None = None) -> np.ndarray:
     """One step of gradient descent (scaled by past gradients) over a window; returns the state after it.
 
     ``x`` and ``y`` are inputs and targets, steps by lanes. The state starts anew where the input is a document's end.
     """
+    room = room or Room()
     steps, lanes = x.shape
-    kept = []
-    states = np.empty((steps, lanes, HIDDEN), np.float32)
+    count = steps * lanes
+    befores, news, ns = (room(name, steps, lanes, HIDDEN) for name in ("befores", "news", "ns"))
+    us = room("us", steps, 3, lanes, HIDDEN)
+    anew = [np.flatnonzero(row == END) for row in x]
+    weights = moving(net)
     for t in range(steps):
-        on = (x[t] != END).astype(np.float32)[:, None]
-        before = h * on
-        r, z, n, back, h = step(net, x[t], before)
-        kept.append((on, before, r, z, n, back))
-        states[t] = h
-    flat, targets = states.reshape(-1, HIDDEN), y.ravel()
-    count = len(targets)
-
-    def descend(part: np.ndarray, past: np.ndarray, where: object, grad: np.ndarray) -> None:
-        """Only what the window touched: without a gradient neither a value nor its memory changes."""
-        g = grad / np.float32(count)
-        past[where] += g * g
-        part[where] -= np.float32(RATE) * g / (np.sqrt(past[where]) + np.float32(1e-6))
-
-    p = np.exp(flat @ net.classes + net.class_bias)
-    p /= p.sum(1, keepdims=True)
-    p[np.arange(count), class_of(targets)] -= 1
-    out = p @ net.classes.T
-    word_steps = []
-    for k, rows in by_class(targets):
-        q = np.exp(flat[rows] @ net.words[k] + net.word_bias[k])
-        q /= q.sum(1, keepdims=True)
-        q[np.arange(len(rows)), targets[rows] % CLASS_WORDS] -= 1
-        word_steps.append((k, flat[rows].T @ q, q.sum(0)))
-        out[rows] += q @ net.words[k].T
-    out = out.reshape(steps, lanes, HIDDEN)
-    gates = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
-    dh = np.zeros((lanes, HIDDEN), np.float32)
-    dstate = np.zeros_like(net.state)
+        befores[t] = h
+        befores[t, anew[t]] = 0
+        h = news[t]
+        move(weights, x[t], befores[t], us[t], ns[t], h)
+
+    targets = y.ravel()
+    order, runs = by_class(targets)
+    target, (classes, words) = targets[order], outputs(net)
+    states, out = room("sorted", count, HIDDEN + 1), room("out", count, HIDDEN)
+    states[:, :HIDDEN], states[:, HIDDEN] = news.reshape(-1, HIDDEN).take(order, axis=0, out=out, mode="clip"), 1
+    out[:] = 0
+    every, ones = np.arange(TOGETHER), np.ones(max(classes.shape[1], CLASS_WORDS), np.float32)
+
+    def softmax(begin: int, end: int, weights: np.ndarray, at: np.ndarray, grad: np.ndarray) -> None:
+        state, wide = states[begin:end], weights.shape[1]
+        p = np.matmul(state, weights, out=room("logits", end - begin, wide))
+        total = np.exp2(p, out=p) @ ones[:wide]
+        p[every[: end - begin], at] -= total
+        share = np.reciprocal(total, out=total)[:, None]
+        back = p @ weights[:HIDDEN].T
+        back *= share / BITS
+        out[begin:end] += back
+        grad += (state * share).T @ p
+
+    of_classes, of_words = np.zeros_like(classes), np.zeros_like(words)
+    kinds, places = class_of(target), target % CLASS_WORDS
+    for a in range(0, count, TOGETHER):
+        softmax(a, min(a + TOGETHER, count), classes, kinds[a : a + TOGETHER], of_classes)
+    for k, a, b in runs:
+        softmax(a, b, words[k], places[a:b], of_words[k])
+    outs = room("outs", count, HIDDEN)
+    outs[order] = out
+    outs = outs.reshape(steps, lanes, HIDDEN)
+
+    gates = room("gates", steps, lanes, 3 * HIDDEN)
+    dh, dstate, state_back = np.zeros((lanes, HIDDEN), np.float32), np.zeros_like(net.state), net.state.T.copy()
+    dn, rest, part = room("dn", lanes, HIDDEN), room("rest", lanes, HIDDEN), room("part", lanes, HIDDEN)
     for t in reversed(range(steps)):
-        on, before, r, z, n, back = kept[t]
-        dh = dh + out[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dr = dn * back * r * (1 - r)
-        dz = dh * (before - n) * z * (1 - z)
-        gates[t, :, :HIDDEN], gates[t, :, HIDDEN : 2 * HIDDEN], gates[t, :, 2 * HIDDEN :] = dr, dz, dn
-        through = np.concatenate([dr, dz, dn * r], axis=1)
+        before, n, (r, z, back), through = befores[t], ns[t], us[t], gates[t]
+        dh += outs[t]
+        np.subtract(1, z, out=rest)
+        rest *= dh
+        np.multiply(n, n, out=dn)
+        np.subtract(1, dn, out=dn)
+        dn *= rest
+        rest *= z
+        np.subtract(before, n, out=part)
+        np.multiply(rest, part, out=through[:, HIDDEN : 2 * HIDDEN])
+        np.subtract(1, r, out=part)
+        part *= back
+        np.multiply(dn, r, out=rest)
+        part *= rest
+        through[:, :HIDDEN], through[:, 2 * HIDDEN :] = part, rest
         dstate += before.T @ through
-        dh = (dh * z + through @ net.state.T) * on
-    ids = x.ravel()
-    order = np.argsort(ids, kind="stable")
-    first = np.flatnonzero(np.r_[True, ids[order][1:] != ids[order][:-1]])
-    every = slice(None)
-    descend(net.inputs, memory.inputs, ids[order][first], np.add.reduceat(gates.reshape(-1, 3 * HIDDEN)[order], first, axis=0))
-    descend(net.state, memory.state, every, dstate)
-    descend(net.classes, memory.classes, every, flat.T @ p)
-    descend(net.class_bias, memory.class_bias, every, p.sum(0))
-    for k, weights, bias in word_steps:
-        descend(net.words, memory.words, k, weights)
-        descend(net.word_bias, memory.word_bias, k, bias)
-    return h
+        dh *= z
+        dh += through @ state_back
+        dh[anew[t]] = 0
+        through[:, 2 * HIDDEN :] = dn
+
+    def descend(name: str, where: object, grad: np.ndarray) -> None:
+        """Without a gradient neither a value nor its memory changes."""
+        values, past = getattr(net, name), getattr(memory, name)
+        g = grad / np.float32(count)
+        now = g * g
+        now += past[where]
+        past[where] = now
+        np.sqrt(now, out=now)
+        now += np.float32(1e-6)
+        g *= np.float32(RATE)
+        g /= now
+        values[where] -= g
+
+    whole = slice(None)
+    descend("inputs", *sums_by_id(x.ravel().astype(np.int16), gates.reshape(-1, 3 * HIDDEN)))
+    descend("state", whole, dstate)
+    descend("classes", whole, of_classes[:HIDDEN])
+    descend("class_bias", whole, of_classes[HIDDEN])
+    descend("words", whole, of_words[:, :HIDDEN])
+    descend("word_bias", whole, of_words[:, HIDDEN])
+    return h.copy()
 
 
 def train_on(net: Network, memory: Network, stream: np.ndarray) -> None:
@@ -265,36 +429,43 @@ def train_on(net: Network, memory: Network, stream: np.ndarray) -> None:
     each = (len(stream) - 1) // lanes
     if each < 1:
         return
-    x = stream[: lanes * each].reshape(lanes, each).T
-    y = stream[1 : lanes * each + 1].reshape(lanes, each).T
-    h = np.zeros((lanes, HIDDEN), np.float32)
+    x = np.ascontiguousarray(stream[: lanes * each].reshape(lanes, each).T)
+    y = np.ascontiguousarray(stream[1 : lanes * each + 1].reshape(lanes, each).T)
+    h, room = np.zeros((lanes, HIDDEN), np.float32), Room()
     for t in range(0, each, BACK):
-        h = train_window(net, memory, x[t : t + BACK], y[t : t + BACK], h)
+        h = train_window(net, memory, x[t : t + BACK], y[t : t + BACK], h, room)
 
 
 class Lexicon:
     """The most frequent words with their counts, and the ids of the network's inputs and outputs."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray, end_count: int) -> None:
-        self.place = {w: i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.binary())
         # id 0 is the end; the first words have outputs of their own
-        self.ids = np.array([i + 1 if i + 1 < OWN else OWN + tail_class(w) for i, w in enumerate(words)], np.int64)
+        self.ids = np.arange(1, len(words) + 1)
+        self.ids[OWN - 1 :] = OWN + tail_classes(self.words[OWN - 1 :])
         self.log_count = np.log10(counts + 1.0)
         self.counts = counts
         self.end_count = end_count
 
-    def look_up(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Ids of the words and the end, places of the words (-1 beyond the lexicon), and the words beyond it."""
-        words = text.lower().split()
-        get = self.place.get
-        place = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        ids = np.empty(len(words) + 1, np.int64)
-        ids[-1] = END
-        ids[:-1] = self.ids[place] if len(self.ids) else OWN
-        unknown = np.flatnonzero(place < 0).tolist()
-        rest = [words[i] for i in unknown]
-        ids[unknown] = [OWN + tail_class(w) for w in rest]
-        return ids, place, rest
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Places of the words, -1 beyond the lexicon."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+
+    def look_up(self, texts: pa.Array) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray, pa.Array]]:
+        """By pieces of the texts: ids of each text's words and the end, words of each, places of all words, and the words beyond the lexicon."""
+        for words, size in pieces(texts):
+            place = self.places(words)
+            rest = words.filter(pa.array(place < 0))
+            ids = np.zeros(len(words), np.int64)
+            ids[place >= 0] = self.ids[place[place >= 0]]
+            ids[place < 0] = OWN + tail_classes(rest)
+            ends = np.cumsum(size + 1)
+            with_ends = np.full(len(words) + len(size), END)
+            held = np.ones(len(with_ends), bool)
+            held[ends - 1] = False
+            with_ends[held] = ids
+            yield np.split(with_ends, ends[:-1]), size, place, rest
 
 
 def averaged(rows: DataFrame) -> np.ndarray:
@@ -334,8 +505,7 @@ def fit(train: DataFrame, lexicon: Lexicon, tail_counts: np.ndarray) -> np.ndarr
                     train_on(net, memory, stream)
 
             for batch in batches:
-                for text in batch.column(0).cast(pa.binary()):
-                    ids = lexicon.look_up(text.as_py() or b"")[0]
+                for ids in (ids for found in lexicon.look_up(batch.column(0)) for ids in found[0]):
                     held.append(ids)
                     size += len(ids)
                     if size >= ROUND_TOKENS:
@@ -378,10 +548,10 @@ def score(docs: DataFrame) -> DataFrame:
 
     def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, c = batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_numpy()
-            place = lexicon.place
-            rest = np.array([place.get(w, OWN) + 1 >= OWN for w in words])
-            kind = np.array([tail_class(w) for w in words])[rest]
+            words, c = batch.column(0).cast(pa.binary()), batch.column(1).to_numpy()
+            place = lexicon.places(words)
+            rest = (place < 0) | (place + 1 >= OWN)
+            kind = tail_classes(words)[rest]
             yield pa.RecordBatch.from_pydict(
                 {"kind": np.arange(TAIL_CLASSES), "n": np.bincount(kind, c[rest], TAIL_CLASSES).astype(np.int64), "v": np.bincount(kind, minlength=TAIL_CLASSES)}
             )
@@ -397,23 +567,32 @@ def score(docs: DataFrame) -> DataFrame:
         net = Network(values)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            documents, n_known, base, rests, tail = [], [], [], [], []
-            for text in batch.column(1).cast(pa.binary()):
-                ids, place, rest = lexicon.look_up(text.as_py() or b"")
-                known = place[place >= 0]
-                counted = lexicon.log_count[known]
-                documents.append(ids)
-                n_known.append(len(known) + (n_docs > 0))
-                base.append(counted.sum() + np.log10(n_docs + 1) - len(ids) * size)
+            documents, n_known, base, n_rest, rests, tail = [], [], [], [], [], []
+            for some, words, place, rest in lexicon.look_up(batch.column(1)):
+                text = np.repeat(np.arange(len(some)), words)
+                known = place >= 0
+                counted = np.zeros(len(place))
+                counted[known] = lexicon.log_count[place[known]]
                 # of words without an output: the place in their class
-                tail.append(counted[known + 1 >= OWN].sum() - tail_size[ids[ids >= OWN] - OWN].sum())
+                ids = np.concatenate(some)
+                beyond = ids >= OWN
+                size_of_class = np.bincount(np.repeat(np.arange(len(some)), words + 1)[beyond], tail_size[ids[beyond] - OWN], len(some))
+                documents += some
+                found = np.bincount(text[known], minlength=len(some))
+                n_known.append(found + (n_docs > 0))
+                n_rest.append(words - found)
+                base.append(np.bincount(text, counted, len(some)) + np.log10(n_docs + 1) - (words + 1) * size)
+                tail.append(np.bincount(text, np.where(place + 1 >= OWN, counted, 0.0), len(some)) - size_of_class)
                 rests.append(rest)
-            model = score_documents(net, documents) / np.log(10) + np.array(tail)
+            if not documents:
+                continue
+            model = score_documents(net, documents) / np.log(10) + np.concatenate(tail)
+            rest_ends = np.concatenate([[0], np.cumsum(np.concatenate(n_rest))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + len(documents))), batch.column(0), batch.column(2), pa.array([len(d) for d in documents], pa.int64()),
-                    pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()),
-                    pa.array(rests, pa.list_(pa.binary())).cast(pa.list_(pa.string())),
+                    pa.array(np.concatenate(n_known), pa.int64()), pa.array(np.concatenate(base)), pa.array(model, pa.float64()),
+                    pa.ListArray.from_arrays(pa.array(rest_ends), pa.concat_arrays(rests).cast(pa.string())),
                 ],
                 ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rest"],
             )
