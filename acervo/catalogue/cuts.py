@@ -7,7 +7,7 @@ supplier and part. Lines that repeat an id are duplicate works.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acervo.catalogue.registry import query, table
@@ -44,14 +44,14 @@ def _work_id():
     return F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id")
 
 
-def authored_works(spark: SparkSession, d: str, *extra: str) -> DataFrame:
+def authored_works(spark: SparkSession, d: str, *extra: str | Column) -> DataFrame:
     customer = table(spark, d, "customer")
     supplier = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     lines = table(spark, d, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    whole = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        customer, F.col("o_custkey") == F.col("c_custkey")
-    )
+    # orders meet their customers first, so that the far more numerous lines move by their order only
+    ordered = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    whole = lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
     author = F.struct(F.concat(F.lit("C"), F.col("c_custkey")).alias("id"), F.col("c_name").alias("display_name"))
     countries = F.when(F.col("o_orderstatus") != "P", F.array(_country("c_nationkey")))
     authorship = F.struct(
@@ -62,13 +62,17 @@ def authored_works(spark: SparkSession, d: str, *extra: str) -> DataFrame:
     return whole.select(_work_id(), *extra, F.array(authorship).alias("authorships"))
 
 
-def located_works(spark: SparkSession, d: str, *extra: str) -> DataFrame:
+def work_locations() -> Column:
+    """The places of a line: its supplier and its part."""
+
     def location(prefix: str, key: str):
         return F.struct(F.struct(F.concat(F.lit(prefix), F.col(key)).alias("id")).alias("source"))
 
-    return table(spark, d, "lineitem").select(
-        _work_id(), *extra, F.array(location("S", "l_suppkey"), location("P", "l_partkey")).alias("locations")
-    )
+    return F.array(location("S", "l_suppkey"), location("P", "l_partkey")).alias("locations")
+
+
+def located_works(spark: SparkSession, d: str, *extra: str) -> DataFrame:
+    return table(spark, d, "lineitem").select(_work_id(), *extra, work_locations())
 
 
 def journal_sources(spark: SparkSession, d: str) -> DataFrame:

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acervo.catalogue.cuts import COUNTRY, _BY_AUTHOR, _BY_SOURCE, _RAW_DOIS, _sql_doi, authored_works, doi_inputs, journal_sources, located_works, page_names
+from acervo.catalogue.cuts import COUNTRY, _BY_AUTHOR, _BY_SOURCE, _RAW_DOIS, _sql_doi, authored_works, doi_inputs, journal_sources, page_names, work_locations
 from acervo.catalogue.registry import SQL, query, table
 from acervo.functions.predicates import SPREADSHEET_TYPES
 from acervo.plans.country_cut import run_cut
 from acervo.plans.institutional import run_matrices
-from acervo.session import scratch_path
+from acervo.session import scratch_path, shuffles_released
 
 c = F.col
 RUNS = datetime(2026, 1, 27, 14, 41, 5), datetime(2026, 2, 27, 14, 41, 5)
@@ -32,6 +32,18 @@ _CUT_ROUTES = f"""
 """
 
 
+def described_works(spark: SparkSession, d: str) -> DataFrame:
+    """``id, doi, authorships, locations, _id`` of the lines; those that repeat an id are the same work.
+
+    The lines move by supplier, if the suppliers are many, and once by order; the text of a DOI is made where the row is written.
+    """
+    doi = F.concat(F.lit("https://doi.org/10.7777/cust("), c("doi_custkey"), F.lit(")")).alias("doi")
+    dois = table(spark, d, "orders").select(c("o_orderkey").alias("order_no"), c("o_custkey").alias("doi_custkey"))
+    # a line without a part is no work, as it has no such place
+    authored = authored_works(spark, d, "l_orderkey", "l_partkey", work_locations()).where("l_partkey is not null")
+    return authored.join(dois, c("l_orderkey") == c("order_no")).select("id", doi, "authorships", "locations", F.md5("id").alias("_id"))
+
+
 @query(f"""
     WITH {_CUT_ROUTES}
     SELECT 'work' AS kind, id, routes, doi FROM routes JOIN works USING (id)
@@ -45,16 +57,12 @@ def run_country_cut(spark: SparkSession, d: str) -> DataFrame:
     source, target = f"{name}_all", f"{name}_country"
     for schema in (source, target):
         spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, schema)}'")
-    doi = F.concat(F.lit("https://doi.org/10.7777/cust("), c("o_custkey"), F.lit(")")).alias("doi")
-    dois = table(spark, d, "orders").select(c("o_orderkey").alias("order_no"), doi)
-    # rows that repeat an id are the same work; one row has the authors and the places
-    authored = authored_works(spark, d, "l_orderkey", "l_suppkey", "l_partkey")
-    located = located_works(spark, d, "l_suppkey", "l_partkey").dropDuplicates(["id", "l_suppkey", "l_partkey"])
-    works = authored.join(located, ["id", "l_suppkey", "l_partkey"]).join(dois, c("l_orderkey") == c("order_no"))
-    works.select("id", "doi", "authorships", "locations", F.md5("id").alias("_id")).write.saveAsTable(f"{source}.works")
-    journal_sources(spark, d).write.saveAsTable(f"{source}.sources")
-    table(spark, d, "customer").select(F.concat(F.lit("C"), "c_custkey").alias("id"), "c_name").write.saveAsTable(f"{source}.authors")
-    table(spark, d, "region").select(c("r_regionkey").cast("string").alias("id"), "r_name").write.saveAsTable(f"{source}.topics")
+    with shuffles_released(spark):
+        # not much more than half of what the default packing takes
+        described_works(spark, d).write.option("compression", "zstd").saveAsTable(f"{source}.works")
+        journal_sources(spark, d).write.saveAsTable(f"{source}.sources")
+        table(spark, d, "customer").select(F.concat(F.lit("C"), "c_custkey").alias("id"), "c_name").write.saveAsTable(f"{source}.authors")
+        table(spark, d, "region").select(c("r_regionkey").cast("string").alias("id"), "r_name").write.saveAsTable(f"{source}.topics")
     pages = page_names(spark, d)
     run_cut(
         spark, source, target, COUNTRY, doi_inputs(spark, d),

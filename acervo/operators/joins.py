@@ -1,7 +1,7 @@
 """Semi-joins, probes, lookups and closures.
 
-No side is broadcast by hint: adaptive execution measures each side and
-broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``; beyond that
+No side that grows with the input is broadcast by hint: adaptive execution measures each
+side and broadcasts it only below ``spark.sql.autoBroadcastJoinThreshold``; beyond that
 the join is a shuffled one, with skewed partitions of the left side split. Key
 sets on the right are made distinct first, on the map side, so that a key with many
 rows there is one row before it moves.
@@ -15,12 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acervo.operators.dedup import first_per_key
+from acervo.session import materialise
 
 
 def ids_by_nested_key(rows: DataFrame, id_col: str, array: Column, keys: DataFrame, key: str) -> DataFrame:
-    """Distinct ids of rows with any array value in ``keys``. Only (id, value) pairs move."""
+    """Distinct ids of rows with any array value in ``keys``. Only (id, value) pairs move, and of these only those whose value may be a key."""
     pairs = rows.select(id_col, F.explode(F.array_distinct(array)).alias(key)).where(F.col(key).isNotNull())
-    return pairs.join(keys.select(key).distinct(), key, "left_semi").select(id_col).distinct()
+    keys = materialise(keys.select(key).distinct(), "nested-keys")
+    # values of another type than the keys have other hashes
+    if pairs.schema[key].dataType == keys.schema[key].dataType:
+        pairs = possible(pairs, key, materialise(id_bitmaps(keys, key), "nested-bitmaps"))
+    return pairs.join(keys, key, "left_semi").select(id_col).distinct()
 
 
 #: Bits of the set that ``possible`` tests, and bits of one row of it: 4 KB each, 4 MB together at most.
@@ -37,12 +42,14 @@ def id_bitmaps(ids: DataFrame, key: str) -> DataFrame:
 def marked(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
     """``rows`` with ``__maybe``: whether the key may be one of the ids that ``bitmaps`` was made of; never false for one that is.
 
-    The bitmaps are small whatever the ids number, so the test runs in the scan of ``rows``, before anything moves.
+    The bitmaps are small whatever the ids number, so they are sent to the scan of ``rows`` and tested there, before anything moves.
     """
     spot = F.pmod(F.xxhash64(key), F.lit(SET_BITS))
     byte = F.conv(F.hex(F.substring("__bits", ((spot % ROW_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     there = F.call_function("shiftright", byte, (spot % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-    met = rows.join(bitmaps.select(F.col("row_no").alias("__row"), F.col("bits").alias("__bits")), (spot / ROW_BITS).cast("int") == F.col("__row"), "left")
+    # at most 4 MB: sent even where the threshold for broadcasts is lower, since the exchange of all rows is what they are for
+    sent = F.broadcast(bitmaps.select(F.col("row_no").alias("__row"), F.col("bits").alias("__bits")))
+    met = rows.join(sent, (spot / ROW_BITS).cast("int") == F.col("__row"), "left")
     return met.withColumn("__maybe", F.coalesce(there, F.lit(False))).drop("__row", "__bits")
 
 
@@ -51,16 +58,35 @@ def possible(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
     return marked(rows, key, bitmaps).where("__maybe").drop("__maybe")
 
 
-def spread_join(rows: DataFrame, unique: DataFrame, on: str, salts: int = 16) -> DataFrame:
+#: Buckets of key hashes in which rows are counted, and rows of one key that a task takes without trouble.
+BUCKETS, HOT_ROWS = 1 << 16, 100_000
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS))
+
+
+def hot_buckets(rows: DataFrame, key: str) -> list[int]:
+    """Buckets of key hashes with far more rows than most: those of every key that has very many, at most a quarter of all buckets."""
+    counted = materialise(rows.groupBy(_bucket(key).alias("bucket")).agg(F.count(F.lit(1)).alias("n")), "key-counts")
+    usual = counted.agg(F.coalesce(F.sum("n"), F.lit(0)) / BUCKETS).scalar()
+    return [row["bucket"] for row in counted.where(F.col("n") > HOT_ROWS + 4 * usual).select("bucket").collect()]
+
+
+def spread_join(rows: DataFrame, unique: DataFrame, on: str, salts: int = 16, hot: Sequence[int] | None = None) -> DataFrame:
     """Inner join of ``rows`` with a table that is unique on the key, for when the next
     step groups by that key again and Spark could not split a hot one.
 
     The rows of a key are spread by input partition, so that equal copies separate
     and a retried task sends each row to the same place; the narrow side is
-    repeated once per salt.
+    repeated once per salt. With ``hot``, the ``hot_buckets`` of the rows, only the keys in these are:
+    a narrow side that is itself large is then sent once.
     """
-    salted = rows.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = unique.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if hot is not None and not hot:
+        return rows.join(unique, on)
+    spread = F.lit(True) if hot is None else _bucket(on).isin(list(hot))
+    salted = rows.withColumn("__salt", F.when(spread, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0)))
+    repeated = unique.withColumn("__salt", F.explode(F.when(spread, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     return salted.join(repeated, [on, "__salt"]).drop("__salt")
 
 

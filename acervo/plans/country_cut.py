@@ -23,9 +23,9 @@ from acervo.functions.predicates import (
 from acervo.functions.similarity import TITLE_WITH_AUTHOR, accepted, author_similarity, title_similarity
 from acervo.functions.text import fold_text
 from acervo.operators.dedup import distinct_nested, first_per_key
-from acervo.operators.joins import first_match_lookup, id_bitmaps, ids_by_nested_key, possible, referenced, spread_join
+from acervo.operators.joins import first_match_lookup, hot_buckets, id_bitmaps, ids_by_nested_key, possible, referenced, spread_join
 from acervo.operators.retrieval import top_candidates
-from acervo.session import materialise
+from acervo.session import materialise, scratch_run, shuffles_released
 from acervo.sinks.catalog import build_then_swap, copy_auxiliary, truncate_and_load
 
 
@@ -98,8 +98,10 @@ def doi_route(works: DataFrame, dois: DataFrame, present: DataFrame | None = Non
     """One work per wanted DOI, the smallest id, skipping DOIs of works already ``present``."""
     if present is not None:
         dois = dois.join(present.select("doi").where("doi is not null").distinct(), "doi", "left_anti")
-    # only works with a wanted DOI reach the aggregate, whose first step runs before the shuffle
-    wanted = works.select("id", "doi").join(dois, "doi", "left_semi")
+    dois = materialise(dois, "missing-dois")
+    # only works that may have a wanted DOI move, and only those that have one reach the aggregate
+    near = possible(works.select("id", "doi"), "doi", materialise(id_bitmaps(dois, "doi"), "missing-bitmaps"))
+    wanted = near.join(dois, "doi", "left_semi")
     return _route(wanted.groupBy("doi").agg(F.min("id").alias("id")), "doi")
 
 
@@ -171,6 +173,12 @@ def best_matches(products: DataFrame, profiles: DataFrame, search: DataFrame, k:
     return best.unionByName(first_accepted(similar_pairs(rest, profiles, search, k)))
 
 
+def dois_present(works: DataFrame, found: DataFrame) -> DataFrame:
+    """``(id, doi)`` of the works whose id is ``found``; works that cannot be are left behind in the scan."""
+    bitmaps = materialise(id_bitmaps(found, "id"), "found-bitmaps")
+    return referenced(possible(works.select("id", "doi"), "id", bitmaps), "id", found)
+
+
 def similar_route(products: DataFrame, profiles: DataFrame, search: DataFrame) -> DataFrame:
     matches = best_matches(products, profiles, search)
     return _route(matches.select("id").distinct(), "similarity")
@@ -183,10 +191,13 @@ def routes_by_work(routes: list[DataFrame]) -> DataFrame:
 
 
 def cut(works: DataFrame, routes: list[DataFrame], order: Sequence[Column] = ()) -> DataFrame:
-    """Distinct works of any route, with the routes. Works that no route can have found are left behind in the scan."""
+    """Distinct works of any route, with the routes. Works that no route can have found are left behind in the scan.
+
+    The routes are sent once for each work; only for ids that very many works share are they sent to several tasks.
+    """
     wanted = materialise(routes_by_work(routes), "wanted-works")
     bitmaps = materialise(id_bitmaps(wanted, "id"), "wanted-bitmaps")
-    return unique_works(spread_join(possible(works, "id", bitmaps), wanted, "id"), order)
+    return unique_works(spread_join(possible(works, "id", bitmaps), wanted, "id", hot=hot_buckets(works.select("id"), "id")), order)
 
 
 def _content_hash(df: DataFrame) -> Column:
@@ -215,18 +226,19 @@ def run_cut(
     profiles: DataFrame | None = None,
     search: DataFrame | None = None,
 ) -> None:
-    """All steps: routes, one join back to the works, authors, auxiliary tables."""
-    works = spark.table(f"{source}.works").drop("_id")
-    routes = [
-        materialise(country_route(works, country), "authorship-route"),
-        materialise(source_route(works, spark.table(f"{source}.sources"), country), "source-route"),
-    ]
-    if dois is not None:
-        present = referenced(works.select("id", "doi"), "id", reduce(DataFrame.unionByName, routes))
-        routes.append(materialise(doi_route(works, wanted_dois(raw_dois(dois)), present), "doi-route"))
-    if products is not None and profiles is not None and search is not None:
-        routes.append(materialise(similar_route(products, profiles, search), "similarity-route"))
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {target}")
-    build_then_swap(cut(works, routes), f"{target}.works")
-    truncate_and_load(closure(spark.table(f"{source}.authors"), spark.table(f"{target}.works")), f"{target}.authors")
-    copy_auxiliary(spark, source, target)
+    """All steps: routes, one join back to the works, authors, auxiliary tables. What a step leaves on disk goes with it."""
+    with scratch_run(spark), shuffles_released(spark):
+        works = spark.table(f"{source}.works").drop("_id")
+        routes = [
+            materialise(country_route(works, country), "authorship-route"),
+            materialise(source_route(works, spark.table(f"{source}.sources"), country), "source-route"),
+        ]
+        if dois is not None:
+            present = dois_present(works, reduce(DataFrame.unionByName, routes))
+            routes.append(materialise(doi_route(works, wanted_dois(raw_dois(dois)), present), "doi-route"))
+        if products is not None and profiles is not None and search is not None:
+            routes.append(materialise(similar_route(products, profiles, search), "similarity-route"))
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {target}")
+        build_then_swap(cut(works, routes), f"{target}.works")
+        truncate_and_load(closure(spark.table(f"{source}.authors"), spark.table(f"{target}.works")), f"{target}.authors")
+        copy_auxiliary(spark, source, target)
