@@ -28,15 +28,21 @@ def ids_by_nested_key(rows: DataFrame, id_col: str, array: Column, keys: DataFra
     return pairs.join(keys, key, "left_semi").select(id_col).distinct()
 
 
-#: Bits of the set that ``possible`` tests, and bits of one row of it: 4 KB each, 4 MB together at most.
-SET_BITS, ROW_BITS = 1 << 25, 1 << 15
+#: Bits of the set that ``possible`` tests: 4 MB at most, with the numbers of their words 8 MB.
+SET_BITS = 1 << 25
 
 
-def id_bitmaps(ids: DataFrame, key: str) -> DataFrame:
-    """``row_no, bits``: a bit for the hash of every id, at most SET_BITS / ROW_BITS rows of 4 KB however many ids there are."""
+def _spot(key: str) -> tuple[Column, Column]:
+    """The word of 64 bits in which the hash of a key has its bit, and the place of the bit."""
     spot = F.pmod(F.xxhash64(key), F.lit(SET_BITS))
-    spots = ids.select((spot / ROW_BITS).cast("int").alias("row_no"), (spot % ROW_BITS).alias("spot"))
-    return spots.groupBy("row_no").agg(F.bitmap_construct_agg("spot").alias("bits"))
+    return F.shiftright(spot, 6), spot.bitwiseAND(F.lit(63)).cast("int")
+
+
+def id_bitmaps(ids: DataFrame, key: str) -> DataFrame:
+    """``word_no, bits``: a bit for the hash of every id, at most SET_BITS / 64 words however many ids there are."""
+    word, bit = _spot(key)
+    spots = ids.select(word.alias("word_no"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+    return spots.groupBy("word_no").agg(F.bit_or("bit").alias("bits"))
 
 
 def marked(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
@@ -44,13 +50,12 @@ def marked(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
 
     The bitmaps are small whatever the ids number, so they are sent to the scan of ``rows`` and tested there, before anything moves.
     """
-    spot = F.pmod(F.xxhash64(key), F.lit(SET_BITS))
-    byte = F.conv(F.hex(F.substring("__bits", ((spot % ROW_BITS) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    there = F.call_function("shiftright", byte, (spot % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
-    # at most 4 MB: sent even where the threshold for broadcasts is lower, since the exchange of all rows is what they are for
-    sent = F.broadcast(bitmaps.select(F.col("row_no").alias("__row"), F.col("bits").alias("__bits")))
-    met = rows.join(sent, (spot / ROW_BITS).cast("int") == F.col("__row"), "left")
-    return met.withColumn("__maybe", F.coalesce(there, F.lit(False))).drop("__row", "__bits")
+    word, bit = _spot(key)
+    there = F.call_function("shiftright", F.col("__bits"), bit).bitwiseAND(F.lit(1)) == 1
+    # of bounded size: sent even where the threshold for broadcasts is lower, since the exchange of all rows is what they save
+    sent = F.broadcast(bitmaps.select(F.col("word_no").alias("__word"), F.col("bits").alias("__bits")))
+    met = rows.join(sent, word == F.col("__word"), "left")
+    return met.withColumn("__maybe", F.coalesce(there, F.lit(False))).drop("__word", "__bits")
 
 
 def possible(rows: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
